@@ -22,13 +22,14 @@ def fuse_pixels(pixels: DataFrame, bands: Sequence[str], order: Sequence[str] =
     """One row per (time, row, col): first valid value per band in ``order``.
 
     ``min_by``/``max`` are combined map-side, so a cell with many copies costs no more
-    than any other.
+    than any other. A single numeric or time column as ``order`` keeps the buffers
+    fixed-width and the aggregate hashed; several columns make it sort-based.
     """
     aggs = []
     for b in bands:
         v = F.col(b)
         if order:
-            rank = F.struct(*[F.col(o) for o in order], v)
+            rank = F.col(order[0]) if len(order) == 1 else F.struct(*[F.col(o) for o in order], v)
             aggs.append(F.min_by(v, F.when(v.isNotNull(), rank)).alias(b))
         else:
             aggs.append(F.max(v).alias(b))
@@ -107,8 +108,11 @@ def reduce_time(pixels: DataFrame, bands: Sequence[str], how: str, by: Sequence[
 
 
 def mosaic(pixels: DataFrame, bands: Sequence[str], order: str = "most_recent", cloud: str = "cloud_cover") -> DataFrame:
-    """First valid value per cell in scene order, ties broken by item_id."""
-    t = F.col("time")
+    """First valid value per cell in scene order.
+
+    Time alone orders a cell's samples (one row per time and cell), which keeps
+    the aggregate hashed; equal cloud cover is settled by the earlier time.
+    """
     if order not in ("most_recent", "least_recent", "least_cloud"):
         raise ValueError(f"unknown mosaic order {order!r}")
 
@@ -116,12 +120,10 @@ def mosaic(pixels: DataFrame, bands: Sequence[str], order: str = "most_recent",
         v = F.col(b)
         ok = v.isNotNull()
         if order == "least_recent":
-            return F.min_by(v, F.when(ok, F.struct(t, F.col("item_id"))))
+            return F.min_by(v, F.when(ok, F.col("time")))
         if order == "most_recent":
-            # Negated time, so that one ascending struct also breaks ties by the lower item.
-            age = -F.unix_micros(t.cast("timestamp"))
-            return F.min_by(v, F.when(ok, F.struct(age, F.col("item_id"))))
-        return F.min_by(v, F.when(ok, F.struct(F.col(cloud), t, F.col("item_id"))))
+            return F.max_by(v, F.when(ok, F.col("time")))
+        return F.min_by(v, F.when(ok, F.struct(F.col(cloud), F.col("time"))))
 
     return pixels.groupBy(*CELL).agg(*[one(b).alias(b) for b in bands])
 

@@ -4,7 +4,9 @@
 fine for a cell's samples in a month and wrong for a zone that holds a third of
 all pixels. Here a group is first folded to a histogram (value, count) keyed by
 group *and* value, then cut into buckets of similar numbers of distinct values,
-so that no task ever sorts more than one bucket.
+so that no task ever sorts more than one bucket. The histogram is a small fraction of
+the rows and is read by several steps, so it is written once: the pixels behind
+it are scanned a single time.
 """
 
 from __future__ import annotations
@@ -13,8 +15,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-# Cut points per group; a task sorts about 1/CUTS of a group's distinct values.
+from ..plans.sizing import materialize
+
+# Buckets of a large group; a task sorts about 1/CUTS of its distinct values.
 CUTS = 256
+# Groups with at most this many distinct values are one bucket.
+ONE_BUCKET = 50_000
 
 
 def histogram_of(df: DataFrame, keys: Sequence[str], value: Column, freq: Column | None = None) -> DataFrame:
@@ -28,12 +34,14 @@ def histogram_of(df: DataFrame, keys: Sequence[str], value: Column, freq: Column
     )
 
 
-def _ranked(hist: DataFrame, keys: Sequence[str], cuts: int) -> DataFrame:
+def _ranked(hist: DataFrame, keys: Sequence[str], cuts: int, one_bucket: int) -> DataFrame:
     """Adds _hi (rank of the last copy of the value), _lo (rank before the first) and _total."""
     keys = list(keys)
     probs = F.array(*[F.lit(i / cuts) for i in range(1, cuts)])
+    approx = F.percentile_approx("_v", probs, 10000)
     groups = hist.groupBy(*keys).agg(
-        F.sum("_n").alias("_total"), F.percentile_approx("_v", probs, 10000).alias("_cuts")
+        F.sum("_n").alias("_total"),
+        F.when(F.count("*") > one_bucket, approx).otherwise(F.array().cast("array<double>")).alias("_cuts"),
     )
     bucketed = hist.join(groups, keys).select(
         *keys, "_v", "_n", "_total", F.size(F.filter("_cuts", lambda c: c < F.col("_v"))).alias("_b")
@@ -52,11 +60,11 @@ def _ranked(hist: DataFrame, keys: Sequence[str], cuts: int) -> DataFrame:
 
 
 def quantiles_of_histogram(
-    hist: DataFrame, keys: Sequence[str], probs: dict[str, float], cuts: int = CUTS
+    hist: DataFrame, keys: Sequence[str], probs: dict[str, float], cuts: int = CUTS, one_bucket: int = ONE_BUCKET
 ) -> DataFrame:
     """keys + one column per named probability, linear interpolation between ranks."""
     keys = list(keys)
-    ranked = _ranked(hist, keys, cuts)
+    ranked = _ranked(hist, keys, cuts, one_bucket)
     v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
     aggs: list[Column] = [F.max("_total").alias("_total")]
     for name, p in probs.items():
@@ -74,15 +82,29 @@ def quantiles_of_histogram(
 
 
 def group_quantiles(
-    df: DataFrame, keys: Sequence[str], value: Column, probs: dict[str, float], cuts: int = CUTS
+    df: DataFrame,
+    keys: Sequence[str],
+    value: Column,
+    probs: dict[str, float],
+    cuts: int = CUTS,
+    one_bucket: int = ONE_BUCKET,
 ) -> DataFrame:
-    return quantiles_of_histogram(histogram_of(df, keys, value), keys, probs, cuts)
+    hist = materialize(histogram_of(df, keys, value), "value-histogram")
+    return quantiles_of_histogram(hist, keys, probs, cuts, one_bucket)
 
 
-def group_mad(df: DataFrame, keys: Sequence[str], value: Column, name: str = "mad", cuts: int = CUTS) -> DataFrame:
+def group_mad(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: Column,
+    name: str = "mad",
+    cuts: int = CUTS,
+    one_bucket: int = ONE_BUCKET,
+) -> DataFrame:
     """Median absolute deviation per group, exact at any group size."""
     keys = list(keys)
-    hist = histogram_of(df, keys, value)
-    med = quantiles_of_histogram(hist, keys, {"_med": 0.5}, cuts)
+    hist = materialize(histogram_of(df, keys, value), "value-histogram")
+    med = quantiles_of_histogram(hist, keys, {"_med": 0.5}, cuts, one_bucket)
     dev = histogram_of(hist.join(med, keys), keys, F.abs(F.col("_v") - F.col("_med")), F.col("_n"))
-    return quantiles_of_histogram(dev, keys, {name: 0.5}, cuts)
+    dev = materialize(dev, "deviation-histogram")
+    return quantiles_of_histogram(dev, keys, {name: 0.5}, cuts, one_bucket)

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import indices as I
 from ..plans.sizing import BROADCAST_CELLS
 from .grid import Grid, coverage_cells, crop_to_extent, zone_cells, zone_extent
 from .quantiles import group_mad, group_quantiles
+from .runs import sorted_groups
 
 CATEGORICAL_BANDS = ("oa_fmask", "SCL", "scl", "qa_pixel", "Fmask")  # fixed values: mask band names
 
@@ -282,13 +283,17 @@ def zonal_user_stat(
     keys = [key, *by]
     hist = values.select(*keys, coded.alias("_v")).groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
 
-    @F.pandas_udf(T.DoubleType())
-    def stat(vs: pd.Series, ns: pd.Series) -> float:
-        vv, nn = vs.to_numpy(dtype=float), ns.to_numpy()
-        order = np.argsort(vv)
-        return float(fn(vv[order], nn[order]))
-
-    return hist.groupBy(*keys).agg(stat("_v", "_n").alias(name))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for groups in sorted_groups(batches, keys):
+            vs, ns = groups.table["_v"].to_numpy(), groups.table["_n"].to_numpy()
+            ends = np.append(groups.starts[1:], len(vs))
+            stats = [float(fn(vs[i:j].astype(float), ns[i:j])) for i, j in zip(groups.starts, ends)]
+            out = groups.table.select(keys).take(pa.array(groups.starts))
+            yield from out.append_column(name, pa.array(stats, pa.float64())).combine_chunks().to_batches()
+
+    schema = T.StructType([hist.schema[k] for k in keys] + [T.StructField(name, T.DoubleType())])
+    ordered = hist.repartition(*keys).sortWithinPartitions(*keys, "_v")
+    return ordered.mapInArrow(run, schema)
 
 
 def zonal_user_partials(

@@ -117,9 +117,9 @@ def _mosaic(order: str, sql_order: str) -> None:
         return composite.mosaic(px, ["red"], order, cloud="blue").select(*CELL, "red")
 
 
-_mosaic("most_recent", "time DESC, item_id")
-_mosaic("least_recent", "time, item_id")
-_mosaic("least_cloud", "blue, time, item_id")
+_mosaic("most_recent", "time DESC")
+_mosaic("least_recent", "time")
+_mosaic("least_cloud", "blue, time")
 
 
 def _quartile_sql(by: str) -> str:

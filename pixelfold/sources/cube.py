@@ -27,13 +27,16 @@ def load_cube(
     """time, row, col, bands: selected scenes and bands, cropped, one row per cell and time.
 
     ``tiles`` holds row-major blocks (``TILE_DDL``). Scenes with the same timestamp
-    fuse; the first valid value in item order wins. Bands are put side by side
+    fuse; the first valid value wins, in the order of the items' BIGINT column
+    ``item_order`` or, without one, of a hash of the item id (a number keeps the
+    per-pixel aggregate hashed, text would make it sort). Bands are put side by side
     while they are still whole arrays, so only the exploded pixels take part in
     the one per-pixel aggregation, which combines map-side. NaN and ``nodata``
     become NULL here and never appear later.
     """
     bands = list(bands)
-    chosen = small_side(items.select("item_id").distinct())
+    rank = F.col("item_order").cast("long") if "item_order" in items.columns else F.xxhash64("item_id")
+    chosen = small_side(items.groupBy("item_id").agg(F.min(rank).alias("item_order")))
     src = tiles.where(F.col("band").isin(bands))
     window = None
     if bbox is not None:
@@ -47,24 +50,24 @@ def load_cube(
             & (F.col("col0") <= c1)
             & (F.col("col0") + F.col("width") > c0)
         )
-    src = src.join(chosen, "item_id", "left_semi")
-    blocks = src.groupBy("item_id", "time", "row0", "col0", "width").agg(
+    src = src.join(chosen, "item_id")
+    blocks = src.groupBy("item_id", "item_order", "time", "row0", "col0", "width").agg(
         *[F.max(F.when(F.col("band") == b, F.col("data"))).alias(b) for b in bands]
     )
     # arrays_zip pads a band that a scene lacks with NULL.
     zipped = F.arrays_zip(*[F.coalesce(F.col(b), F.array().cast("array<float>")).alias(b) for b in bands])
-    px = blocks.select("item_id", "time", "row0", "col0", "width", F.posexplode(zipped).alias("_i", "_v")).select(
+    px = blocks.select("item_order", "time", "row0", "col0", "width", F.posexplode(zipped).alias("_i", "_v")).select(
         "time",
         (F.col("row0") + F.floor(F.col("_i") / F.col("width"))).cast("int").alias("row"),
         (F.col("col0") + F.col("_i") % F.col("width")).cast("int").alias("col"),
-        "item_id",
+        "item_order",
         *[_clean(F.col(f"_v.{b}").cast("double"), nodata).alias(b) for b in bands],
     )
     if window is not None:
         r0, r1, c0, c1 = window
         px = px.where(F.col("row").between(r0, r1) & F.col("col").between(c0, c1))
     return px.groupBy("time", "row", "col").agg(
-        *[F.min_by(b, F.when(F.col(b).isNotNull(), F.col("item_id"))).alias(b) for b in bands]
+        *[F.min_by(b, F.when(F.col(b).isNotNull(), F.col("item_order"))).alias(b) for b in bands]
     )
 
 
