@@ -104,4 +104,5 @@ def threshold_class(v: ColumnLike, threshold: float) -> Column:
 
 def gain_clip(v: ColumnLike, gain: float) -> Column:
     """Display stretch: v*gain clipped to 0..1."""
-    return F.least(F.greatest(_c(v) * F.lit(gain), F.lit(0.0)), F.lit(1.0))
+    scaled = _c(v) * F.lit(gain)
+    return F.when(scaled.isNotNull(), F.least(F.greatest(scaled, F.lit(0.0)), F.lit(1.0)))

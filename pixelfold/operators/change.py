@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions import indices as I
 from .composite import reduce_time
+from .ranges import value_range
 from .raster import CELL, period_difference
 
 
@@ -66,22 +67,23 @@ def mask_range(pixels: DataFrame, col: str, lo: float, hi: float) -> DataFrame:
 def equal_interval(df: DataFrame, col: str, k: int = 5, out: str = "zone") -> DataFrame:
     """Class 0..k-1 of equal width between the global minimum and maximum.
 
-    The two bounds are scalar subqueries. A value on an inner cut belongs to the
-    lower class (right-closed bins).
+    The two bounds come from one scalar subquery. A value on an inner cut belongs
+    to the lower class (right-closed bins).
     """
-    lo, hi = df.agg(F.min(col)).scalar(), df.agg(F.max(col)).scalar()
+    lo, hi = value_range(df, [col])[col]
     pos = F.try_divide((F.col(col) - lo) * F.lit(float(k)), hi - lo)
-    cls = F.greatest(F.least(F.ceil(pos).cast("int") - 1, F.lit(k - 1)), F.lit(0))
-    return df.withColumn(out, F.coalesce(cls, F.when(F.col(col).isNotNull(), 0)))
+    cls = F.greatest(F.least(F.coalesce(F.ceil(pos).cast("int") - 1, F.lit(0)), F.lit(k - 1)), F.lit(0))
+    return df.withColumn(out, F.when(F.col(col).isNotNull(), cls))
 
 
 def true_color(
     pixels: DataFrame, red: str, green: str, blue: str, c: float = 30.0, th: float = 0.075, nodata: float = 0.0
 ) -> DataFrame:
     """8-bit sigmoid stretch of three bands with an alpha band (0 for nodata)."""
+    ends = value_range(pixels, [red, green, blue])
 
     def stretch(b: str) -> Column:
-        lo, hi = pixels.agg(F.min(b)).scalar(), pixels.agg(F.max(b)).scalar()
+        lo, hi = ends[b]
         norm = F.try_divide(F.col(b) - lo, hi - lo)
         v = F.lit(255.0) / (F.lit(1.0) + F.exp(F.lit(c) * (F.lit(th) - norm)))
         return F.floor(F.coalesce(v, F.lit(0.0))).cast("int")

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import indices as I
+from .ranges import value_range
 
 CELL = ["row", "col"]
 NODATA_INT16 = -32768  # fixed value: nodata of the scaled composite
@@ -47,9 +48,8 @@ def monthly_median(pixels: DataFrame, bands: Sequence[str], fill_gaps: bool = Fa
     med = pixels.groupBy(month, *CELL).agg(*[F.median(b).alias(b) for b in bands])
     if not fill_gaps:
         return med
-    first = pixels.agg(F.trunc(F.min("time"), "month")).scalar()
-    last = pixels.agg(F.trunc(F.max("time"), "month")).scalar()
-    months = F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))
+    first, last = value_range(pixels, ["time"])["time"]
+    months = F.sequence(F.trunc(first, "month"), F.trunc(last, "month"), F.expr("INTERVAL 1 MONTH"))
     per_cell = med.groupBy(*CELL).agg(
         F.map_from_entries(F.collect_list(F.struct("month", F.struct(*bands)))).alias("_m")
     )

@@ -68,7 +68,8 @@ def _cell_window(z: DataFrame, grid: Grid) -> DataFrame:
     top, left = F.lit(float(grid.height - 1)), F.lit(float(grid.width - 1))
     zero = F.lit(0.0)
     return (
-        z.withColumn("_b", b)
+        z.where(F.col("geom").isNotNull())
+        .withColumn("_b", b)
         .withColumn("_r0", F.greatest(F.floor(F.least(ra, rb)).cast("double"), zero))
         .withColumn("_r1", F.least((F.ceil(F.greatest(ra, rb)) - 1).cast("double"), top))
         .withColumn("_c0", F.greatest(F.floor(ca).cast("double"), zero))

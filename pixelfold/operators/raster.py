@@ -15,12 +15,13 @@ CELL = ["row", "col"]
 def sample_nearest(pixels: DataFrame, points: DataFrame, grid: Grid, key: str) -> DataFrame:
     """Pixel nearest to each point: the cell index is arithmetic, the join equi.
 
-    A point outside the grid takes the nearest border cell.
+    A point outside the grid takes the nearest border cell, one without
+    coordinates is dropped.
     """
     def clamp(i: Column, n: int) -> Column:
         return F.least(F.greatest(i, F.lit(0)), F.lit(n - 1)).cast("int")
 
-    located = points.select(
+    located = points.where(F.col("x").isNotNull() & F.col("y").isNotNull()).select(
         key,
         clamp(grid.row_of(F.col("y")), grid.height).alias("row"),
         clamp(grid.col_of(F.col("x")), grid.width).alias("col"),
@@ -96,8 +97,9 @@ def tile_y(lat: Column, zoom: int) -> Column:
 
 def tile_cover(boxes: DataFrame, zoom: int, keep: Sequence[str] = ()) -> DataFrame:
     """Tiles (z, tx, ty) that a lon/lat box (minx, miny, maxx, maxy) touches at a zoom."""
+    whole = boxes.dropna(subset=["minx", "miny", "maxx", "maxy"])
     return (
-        boxes.withColumn("tx", F.explode(F.sequence(tile_x(F.col("minx"), zoom), tile_x(F.col("maxx"), zoom))))
+        whole.withColumn("tx", F.explode(F.sequence(tile_x(F.col("minx"), zoom), tile_x(F.col("maxx"), zoom))))
         .withColumn("ty", F.explode(F.sequence(tile_y(F.col("maxy"), zoom), tile_y(F.col("miny"), zoom))))
         .select(*keep, F.lit(zoom).alias("z"), "tx", "ty")
     )

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..functions import values as V
+from .ranges import value_range
 
 
 def clean_index(s: DataFrame, value: str = "value") -> DataFrame:
@@ -269,9 +270,9 @@ def histogram(df: DataFrame, col: str, bins: int = 50, positive_only: bool = Tru
     """bin 0..bins-1 and count between the smallest and largest value; the last
     bin includes its upper edge. Empty bins are absent."""
     src = df.where((F.col(col) > 0) if positive_only else F.col(col).isNotNull()).select(col)
-    lo, hi = src.agg(F.min(col)).scalar(), src.agg(F.max(col)).scalar()
+    lo, hi = value_range(src, [col])[col]
     pos = F.try_divide((F.col(col) - lo) * F.lit(float(bins)), hi - lo)
-    b = F.coalesce(F.least(F.floor(pos).cast("int"), F.lit(bins - 1)), F.lit(0))
+    b = F.least(F.coalesce(F.floor(pos).cast("int"), F.lit(0)), F.lit(bins - 1))
     return src.groupBy(b.alias("bin")).agg(F.count("*").alias("n"))
 
 

@@ -142,6 +142,6 @@ def tile_id(zones: DataFrame, n: int, out: str = "tile") -> DataFrame:
 
     def index(v: str, lo: str, hi: str) -> Column:
         pos = F.try_divide((F.col(f"_c.{v}") - F.col(f"_e.{lo}")) * F.lit(float(n)), F.col(f"_e.{hi}") - F.col(f"_e.{lo}"))
-        return F.greatest(F.least(F.floor(pos), F.lit(n - 1)), F.lit(0)).cast("int")
+        return F.greatest(F.least(F.coalesce(F.floor(pos), F.lit(0)), F.lit(n - 1)), F.lit(0)).cast("int")
 
     return c.withColumn(out, index("y", "miny", "maxy") * n + index("x", "minx", "maxx")).drop("_c", "_e")

@@ -223,7 +223,7 @@ def _(spark, d):
 @query(
     "page_links",
     "SELECT page_id, CAST(pos - 1 AS INT) AS pos, url || h[pos] AS link FROM (SELECT page_id, url, h, unnest(range(2, len(h) + 1)) AS pos FROM"
-    " (SELECT page_id, url, regexp_extract_all(html, '<a\\s[^>]*?href\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1) AS h FROM pages))",
+    " (SELECT page_id, url, regexp_extract_all(html, '(?i)<a\\s[^>]*?href\\s*=\\s*[\"'']([^\"'']*)[\"'']', 1) AS h FROM pages))",
 )
 def _(spark, d):
     return catalog.extract_links(B.table(spark, d, "pages"))

@@ -196,7 +196,7 @@ def layer_info(zones: DataFrame) -> tuple[list[str], DataFrame]:
 def extract_links(pages: DataFrame, base: str | None = None, html: str = "html", url: str = "url") -> DataFrame:
     """page_id, pos, link: every anchor's href with the base URL in front, the first
     one of each page dropped."""
-    hrefs = F.regexp_extract_all(F.col(html), F.lit(r"""<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""), F.lit(1))
+    hrefs = F.regexp_extract_all(F.col(html), F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""), F.lit(1))
     prefix = F.lit(base) if base is not None else F.col(url)
     return (
         pages.select("page_id", prefix.alias("_u"), F.posexplode(hrefs).alias("pos", "_h"))
