@@ -50,6 +50,7 @@ ZONED = ["zonal_monthly_ndvi", "zonal_weighted_mean_min"]
 def main() -> None:
     d = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "4")
+    names = sys.argv[1:] or HEADLINE
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -74,18 +75,18 @@ def main() -> None:
         return time.perf_counter() - t
 
     seconds = {}
-    for name in HEADLINE:
+    for name in names:
         once(name)
         seconds[name] = round(statistics.median(once(name) for _ in range(runs)), 3)
     n_px = B.pixels(spark, d).count()
-    zone_steps = {n: QUERIES[n](spark, d).count() for n in ZONED}
+    zone_steps = {n: QUERIES[n](spark, d).count() for n in ZONED if n in names}
     line = {
         "metric": "headline queries, median of warm runs, summed",
         "value": round(sum(seconds.values()), 3),
         "unit": "sec",
         "queries": seconds,
-        "pixels_per_sec": {n: round(n_px / seconds[n]) for n in RATED},
-        "zone_steps_per_sec": {n: round(zone_steps[n] / seconds[n]) for n in ZONED},
+        "pixels_per_sec": {n: round(n_px / seconds[n]) for n in RATED if n in names},
+        "zone_steps_per_sec": {n: round(zone_steps[n] / seconds[n]) for n in zone_steps},
         "sf": os.path.basename(d.rstrip("/")).removeprefix("sf"),
     }
     print(json.dumps(line))

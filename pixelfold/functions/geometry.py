@@ -27,6 +27,12 @@ def _pt(x: Column, y: Column) -> Column:
     return _struct(x=x, y=y)
 
 
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once; a plain Python call would
+    repeat the expression at every use."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def rect(minx: ColumnLike, miny: ColumnLike, maxx: ColumnLike, maxy: ColumnLike) -> Column:
     """Closed counter-clockwise rectangle as a one-ring geometry."""
     x0, y0, x1, y1 = (_c(v).cast("double") for v in (minx, miny, maxx, maxy))
@@ -167,8 +173,9 @@ def _segments_meet(e: Column, f: Column) -> Column:
 def intersects(g1: ColumnLike, g2: ColumnLike) -> Column:
     """True when the polygons share at least one point, borders included."""
     g1, g2 = _c(g1), _c(g2)
-    e2 = edges(g2)
-    borders = F.exists(edges(g1), lambda e: F.exists(e2, lambda f: _segments_meet(e, f)))
+    borders = _let(
+        edges(g2), lambda e2: F.exists(edges(g1), lambda e: F.exists(e2, lambda f: _segments_meet(e, f)))
+    )
     a, b = g1[0][0], g2[0][0]
     return borders | covers_point(a["x"], a["y"], g2) | covers_point(b["x"], b["y"], g1)
 
@@ -194,23 +201,22 @@ def _clip_by_line(ring: Column, e: Column) -> Column:
         return dx * (py - e["ya"]) - dy * (px - e["xa"])
 
     def piece(s: Column) -> Column:
-        da, db = side(s["xa"], s["ya"]), side(s["xb"], s["yb"])
-        t = F.try_divide(da, da - db)
-        cut = _pt(s["xa"] + t * (s["xb"] - s["xa"]), s["ya"] + t * (s["yb"] - s["ya"]))
         end = _pt(s["xb"], s["yb"])
-        return (
-            F.when((da >= 0) & (db >= 0), F.array(end))
-            .when((da >= 0) & (db < 0), F.array(cut))
-            .when((da < 0) & (db >= 0), F.array(cut, end))
-            .otherwise(F.slice(F.array(end), 1, 0))
-        )
 
-    open_ring = F.flatten(F.transform(ring_edges(ring), piece))
-    return _close(open_ring)
+        def kept(d: Column) -> Column:
+            t = F.try_divide(d["a"], d["a"] - d["b"])
+            cut = _pt(s["xa"] + t * (s["xb"] - s["xa"]), s["ya"] + t * (s["yb"] - s["ya"]))
+            return (
+                F.when((d["a"] >= 0) & (d["b"] >= 0), F.array(end))
+                .when(d["a"] >= 0, F.array(cut))
+                .when(d["b"] >= 0, F.array(cut, end))
+                .otherwise(F.slice(F.array(end), 1, 0))
+            )
 
+        return _let(_struct(a=side(s["xa"], s["ya"]), b=side(s["xb"], s["yb"])), kept)
 
-def _close(points: Column) -> Column:
-    return F.concat(points, F.slice(points, 1, 1))
+    open_ring = F.flatten(F.transform(ring_edges(ring), piece))
+    return _let(open_ring, lambda points: F.concat(points, F.slice(points, 1, 1)))
 
 
 def clip_to_convex(geom: ColumnLike, clip_ring: ColumnLike) -> Column:
@@ -219,17 +225,49 @@ def clip_to_convex(geom: ColumnLike, clip_ring: ColumnLike) -> Column:
     The rings are clipped one by one, so holes stay holes. A ring that does not
     survive (fewer than three corners) is removed.
     """
-    clip_edges = ring_edges(_c(clip_ring))
-    cut = F.transform(_c(geom), lambda ring: F.aggregate(clip_edges, ring, _clip_by_line))
+    cut = _let(
+        ring_edges(_c(clip_ring)),
+        lambda clip: F.transform(_c(geom), lambda ring: F.aggregate(clip, ring, _clip_by_line)),
+    )
     return F.filter(cut, lambda r: F.size(r) > 3)
 
 
-def interval_overlap_area(edge_list: Column, x0: Column, x1: Column, y0: Column, y1: Column) -> Column:
-    """Exact area of an oriented polygon inside the rectangle [x0,x1] x [y0,y1].
+def clip_with_area(geom: ColumnLike, clip_ring: ColumnLike) -> Column:
+    """STRUCT(geom, area) of the clipped geometry, computed once."""
+    return _let(clip_to_convex(geom, clip_ring), lambda g: _struct(geom=g, area=area(g)))
+
+
+def edge_slabs(edge_list: Column, y0: Column, y1: Column) -> Column:
+    """Edges cut to the horizontal slab [y0, y1]: STRUCT(u, v, s) with the smaller
+    and larger x and the signed height (minus for upward edges). Edges outside the
+    slab and horizontal ones are dropped: they have no height in it."""
+
+    def slab(e: Column) -> Column:
+        down = e["yb"] < e["ya"]
+        slope = F.try_divide(e["xb"] - e["xa"], e["yb"] - e["ya"])
+
+        def ends(d: Column) -> Column:
+            a, b = e["xa"] + slope * (d["lo"] - e["ya"]), e["xa"] + slope * (d["hi"] - e["ya"])
+            height = d["hi"] - d["lo"]
+            return _struct(u=F.least(a, b), v=F.greatest(a, b), s=F.when(down, height).otherwise(-height))
+
+        lo = F.greatest(F.least(e["ya"], e["yb"]), y0)
+        hi = F.least(F.greatest(e["ya"], e["yb"]), y1)
+        return _let(_struct(lo=lo, hi=hi), ends)
+
+    crossing = F.filter(
+        edge_list,
+        lambda e: (e["ya"] != e["yb"]) & (F.least(e["ya"], e["yb"]) < y1) & (F.greatest(e["ya"], e["yb"]) > y0),
+    )
+    return F.transform(crossing, slab)
 
-    Green's theorem by rows: each edge contributes the integral over its y-range
-    (cut to the rectangle) of the clamped distance from x0. Concave rings and
-    holes need no special case because opposite edges cancel.
+
+def slab_area(slabs: Column, x0: Column, x1: Column) -> Column:
+    """Exact area of an oriented polygon between x0 and x1 in the slab of ``slabs``.
+
+    Green's theorem by rows: each edge adds its signed height times the mean of the
+    distance from x0, clamped to the width. Concave rings and holes need no special
+    case because opposite edges cancel.
     """
     w = x1 - x0
 
@@ -237,20 +275,17 @@ def interval_overlap_area(edge_list: Column, x0: Column, x1: Column, y0: Column,
         return F.least(F.greatest(v, F.lit(0.0)), w)
 
     def term(e: Column) -> Column:
-        ylo = F.greatest(F.least(e["ya"], e["yb"]), y0)
-        yhi = F.least(F.greatest(e["ya"], e["yb"]), y1)
-        slope = F.try_divide(e["xb"] - e["xa"], e["yb"] - e["ya"])
-        u = e["xa"] + slope * (ylo - e["ya"]) - x0
-        v = e["xa"] + slope * (yhi - e["ya"]) - x0
-        lo, hi = F.least(u, v), F.greatest(u, v)
-        clo, chi = clamp(lo), clamp(hi)
-        inside = (chi - clo) * (chi + clo) / F.lit(2.0)
-        beyond = w * (F.greatest(hi, w) - F.greatest(lo, w))
-        mean_width = F.when(hi > lo, F.try_divide(inside + beyond, hi - lo)).otherwise(clo)
-        sign = F.when(e["yb"] > e["ya"], F.lit(-1.0)).otherwise(F.lit(1.0))
-        return F.when((yhi > ylo), sign * (yhi - ylo) * mean_width).otherwise(F.lit(0.0))
-
-    return F.abs(F.aggregate(edge_list, F.lit(0.0), lambda s, e: s + term(e)))
+        def mean(d: Column) -> Column:
+            inside = (d["chi"] - d["clo"]) * (d["chi"] + d["clo"]) / F.lit(2.0)
+            beyond = w * (F.greatest(d["hi"], w) - F.greatest(d["lo"], w))
+            return F.coalesce(F.try_divide(inside + beyond, d["hi"] - d["lo"]), d["clo"])
+
+        lo, hi = e["u"] - x0, e["v"] - x0
+        sloped = _let(_struct(lo=lo, hi=hi, clo=clamp(lo), chi=clamp(hi)), mean)
+        # Edges wholly to one side of the cell are the common case.
+        return e["s"] * F.when(e["u"] >= x1, w).when(e["v"] <= x0, F.lit(0.0)).otherwise(sloped)
+
+    return F.abs(F.aggregate(slabs, F.lit(0.0), lambda total, e: total + term(e)))
 
 
 # ---- text formats ----------------------------------------------------------

@@ -105,16 +105,25 @@ def crop_to_extent(pixels: DataFrame, ext: ZoneExtent) -> DataFrame:
     )
 
 
-def zone_cells(zones: DataFrame, grid: Grid, keep: list[str]) -> DataFrame:
+def _zone_rows(zones: DataFrame, grid: Grid, keep: list[str], spread: bool) -> DataFrame:
+    """One row per polygon and raster row: keep, _c0, _c1, edges, row.
+
+    ``spread`` shuffles these (not the far more numerous cells) by key and row, so
+    that one huge polygon is filled by many tasks.
+    """
+    w = _cell_window(zones.select(*keep, "geom"), grid)
+    rows = w.select(*keep, "_c0", "_c1", G.edges("geom").alias("_e"), F.explode(F.sequence("_r0", "_r1")).alias("row"))
+    return rows.repartition(*keep, "row") if spread else rows
+
+
+def zone_cells(zones: DataFrame, grid: Grid, keep: list[str], spread: bool = False) -> DataFrame:
     """Cells whose centre lies in the polygon: ``keep`` columns + row, col.
 
     Half-open on both axes (low border in, high border out), so neighbouring
     polygons neither share nor lose a cell. Holes and multi-part polygons work by
     the even-odd rule.
     """
-    rows = _cell_window(zones.select(*keep, "geom"), grid).select(
-        *keep, G.edges("geom").alias("_e"), F.explode(F.sequence("_r0", "_r1")).alias("row")
-    )
+    rows = _zone_rows(zones, grid, keep, spread)
     yc = grid.y_of(F.col("row"))
     crossing = F.transform(
         F.filter("_e", lambda e: (e["ya"] <= yc) != (e["yb"] <= yc)),
@@ -138,26 +147,28 @@ def zone_cells(zones: DataFrame, grid: Grid, keep: list[str]) -> DataFrame:
     return spans.select(*keep, "row", F.explode(F.sequence("_s.a", "_s.b")).alias("col"))
 
 
-def coverage_cells(zones: DataFrame, grid: Grid, keep: list[str], window: bool = False) -> DataFrame:
+def coverage_cells(
+    zones: DataFrame, grid: Grid, keep: list[str], window: bool = False, spread: bool = False
+) -> DataFrame:
     """Exact share of each cell's area inside the polygon: ``keep`` + row, col, coverage.
 
     With ``window=True`` the cells of the polygon's bounding window with coverage
     0 are kept too.
     """
-    rows = _cell_window(zones.select(*keep, "geom"), grid).select(
-        *keep, "_c0", "_c1", G.edges("geom").alias("_e"), F.explode(F.sequence("_r0", "_r1")).alias("row")
-    )
+    rows = _zone_rows(zones, grid, keep, spread)
     ya = F.lit(grid.y0) + F.col("row") * F.lit(grid.dy)
     yb = F.lit(grid.y0) + (F.col("row") + 1) * F.lit(grid.dy)
-    lo, hi = F.least(ya, yb), F.greatest(ya, yb)
-    row_edges = F.filter(
-        "_e", lambda e: (F.least(e["ya"], e["yb"]) < hi) & (F.greatest(e["ya"], e["yb"]) > lo)
-    )
-    cells = rows.select(
-        *keep, "row", row_edges.alias("_e"), F.explode(F.sequence("_c0", "_c1")).alias("col")
-    )
-    xa = F.lit(grid.x0) + F.col("col") * F.lit(grid.dx)
-    xb = F.lit(grid.x0) + (F.col("col") + 1) * F.lit(grid.dx)
-    share = G.interval_overlap_area(F.col("_e"), xa, xb, lo, hi) / F.lit(abs(grid.dx * grid.dy))
-    out = cells.select(*keep, "row", "col", share.alias("coverage"))
-    return out if window else out.where(F.col("coverage") > 0)
+    slabs = G.edge_slabs(F.col("_e"), F.least(ya, yb), F.greatest(ya, yb))
+    # The one-element explode keeps the slabs from being computed anew for every cell.
+    rows = rows.select(*keep, "row", "_c0", "_c1", F.explode(F.array(slabs)).alias("_s"))
+
+    def cell(col: Column) -> Column:
+        xa = F.lit(grid.x0) + col * F.lit(grid.dx)
+        xb = F.lit(grid.x0) + (col + 1) * F.lit(grid.dx)
+        share = G.slab_area(F.col("_s"), xa, xb) / F.lit(abs(grid.dx * grid.dy))
+        return F.named_struct(F.lit("col"), col, F.lit("coverage"), share)
+
+    cells = F.transform(F.sequence("_c0", "_c1"), cell)
+    if not window:
+        cells = F.filter(cells, lambda c: c["coverage"] > 0)
+    return rows.select(*keep, "row", F.inline(cells))

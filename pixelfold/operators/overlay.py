@@ -158,13 +158,19 @@ def overlay_intersection(
             "array<struct<x:double,y:double>>"
         )
     )
-    cut = pairs.withColumn("geom", G.clip_to_convex("l__geom", G.orient(F.array(checked))[0]))
-    cut = cut.withColumn("area", G.area("geom")).where(F.col("area") > 0)
+    piece = G.clip_with_area("l__geom", G.orient(F.array(checked))[0])
+    # Filter and explode inside one expression: a filter above a projection would clip twice.
+    # Cutting costs far more than moving a pair, so pairs of one crowded cell are spread first.
+    ids = [c for c in pairs.columns if not c.endswith("__geom")]
+    cut = pairs.repartition(*ids).select(
+        *ids,
+        F.explode(F.filter(F.array(piece), lambda s: s["area"] > 0)).alias("_s"),
+    )
     return cut.select(
         *[F.col(f"l_{c}").alias(f"{c}_1") for c in left_cols],
         *[F.col(f"r_{c}").alias(f"{c}_2") for c in right_cols],
-        "geom",
-        "area",
+        F.col("_s.geom").alias("geom"),
+        F.col("_s.area").alias("area"),
     )
 
 

@@ -10,10 +10,11 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import indices as I
 from ..plans.sizing import BROADCAST_CELLS
-from .grid import Grid, coverage_cells, crop_to_extent, zone_cells, zone_extent
+from .grid import Grid, ZoneExtent, coverage_cells, crop_to_extent, zone_cells, zone_extent
 from .quantiles import group_mad, group_quantiles
 from .runs import sorted_groups
 
+SPREAD_CELLS = 100_000
 CATEGORICAL_BANDS = ("oa_fmask", "SCL", "scl", "qa_pixel", "Fmask")  # fixed values: mask band names
 
 
@@ -24,14 +25,16 @@ def data_bands(bands: Sequence[str], include_categorical: bool = False) -> list[
 
 # ---- pixels of zones -------------------------------------------------------
 
-def rasterize(zones: DataFrame, grid: Grid, key: str, order: str | None = None, overlap: bool = False) -> DataFrame:
+def rasterize(
+    zones: DataFrame, grid: Grid, key: str, order: str | None = None, overlap: bool = False, spread: bool = True
+) -> DataFrame:
     """Cells of each zone. Without ``overlap`` a cell goes to the zone with the
     highest ``order`` (the later one); ``max_by`` combines map-side."""
     if overlap:
-        return zone_cells(zones, grid, [key])
+        return zone_cells(zones, grid, [key], spread)
     order = order or key
     keep = list(dict.fromkeys([key, order]))
-    cells = zone_cells(zones, grid, keep)
+    cells = zone_cells(zones, grid, keep, spread)
     return cells.groupBy("row", "col").agg(F.max_by(key, order).alias(key))
 
 
@@ -47,10 +50,16 @@ def _cells_with_pixels(pixels: DataFrame, cells: DataFrame, ext) -> DataFrame:
     return crop_to_extent(pixels, ext).join(cells, ["row", "col"])
 
 
+def _large(ext: ZoneExtent) -> bool:
+    """Layers worth spreading over tasks before their cells are filled in."""
+    return ext.max_cells > SPREAD_CELLS
+
+
 def clip(pixels: DataFrame, zones: DataFrame, grid: Grid, key: str) -> DataFrame:
     """Pixels with their centre in a polygon, once per polygon; NULL keys skipped."""
     zones = zones.where(F.col(key).isNotNull())
-    return _cells_with_pixels(pixels, zone_cells(zones, grid, [key]), zone_extent(zones, grid))
+    ext = zone_extent(zones, grid)
+    return _cells_with_pixels(pixels, zone_cells(zones, grid, [key], _large(ext)), ext)
 
 
 def clip_all_touched(
@@ -59,8 +68,9 @@ def clip_all_touched(
     """Pixels of every touched cell; with ``outside="zero"`` the rest of the
     polygon's window is kept with value 0 and counts in later statistics."""
     zones = zones.where(F.col(key).isNotNull())
-    cells = coverage_cells(zones, grid, [key], window=outside == "zero")
-    joined = _cells_with_pixels(pixels, cells, zone_extent(zones, grid))
+    ext = zone_extent(zones, grid)
+    cells = coverage_cells(zones, grid, [key], outside == "zero", _large(ext))
+    joined = _cells_with_pixels(pixels, cells, ext)
     touched = F.col("coverage") > 0
     return joined.withColumns(
         {b: F.when(touched, F.coalesce(F.col(b).cast("double"), F.lit(0.0))).otherwise(0.0) for b in bands}
@@ -139,7 +149,7 @@ def zonal_stats(
     ``exclusive_order`` gives overlapping cells to the later zone.
     """
     ext = zone_extent(zones, grid)
-    cells = rasterize(zones, grid, key, exclusive_order, overlap=exclusive_order is None)
+    cells = rasterize(zones, grid, key, exclusive_order, exclusive_order is None, _large(ext))
     values = _cells_with_pixels(pixels.select(time, "row", "col", value), cells, ext).select(key, time, value)
     if keep_all_zones:
         empty = F.lit(None).cast(pixels.schema[value].dataType)
@@ -188,8 +198,9 @@ def zonal_weighted(
     """Coverage-weighted statistics: sum(v*c) / sum(c of non-null v), and min/max/sum/count."""
     zones = zones.where(F.col(key).isNotNull())
     keep = list(dict.fromkeys([key, *include_cols]))
-    cells = coverage_cells(zones, grid, keep)
-    joined = _cells_with_pixels(pixels.select(time, "row", "col", *bands), cells, zone_extent(zones, grid))
+    ext = zone_extent(zones, grid)
+    cells = coverage_cells(zones, grid, keep, spread=_large(ext))
+    joined = _cells_with_pixels(pixels.select(time, "row", "col", *bands), cells, ext)
     c = F.col("coverage")
     aggs = []
     for b in bands:

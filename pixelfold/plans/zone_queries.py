@@ -435,4 +435,4 @@ def _(spark, d):
     " LATERAL (SELECT unnest(range(CAST(floor(minx) AS BIGINT), CAST(ceil(maxx) AS BIGINT))) AS c) AS b WHERE c < 160",
 )
 def _(spark, d):
-    return grid.coverage_cells(B.plots(spark, d), B.PLOT_GRID, ["plot_key"])
+    return grid.coverage_cells(B.plots(spark, d), B.PLOT_GRID, ["plot_key"], spread=True)

@@ -133,26 +133,25 @@ def flatten_items(
     head = F.from_json(
         doc,
         "struct<id:string,collection:string,collection_id:string,bbox:array<double>,"
-        "geometry:struct<type:string,coordinates:string>,assets:map<string,string>>",
+        "geometry:struct<type:string,coordinates:string>,assets:map<string,string>,properties:string>",
     )
-    src = items_json.select(
-        head.alias("_h"),
-        F.from_json(F.get_json_object(doc, "$.properties"), "map<string,string>").alias("_p"),
-        F.get_json_object(doc, "$.properties").alias("_props"),
-    )
-    p = lambda k: F.col("_p")[k]
-    pick = (lambda *ks: V.first_truthy(*[p(k) for k in ks])) if truthy else (
-        lambda *ks: F.coalesce(*[p(k) for k in ks])
-    )
-    when = F.try_to_timestamp(pick("datetime", "acquired", "start_datetime", "end_datetime"))
     coords = F.col("_h.geometry.coordinates")
-    shell = F.when(
+    rings = F.when(
         F.col("_h.geometry.type") == "Polygon", F.from_json(coords, "array<array<array<double>>>")
     ).when(
         F.col("_h.geometry.type") == "MultiPolygon",
         F.flatten(F.from_json(coords, "array<array<array<array<double>>>>")),
     )
-    points = F.flatten(shell)
+    # One parse of the document, then of its text members; each stage is read several times below.
+    src = items_json.select(head.alias("_h")).select(
+        "_h", F.from_json("_h.properties", "map<string,string>").alias("_p"), F.flatten(rings).alias("_xy")
+    )
+    p = lambda k: F.col("_p")[k]
+    pick = (lambda *ks: V.first_truthy(*[p(k) for k in ks])) if truthy else (
+        lambda *ks: F.coalesce(*[p(k) for k in ks])
+    )
+    when = F.try_to_timestamp(pick("datetime", "acquired", "start_datetime", "end_datetime"))
+    points = F.col("_xy")
     box = F.when(
         points.isNotNull(),
         F.array(
@@ -165,7 +164,7 @@ def flatten_items(
     href = F.transform_values("_h.assets", lambda k, v: F.coalesce(F.get_json_object(v, "$.href"), v))
     keep = [k for k in STANDARD_KEYS if not k.startswith(tuple(drop_prefixes) or ("\0",))]
     more = [k for k in extra_keys if k not in STANDARD_KEYS and not k.startswith(tuple(drop_prefixes) or ("\0",))]
-    out = src.select(
+    out = src.select("_h", "_p", box.alias("_box")).select(
         F.col("_h.id").alias("item_id"),
         F.coalesce("_h.collection", "_h.collection_id").alias("collection"),
         when.alias("datetime"),
@@ -180,8 +179,8 @@ def flatten_items(
         p("mission").alias("mission"),
         href.alias("assets"),
         F.to_json(href).alias("assets_json"),
-        F.col("_props").alias("properties"),
-        *[box[i].alias(n) for i, n in enumerate(("minx", "miny", "maxx", "maxy"))],
+        F.col("_h.properties").alias("properties"),
+        *[F.col("_box")[i].alias(n) for i, n in enumerate(("minx", "miny", "maxx", "maxy"))],
         *[p(k).alias("raw_" + V.safe_name(k)) for k in keep],
         *[p(k).alias("prop_" + V.safe_name(k)) for k in more],
     )

@@ -38,7 +38,7 @@ def zonal_mean_stream(
     progress (``numRowsDroppedByWatermark``).
     """
     ext = zone_extent(zones, grid)
-    cells = zone_cells(zones.where(F.col(key).isNotNull()), grid, [key])
+    cells = zone_cells(zones.where(F.col(key).isNotNull()), grid, [key], spread=True)
     if ext.max_cells <= BROADCAST_CELLS:
         cells = F.broadcast(cells)
     joined = crop_to_extent(pixels.withWatermark("time", delay), ext).join(cells, ["row", "col"])

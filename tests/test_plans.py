@@ -21,6 +21,13 @@ NO_PYTHON = [
 ]
 
 
+@pytest.fixture(autouse=True, scope="module")
+def whole_filters(spark):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
