@@ -182,15 +182,19 @@ def intersects(g1: ColumnLike, g2: ColumnLike) -> Column:
 
 def is_convex_ring(ring: ColumnLike) -> Column:
     """No turn to both sides along the ring."""
-    es = ring_edges(_c(ring))
-    turns = F.zip_with(
-        es,
-        F.concat(F.slice(es, 2, F.greatest(F.size(es) - 1, F.lit(0))), F.slice(es, 1, 1)),
-        lambda e, f: F.signum(
-            (e["xb"] - e["xa"]) * (f["yb"] - f["ya"]) - (e["yb"] - e["ya"]) * (f["xb"] - f["xa"])
-        ),
-    )
-    return ~(F.exists(turns, lambda t: t > 0) & F.exists(turns, lambda t: t < 0))
+
+    def turns(es: Column) -> Column:
+        following = F.concat(F.slice(es, 2, F.greatest(F.size(es) - 1, F.lit(0))), F.slice(es, 1, 1))
+        return F.zip_with(
+            es,
+            following,
+            lambda e, f: F.signum(
+                (e["xb"] - e["xa"]) * (f["yb"] - f["ya"]) - (e["yb"] - e["ya"]) * (f["xb"] - f["xa"])
+            ),
+        )
+
+    signs = _let(ring_edges(_c(ring)), turns)
+    return ~_let(signs, lambda t: F.array_contains(t, 1.0) & F.array_contains(t, -1.0))
 
 
 def _clip_by_line(ring: Column, e: Column) -> Column:

@@ -151,15 +151,14 @@ def overlay_intersection(
     The right layer must hold convex single-ring polygons; another shape raises.
     Pieces without area are dropped, a left polygon on a border yields several.
     """
-    pairs = candidate_pairs(left, right, left_cols, right_cols)
-    shell = F.col("r__geom")[0]
-    checked = F.when((F.size("r__geom") == 1) & G.is_convex_ring(shell), shell).otherwise(
-        F.raise_error(F.lit("overlay needs convex single-ring polygons on the right side")).cast(
-            "array<struct<x:double,y:double>>"
-        )
+    shell = F.col("geom")[0]
+    convex = F.when((F.size("geom") == 1) & G.is_convex_ring(shell), G.orient("geom")).otherwise(
+        F.raise_error(F.lit("overlay needs convex single-ring polygons on the right side")).cast(G.GEOM_DDL)
     )
-    piece = G.clip_with_area("l__geom", G.orient(F.array(checked))[0])
-    # Filter and explode inside one expression: a filter above a projection would clip twice.
+    # Checked once per polygon, before it meets its pairs.
+    right = right.where(F.col("geom").isNotNull()).withColumn("geom", convex)
+    pairs = candidate_pairs(left, right, left_cols, right_cols)
+    piece = G.clip_with_area("l__geom", F.col("r__geom")[0])
     # Cutting costs far more than moving a pair, so pairs of one crowded cell are spread first.
     ids = [c for c in pairs.columns if not c.endswith("__geom")]
     cut = pairs.repartition(*ids).select(
