@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import indices as I
-from ..plans.sizing import BROADCAST_CELLS
+from ..plans.sizing import BROADCAST_CELLS, sized_cells, small_side
 from .grid import Grid, ZoneExtent, coverage_cells, crop_to_extent, zone_cells, zone_extent
 from .quantiles import group_mad, group_quantiles
 from .runs import sorted_groups
@@ -45,9 +45,7 @@ def _cells_with_pixels(pixels: DataFrame, cells: DataFrame, ext) -> DataFrame:
     pixels are never shuffled for the join. Otherwise both sides are shuffled by
     cell, and adaptive execution splits hot partitions.
     """
-    if ext.max_cells <= BROADCAST_CELLS:
-        cells = F.broadcast(cells)
-    return crop_to_extent(pixels, ext).join(cells, ["row", "col"])
+    return crop_to_extent(pixels, ext).join(sized_cells(cells, ext.max_cells, BROADCAST_CELLS), ["row", "col"])
 
 
 def _large(ext: ZoneExtent) -> bool:
@@ -119,7 +117,7 @@ def zonal_mean_of_labels(pixels: DataFrame, labels: DataFrame, key: str, bands:
     """Zonal mean against a stored label table (row, col, key): rasterise once, reuse."""
     return (
         pixels.select("time", "row", "col", *bands)
-        .join(labels.select("row", "col", key), ["row", "col"])
+        .join(small_side(labels.select("row", "col", key), BROADCAST_CELLS), ["row", "col"])
         .groupBy(key, "time")
         .agg(*[F.avg(b).alias(f"{b}_mean") for b in bands])
     )

@@ -3,6 +3,7 @@
 from . import (  # noqa: F401
     catalog_queries,
     composite_queries,
+    file_queries,
     focal_queries,
     pixel_queries,
     polygon_queries,

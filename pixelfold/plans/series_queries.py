@@ -172,7 +172,7 @@ SLOTS = series.slot_edges(datetime(2024, 1, 1), datetime(2024, 1, 31), 13)
 
 @query(
     "time_slots",
-    "SELECT CAST(slot AS BIGINT) AS slot, count(*) AS n, sum(event_id) AS ids FROM (SELECT event_id, "
+    "SELECT CAST(slot AS BIGINT) AS slot, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM (SELECT event_id, "
     + " + ".join(f"(CASE WHEN CAST(ts AS DATE) >= DATE '{e}' THEN 1 ELSE 0 END)" for e in SLOTS[1:-1])
     + f" AS slot FROM events WHERE CAST(ts AS DATE) >= DATE '{SLOTS[0]}' AND CAST(ts AS DATE) < DATE '{SLOTS[-1]}') GROUP BY 1",
 )

@@ -18,10 +18,17 @@ BROADCAST_CELLS = 2_000_000
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when it is proven to hold at most ``max_rows`` rows."""
+    """Mark ``df`` for broadcast when it is proven to hold at most ``max_rows`` rows,
+    and for a sort-merge join otherwise: the planner's own estimate does not see
+    how far an ``explode`` multiplies rows and might broadcast them."""
     if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
-    return df
+    return df.hint("merge")
+
+
+def sized_cells(cells: DataFrame, max_cells: int, limit: int = BROADCAST_CELLS) -> DataFrame:
+    """The same choice for zone cells whose number is bounded by ``max_cells``."""
+    return F.broadcast(cells) if max_cells <= limit else cells.hint("merge")
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.grid import Grid, zone_cells, zone_extent, crop_to_extent
-from ..plans.sizing import BROADCAST_CELLS
+from ..plans.sizing import sized_cells
 
 
 def read_pixel_stream(
@@ -39,8 +39,7 @@ def zonal_mean_stream(
     """
     ext = zone_extent(zones, grid)
     cells = zone_cells(zones.where(F.col(key).isNotNull()), grid, [key], spread=True)
-    if ext.max_cells <= BROADCAST_CELLS:
-        cells = F.broadcast(cells)
+    cells = sized_cells(cells, ext.max_cells)
     joined = crop_to_extent(pixels.withWatermark("time", delay), ext).join(cells, ["row", "col"])
     return (
         joined.groupBy(F.window("time", window), key)
