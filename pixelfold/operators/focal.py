@@ -8,13 +8,15 @@ a task a block is one small dense array and the arithmetic is vectorised.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .runs import sorted_groups
+
 CELL = ["row", "col"]
 Block = Mapping[str, np.ndarray]
 
@@ -52,10 +54,14 @@ def apply_neighborhood(
     blocks = src.withColumn("_br", owners("row")).withColumn("_bc", owners("col"))
     side = size + 2 * overlap
 
-    def run(cells: pa.Table) -> pa.Table:
-        row, col = (cells[c].to_numpy() for c in CELL)
-        top, left = cells["_br"][0].as_py() * size, cells["_bc"][0].as_py() * size
-        core = np.flatnonzero((row >= top) & (row < top + size) & (col >= left) & (col < left + size))
+    keys = [*by, "_br", "_bc"]
+
+    def one(block_row: int, block_col: int, row: np.ndarray, col: np.ndarray, vals: Block):
+        """Core flags of a block's cells and the results of the core cells."""
+        top, left = block_row * size, block_col * size
+        core = (row >= top) & (row < top + size) & (col >= left) & (col < left + size)
+        if not core.any():
+            return core, None
         if full_window:
             r0, c0, shape = top - overlap, left - overlap, (side, side)
         else:
@@ -63,18 +69,36 @@ def apply_neighborhood(
             shape = (row.max() - r0 + 1, col.max() - c0 + 1)
         block = {}
         for b in bands:
-            a = np.full(shape, np.nan)
-            a[row - r0, col - c0] = cells[b].to_numpy()
-            block[b] = a
-        result = fn(block) if len(core) else {}
-        kept = cells.select(by + CELL).take(pa.array(core))
-        for o in out:
-            v = np.asarray(result[o], dtype=float)[row[core] - r0, col[core] - c0] if len(core) else np.empty(0)
-            kept = kept.append_column(pa.field(o, pa.float64()), pa.array(v, mask=np.isnan(v)))
-        return kept
+            block[b] = np.full(shape, np.nan)
+            block[b][row - r0, col - c0] = vals[b]
+        result = fn(block)
+        at = row[core] - r0, col[core] - c0
+        return core, {o: np.asarray(result[o], dtype=float)[at] for o in out}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for groups in sorted_groups(batches, keys):
+            t = groups.table
+            column = {c: t[c].to_numpy() for c in [*CELL, "_br", "_bc", *bands]}
+            keep = np.zeros(t.num_rows, dtype=bool)
+            values = {o: np.full(t.num_rows, np.nan) for o in out}
+            for i, j in zip(groups.starts, np.append(groups.starts[1:], t.num_rows)):
+                core, result = one(
+                    int(column["_br"][i]), int(column["_bc"][i]), column["row"][i:j], column["col"][i:j],
+                    {b: column[b][i:j] for b in bands},
+                )
+                if result is not None:
+                    keep[i:j] = core
+                    for o in out:
+                        values[o][i:j][core] = result[o]
+            rows = np.flatnonzero(keep)
+            kept = t.select(by + CELL).take(pa.array(rows))
+            for o in out:
+                v = values[o][rows]
+                kept = kept.append_column(pa.field(o, pa.float64()), pa.array(v, mask=np.isnan(v)))
+            yield from kept.combine_chunks().to_batches()
 
     schema = T.StructType([src.schema[c] for c in by + CELL] + [T.StructField(o, T.DoubleType()) for o in out])
-    return blocks.groupBy(*by, "_br", "_bc").applyInArrow(run, schema)
+    return blocks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
 
 
 def convolve(a: np.ndarray, kernel: np.ndarray) -> np.ndarray:
