@@ -13,6 +13,7 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 
 import __spark_entry__ as entry
 from check_queries import compare
+from pixelfold.plans.queries import ORACLES, QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +24,7 @@ def con(sf):
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, sf, name):
     assert compare(spark, con, sf, name) in (None, "no rows")
 
@@ -33,5 +34,5 @@ def test_entry_has_rows(spark):
 
 
 def test_only_queries_without_sql_form_lack_an_oracle():
-    missing = set(entry.queries()) - set(entry.oracle_sql())
+    missing = set(QUERIES) - set(ORACLES)
     assert missing == {"cubic_resampled", "zonal_percentiles_approximate"}
