@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, packing, quality_rules, simhash
+from . import bpe, language_id, packing, quality_classifier, quality_rules, simhash
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,10 +18,19 @@ def word_tokenizer() -> str:
     return public_tokenizers.path(WORD_TOKENIZER)
 
 
+def op1_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_classifier.classify(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer())
 
 
+def op5_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_documents(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = word_tokenizer()
     return bpe.digest_documents(bpe.encode_documents(table(spark, sf_dir, "documents"), path), path)
@@ -38,7 +47,9 @@ def op9_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_attention_quality": op1_attention_quality,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_rank_order_language": op5_rank_order_language,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_simhash_golay": op8_simhash_golay,
     "op9_risk_controlled_rules": op9_risk_controlled_rules,
