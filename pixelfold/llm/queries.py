@@ -7,13 +7,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, language_id, packing, quality_classifier, quality_rules, simhash
+from . import bpe, chat_formatting, html_extraction, language_id, nearest_neighbours, packing, quality_classifier, quality_rules, simhash, url_filters
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 WORD_TOKENIZER = "word_bpe_49k.json"
 
 
+#: Byte-level and lossless, so that its offsets cover white space and capitals.
+CHAT_TOKENIZER = "byte_bpe_50k.json"
+CONTROL_STRINGS = "</s>[INST] ok [/INST]"
+# The rules that the contract fixes.
+URL_RULES = [url_filters.Rule("net", "/", True), url_filters.Rule("example.net", "/en/", False), url_filters.Rule("example.com", "/de/", True), url_filters.Rule("org", "/fr/", False)]
+
+
 def word_tokenizer() -> str:
     return public_tokenizers.path(WORD_TOKENIZER)
 
@@ -23,6 +30,16 @@ def op1_attention_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.classify(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op2_template_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extraction.extract(table(spark, sf_dir, "pages"))
+
+
+def op3_offset_masked_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    added = spark.createDataFrame([(-7, 0, "user", CONTROL_STRINGS), (-7, 1, "assistant", CONTROL_STRINGS)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    return chat_formatting.digest_conversations(chat_formatting.format_conversations(rows, public_tokenizers.path(CHAT_TOKENIZER)))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer())
 
@@ -31,6 +48,10 @@ def op5_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify_documents(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op6_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = word_tokenizer()
     return bpe.digest_documents(bpe.encode_documents(table(spark, sf_dir, "documents"), path), path)
@@ -46,12 +67,20 @@ def op9_risk_controlled_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_segmented_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Query] = {
     "op1_attention_quality": op1_attention_quality,
+    "op2_template_extraction": op2_template_extraction,
+    "op3_offset_masked_chat": op3_offset_masked_chat,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_rank_order_language": op5_rank_order_language,
+    "op6_hilbert_neighbours": op6_hilbert_neighbours,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_simhash_golay": op8_simhash_golay,
     "op9_risk_controlled_rules": op9_risk_controlled_rules,
+    "op10_segmented_url_filter": op10_segmented_url_filter,
 }
 ORACLES: dict[str, str] = {}

@@ -69,6 +69,28 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     return narrow.mapInArrow(run, "key long, fp long").withColumnRenamed("key", key)
 
 
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` for each component: a row with the least key.
+
+    Rows of one key are one document, of which one row stays. Rows without a key stay where their component has no
+    other: one row with the component's least fingerprint.
+    """
+    found = materialize(near_duplicates(docs, key, text), "components")
+    keep = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
+    named = docs.join(keep, key, "left_semi").select(docs.columns).dropDuplicates([key])
+    roots = found.where(F.col("component_id").isNull()).where(F.col("fp") == F.col("root")).select("fp").distinct()
+    columns = docs.columns
+    unnamed = docs.where(F.col(key).isNull()).select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), F.col(text).cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "text"):
+            fp = np.array([fingerprint(t) for t in texts_of(b.column("text"))], "<u8").view("<i8")
+            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(fp)], names=["row", "fp"])
+
+    kinds = f"row {unnamed.schema['row'].dataType.simpleString()}, fp long"
+    return named.unionByName(unnamed.mapInArrow(run, kinds).join(roots, "fp", "left_semi").dropDuplicates(["fp"]).select("row.*"))
+
+
 @cache
 def _golay() -> tuple[np.ndarray, np.ndarray]:
     """Syndrome of each single bit, and the error pattern of each syndrome."""
@@ -190,7 +212,7 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, fp, component_id (the least key reachable over links, its own included) of every row.
+    """key, fp, component_id (the least key reachable over links, its own included), root (least fingerprint of the component) of every row.
 
     NULL and empty texts have fingerprint zero and link like any other; rows with a NULL key
     get a component too, whose id is NULL if no other key is in it. Repeated rows stay repeated.
@@ -202,8 +224,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     root = components(links(distinct))
     rooted = distinct.join(root, distinct["fp"] == root["node"], "left").select("fp", "least_key", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least_key").alias("component_id"))
-    named = rooted.join(least, "root").select("fp", "component_id")
-    return hashed.join(named, "fp").select(key, "fp", "component_id")
+    named = rooted.join(least, "root").select("fp", "component_id", "root")
+    return hashed.join(named, "fp").select(key, "fp", "component_id", "root")
 
 
 def hex_of(fp: Column) -> Column:
