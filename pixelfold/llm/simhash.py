@@ -186,7 +186,7 @@ def links(distinct: DataFrame, bucket: int = PAIR_BUCKET) -> DataFrame:
 
 
 def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
-    """node, root: the least node of each component of ``edges`` (a, b), for nodes with an edge.
+    """node, root: the least node of each component of ``edges`` (a, b), for all its other nodes.
 
     Alternates large-star and small-star steps; the edges of each round are a written table, and the rounds end when
     a round changes nothing. Raises if ``most_rounds`` did not suffice.
