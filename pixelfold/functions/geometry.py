@@ -176,8 +176,13 @@ def intersects(g1: ColumnLike, g2: ColumnLike) -> Column:
     borders = _let(
         edges(g2), lambda e2: F.exists(edges(g1), lambda e: F.exists(e2, lambda f: _segments_meet(e, f)))
     )
-    a, b = g1[0][0], g2[0][0]
-    return borders | covers_point(a["x"], a["y"], g2) | covers_point(b["x"], b["y"], g1)
+
+
+    def part_inside(g: Column, other: Column) -> Column:
+        # Without meeting borders a ring lies wholly inside or outside: one corner of each decides.
+        return F.exists(g, lambda ring: covers_point(ring[0]["x"], ring[0]["y"], other))
+
+    return borders | part_inside(g1, g2) | part_inside(g2, g1)
 
 
 def is_convex_ring(ring: ColumnLike) -> Column:
@@ -315,13 +320,35 @@ def wkt_to_geom(wkt: ColumnLike) -> Column:
     return F.flatten(F.transform(polys, polygon))
 
 
+def parts(geom: ColumnLike, shown, kind: str) -> Column:
+    """Rings of each part as one array: a counter-clockwise ring opens a part, its holes follow.
+
+    ``shown`` turns a ring into a value of the SQL type ``kind``."""
+    none = F.array().cast(f"array<array<{kind}>>")
+
+    def add(done: Column, ring: Column) -> Column:
+        own = F.array(shown(ring))
+        hole = (ring_signed_area(ring) < 0) & (F.size(done) > 0)
+        last = F.concat(F.element_at(done, -1), own)
+        return F.when(hole, F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(last))).otherwise(F.concat(done, F.array(own)))
+
+    return F.aggregate(_c(geom), none, add)
+
+
 def geom_to_wkt(geom: ColumnLike) -> Column:
+    """POLYGON text, MULTIPOLYGON with more than one part."""
     ring = lambda r: F.concat(
         F.lit("("),
         F.array_join(F.transform(r, lambda p: F.concat_ws(" ", p["x"].cast("string"), p["y"].cast("string"))), ", "),
         F.lit(")"),
     )
-    return F.concat(F.lit("POLYGON ("), F.array_join(F.transform(_c(geom), ring), ", "), F.lit(")"))
+    bodies = F.transform(parts(geom, ring, "string"), lambda p: F.concat(F.lit("("), F.array_join(p, ", "), F.lit(")")))
+
+    def text(b: Column) -> Column:
+        many = F.concat(F.lit("MULTIPOLYGON ("), F.array_join(b, ", "), F.lit(")"))
+        return F.when(F.size(b) > 1, many).otherwise(F.concat(F.lit("POLYGON "), F.coalesce(F.get(b, F.lit(0)), F.lit("()"))))
+
+    return _let(bodies, text)
 
 
 def geom_to_coordinates(geom: ColumnLike) -> Column:
@@ -329,6 +356,11 @@ def geom_to_coordinates(geom: ColumnLike) -> Column:
     return F.transform(_c(geom), lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])))
 
 
+def geom_to_part_coordinates(geom: ColumnLike) -> Column:
+    """Parts as nested rings, the coordinate member of a GeoJSON multi-polygon."""
+    return parts(geom, lambda r: F.transform(r, lambda p: F.array(p["x"], p["y"])), "array<array<double>>")
+
+
 def map_points(geom: ColumnLike, fn) -> Column:
     """Apply ``fn(x, y) -> (x', y')`` to every vertex."""
     return F.transform(_c(geom), lambda r: F.transform(r, lambda p: _pt(*fn(p["x"], p["y"]))))

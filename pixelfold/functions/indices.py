@@ -85,8 +85,9 @@ def to_db(v: ColumnLike) -> Column:
 
 
 def scale_int16(v: ColumnLike, k: float = 10000.0) -> Column:
-    """Round v*k to a 16-bit integer; NULL when it does not fit."""
-    return F.round(_c(v) * F.lit(k)).try_cast("smallint")
+    """Round v*k to a 16-bit integer, clamped to -32767..32767; -32768 stays free for nodata, NULL stays NULL."""
+    scaled = F.round(_c(v) * F.lit(k))
+    return F.when(scaled.isNotNull(), F.least(F.greatest(scaled, F.lit(-32767.0)), F.lit(32767.0))).cast("smallint")
 
 
 def unscale(v: ColumnLike, k: float = 10000.0) -> Column:

@@ -96,10 +96,16 @@ def tile_y(lat: Column, zoom: int) -> Column:
 
 
 def tile_cover(boxes: DataFrame, zoom: int, keep: Sequence[str] = ()) -> DataFrame:
-    """Tiles (z, tx, ty) that a lon/lat box (minx, miny, maxx, maxy) touches at a zoom."""
+    """Tiles (z, tx, ty) that a lon/lat box (minx, miny, maxx, maxy) touches at a zoom.
+
+    A box whose ``minx`` is larger than its ``maxx`` crosses the antimeridian."""
     whole = boxes.dropna(subset=["minx", "miny", "maxx", "maxy"])
+    west, east = tile_x(F.col("minx"), zoom), tile_x(F.col("maxx"), zoom)
+    first, last = F.lit(0).cast("long"), F.lit(2**zoom - 1).cast("long")
+    around = F.array_distinct(F.concat(F.sequence(west, last), F.sequence(first, east)))
+    columns = F.when(F.col("minx") <= F.col("maxx"), F.sequence(west, F.greatest(west, east))).otherwise(around)
     return (
-        whole.withColumn("tx", F.explode(F.sequence(tile_x(F.col("minx"), zoom), tile_x(F.col("maxx"), zoom))))
+        whole.withColumn("tx", F.explode(columns))
         .withColumn("ty", F.explode(F.sequence(tile_y(F.col("maxy"), zoom), tile_y(F.col("miny"), zoom))))
         .select(*keep, F.lit(zoom).alias("z"), "tx", "ty")
     )

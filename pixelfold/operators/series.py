@@ -232,7 +232,8 @@ WEATHER_MEANS = ("T.Max", "T.Min", "Radn", "VP", "RHmaxT", "RHminT")  # fixed va
 
 def detect_date(w: DataFrame, out: str = "date") -> DataFrame:
     """Adds the first of Date2 (day first), Date (yyyymmdd), first column (day
-    first) that parses for any row; the choice is global, as one scalar subquery."""
+    first) that parses for any row; the choice is global, as one scalar subquery.
+    A table with rows of which no column parses is an error."""
     candidates: list[Column] = []
     if "Date2" in w.columns:
         candidates.append(V.parse_day_first("Date2"))
@@ -241,7 +242,8 @@ def detect_date(w: DataFrame, out: str = "date") -> DataFrame:
     candidates.append(V.parse_day_first(F.col(f"`{w.columns[0]}`")))
     any_parsed = w.agg(F.array(*[F.count(c) > 0 for c in candidates]).alias("_any")).scalar()
     picked = F.array_position(any_parsed, F.lit(True))
-    chosen = F.lit(None).cast("date")
+    unreadable = F.raise_error(F.lit("no column holds dates")).cast("date")
+    chosen = F.when(picked == 0, unreadable)
     for i, c in reversed(list(enumerate(candidates, 1))):
         chosen = F.when(picked == i, c).otherwise(chosen)
     return w.withColumn(out, chosen).where(F.col(out).isNotNull())
@@ -249,14 +251,19 @@ def detect_date(w: DataFrame, out: str = "date") -> DataFrame:
 
 def weather_monthly(w: DataFrame, date_col: str = "date") -> DataFrame:
     """Month-end totals of rain and evaporation and means of the other variables
-    that the table has; text is coerced to numbers."""
+    that the table has; text is coerced to numbers. Months without rows between the
+    first and the last are kept: totals 0, means NULL."""
     wanted = [c for c in ("T.Max", "T.Min", "Rain", "Evap", "Radn", "VP", "RHmaxT", "RHminT") if c in w.columns]
     aggs = []
     for c in wanted:
         v = V.to_number(F.col(f"`{c}`"))
         total = F.coalesce(F.sum(v), F.lit(0.0)) if c in WEATHER_SUMS else F.avg(v)
         aggs.append(total.alias(c))
-    return w.groupBy(F.last_day(date_col).alias("month")).agg(*aggs)
+    found = w.groupBy(F.last_day(date_col).alias("month")).agg(*aggs)
+    ends = w.agg(F.trunc(F.min(date_col), "month").alias("a"), F.max(date_col).alias("b")).where("a IS NOT NULL")
+    months = ends.select(F.explode(F.sequence("a", "b", F.expr("INTERVAL 1 MONTH"))).alias("m")).select(F.last_day("m").alias("month"))
+    out = months.join(found, "month", "left")
+    return out.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in wanted if c in WEATHER_SUMS})
 
 
 def linear_fit(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:

@@ -29,13 +29,15 @@ def rasterize(
     zones: DataFrame, grid: Grid, key: str, order: str | None = None, overlap: bool = False, spread: bool = True
 ) -> DataFrame:
     """Cells of each zone. Without ``overlap`` a cell goes to the zone with the
-    highest ``order`` (the later one); ``max_by`` combines map-side."""
+    highest ``order`` (the later one), the larger key at ties; ``max_by`` combines
+    map-side. Zones with a NULL key are skipped."""
+    zones = zones.where(F.col(key).isNotNull())
     if overlap:
         return zone_cells(zones, grid, [key], spread)
     order = order or key
     keep = list(dict.fromkeys([key, order]))
     cells = zone_cells(zones, grid, keep, spread)
-    return cells.groupBy("row", "col").agg(F.max_by(key, order).alias(key))
+    return cells.groupBy("row", "col").agg(F.max_by(key, F.struct(order, key)).alias(key))
 
 
 def _cells_with_pixels(pixels: DataFrame, cells: DataFrame, ext) -> DataFrame:
@@ -117,7 +119,7 @@ def zonal_mean_of_labels(pixels: DataFrame, labels: DataFrame, key: str, bands:
     """Zonal mean against a stored label table (row, col, key): rasterise once, reuse."""
     return (
         pixels.select("time", "row", "col", *bands)
-        .join(small_side(labels.select("row", "col", key), BROADCAST_CELLS), ["row", "col"])
+        .join(small_side(labels.where(F.col(key).isNotNull()).select("row", "col", key), BROADCAST_CELLS), ["row", "col"])
         .groupBy(key, "time")
         .agg(*[F.avg(b).alias(f"{b}_mean") for b in bands])
     )
@@ -144,8 +146,10 @@ def zonal_stats(
 
     Zones without a valid cell are kept with NULLs and count 0: their rows enter
     as NULL values of the same aggregation, so one exchange serves both.
-    ``exclusive_order`` gives overlapping cells to the later zone.
+    ``exclusive_order`` gives overlapping cells to the later zone. Zones with a
+    NULL key are skipped.
     """
+    zones = zones.where(F.col(key).isNotNull())
     ext = zone_extent(zones, grid)
     cells = rasterize(zones, grid, key, exclusive_order, exclusive_order is None, _large(ext))
     values = _cells_with_pixels(pixels.select(time, "row", "col", value), cells, ext).select(key, time, value)
@@ -279,18 +283,14 @@ def zonal_user_stat(
     """User statistic of a zone's values: ``fn(values, counts) -> float``.
 
     ``fn`` sees the sorted distinct values and how often each occurs, which
-    determines every order-independent statistic. The band must be integer-coded
-    in 16 bits, so a group holds at most 65,536 pairs whatever its pixel count; a
-    value outside that range raises. Floating-point bands use
+    determines every order-independent statistic; bands of any number type are
+    taken. A group is as long as its band has distinct values in the zone: a
+    statistic that can be merged over parts of a huge zone is better given to
     ``zonal_user_partials``.
     """
     values = clip(pixels.select(*by, "row", "col", value), zones, grid, key).where(F.col(value).isNotNull())
-    v = F.col(value)
-    coded = F.when(
-        (v.cast("double") == F.floor(v.cast("double"))) & v.between(-32768, 65535), v.cast("int")
-    ).otherwise(F.raise_error(F.lit(f"{value} is not integer-coded in 16 bits")).cast("int"))
     keys = [key, *by]
-    hist = values.select(*keys, coded.alias("_v")).groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
+    hist = values.select(*keys, F.col(value).cast("double").alias("_v")).groupBy(*keys, "_v").agg(F.count("*").alias("_n"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for groups in sorted_groups(batches, keys):

@@ -14,7 +14,7 @@ from ..operators.grid import Grid
 
 PX_GRID = Grid(0.0, 0.0, 1.0, 1.0, 16, 16)
 # Plots lie 40 to a row of the layer, so the layer grows in y with the customer table.
-PLOT_GRID = Grid(0.0, 0.0, 1.0, 1.0, 160, 1 << 30)
+PLOT_GRID = Grid(0.0, 0.0, 1.0, 1.0, 176, 1 << 30)
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:

@@ -56,16 +56,17 @@ def _(spark, d):
 
 @query(
     "year_from_file_name",
-    B.sql("px") + "SELECT CAST(2021 AS INT) AS year, count(*) AS n, sum(red) AS red FROM px",
+    B.sql("px") + "SELECT CAST(year(time) AS INT) AS year, count(*) AS n, sum(red) AS red FROM px GROUP BY 1",
 )
 def _(spark, d):
-    out = shared_folder(spark, "yearly") + "/2021"
-    B.pixels(spark, d).select("row", "col", "red").write.parquet(out)
+    out = shared_folder(spark, "yearly")
+    named = F.concat(F.lit("T32631_"), F.year("time"), F.lit("_10m"))
+    B.pixels(spark, d).select("row", "col", "red", named.alias("S2_L2A")).write.partitionBy("S2_L2A").parquet(out)
     px = cube.read_by_year(spark, out, by_folder=True)
     return px.groupBy("year").agg(F.count("*").alias("n"), F.sum("red").alias("red"))
 
 
-AOIS = [f"NATION_{i}" for i in range(5)]
+AOIS = [f"NATION_{i}" for i in range(25)]
 
 
 @query(

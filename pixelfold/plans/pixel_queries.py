@@ -60,7 +60,7 @@ _index("decibel", lambda: I.to_db("nir"), "CASE WHEN nir > 0 THEN 10 * log10(nir
 _index(
     "scaled_int16",
     lambda: I.scale_int16(F.col("red") / 8).cast("double"),
-    "CASE WHEN red * 1250 <= 32767 THEN red * 1250 END",
+    "CASE WHEN red IS NOT NULL THEN least(greatest(red * 1250, -32767), 32767) END",
 )
 _index("unscaled", lambda: I.unscale("red", 10000), "red / 10000.0::DOUBLE")
 _index("reflectance", lambda: I.reflectance("nir", "blue"), "nir * blue")

@@ -53,7 +53,7 @@ def _(spark, d):
     return wide.select(day("day"), *[F.col(str(z)) for z in range(8)])
 
 
-PAIRS = [(m, z) for m in ("value", "double") for z in ("0", "1", "2")]
+PAIRS = [(m, z) for m in ("value", "double") for z in map(str, range(8))]
 
 
 @query(
@@ -274,13 +274,12 @@ def _(spark, d):
 @query(
     "stacked_years",
     B.sql("px")
-    + "SELECT CAST(year(time) AS INT) AS year, row, col, max(red) AS red FROM px WHERE year(time) BETWEEN 1996 AND 1998 GROUP BY 1, 2, 3",
+    + "SELECT CAST(year(time) AS INT) AS year, row, col, max(red) AS red FROM px GROUP BY 1, 2, 3",
 )
 def _(spark, d):
     px = B.pixels(spark, d)
-    yearly = {
-        y: px.where(F.year("time") == y).groupBy("row", "col").agg(F.max("red").alias("red")) for y in (1996, 1997, 1998)
-    }
+    years = [r["y"] for r in px.select(F.year("time").alias("y")).distinct().orderBy("y").collect()]
+    yearly = {y: px.where(F.year("time") == y).groupBy("row", "col").agg(F.max("red").alias("red")) for y in years}
     return tables.stack_by_year(yearly).select("year", "row", "col", "red")
 
 

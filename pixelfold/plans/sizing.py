@@ -1,7 +1,7 @@
 """Size checks that decide between a broadcast and a shuffled join.
 
-A side is broadcast only after its row count was proven to be small by an action
-that reads at most ``max_rows + 1`` rows of it. Beyond the bound the join stays
+A side is broadcast only after its row count was proven to be small by a count,
+of which every task sends one number. Beyond the bound the join stays
 a shuffled equi-join, which adaptive execution splits where keys are hot.
 """
 
@@ -21,7 +21,7 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast when it is proven to hold at most ``max_rows`` rows,
     and for a sort-merge join otherwise: the planner's own estimate does not see
     how far an ``explode`` multiplies rows and might broadcast them."""
-    if df.limit(max_rows + 1).count() <= max_rows:
+    if df.count() <= max_rows:
         return F.broadcast(df)
     return df.hint("merge")
 

@@ -409,7 +409,7 @@ def _(spark, d):
 PLOT_CELLS = (
     "SELECT plot_key, plot_order, CAST(r AS INT) AS row, CAST(c AS INT) AS col FROM"
     " (SELECT pl.*, unnest(range(CAST(ceil(miny - 0.5) AS BIGINT), CAST(ceil(maxy - 0.5) AS BIGINT))) AS r FROM pl) AS a,"
-    " LATERAL (SELECT unnest(range(CAST(ceil(minx - 0.5) AS BIGINT), CAST(ceil(maxx - 0.5) AS BIGINT))) AS c) AS b WHERE c < 160"
+    " LATERAL (SELECT unnest(range(CAST(ceil(minx - 0.5) AS BIGINT), CAST(ceil(maxx - 0.5) AS BIGINT))) AS c) AS b"
 )
 
 
@@ -432,7 +432,7 @@ def _(spark, d):
     + "SELECT plot_key, CAST(r AS INT) AS row, CAST(c AS INT) AS col,"
     " (least(c + 1, maxx) - greatest(c, minx)) * (least(r + 1, maxy) - greatest(r, miny)) AS coverage FROM"
     " (SELECT pl.*, unnest(range(CAST(floor(miny) AS BIGINT), CAST(ceil(maxy) AS BIGINT))) AS r FROM pl) AS a,"
-    " LATERAL (SELECT unnest(range(CAST(floor(minx) AS BIGINT), CAST(ceil(maxx) AS BIGINT))) AS c) AS b WHERE c < 160",
+    " LATERAL (SELECT unnest(range(CAST(floor(minx) AS BIGINT), CAST(ceil(maxx) AS BIGINT))) AS c) AS b",
 )
 def _(spark, d):
     return grid.coverage_cells(B.plots(spark, d), B.PLOT_GRID, ["plot_key"], spread=True)

@@ -130,12 +130,13 @@ def stack_bands(pixels_long: DataFrame, bands: Sequence[str]) -> DataFrame:
 
 
 def read_by_year(spark: SparkSession, path: str, schema: str | None = None, by_folder: bool = False) -> DataFrame:
-    """Parquet files of several years as one cube; the year is the number in the
-    file name or, with ``by_folder``, in the name of the folder that holds the file."""
+    """Parquet files of several years as one cube; the year is the last number
+    1900..2099 of four digits that stands alone in the file name or, with
+    ``by_folder``, in the name of the folder that holds the file."""
     reader = spark.read.schema(schema) if schema else spark.read
     df = reader.option("recursiveFileLookup", "true").parquet(path)
     name = F.element_at(F.split("_metadata.file_path", "/"), -2 if by_folder else -1)
-    return df.withColumn("year", F.regexp_extract(name, r"(\d{4})", 1).cast("int"))
+    return df.withColumn("year", F.regexp_extract(name, r"^.*(?<!\d)((?:19|20)\d{2})(?!\d)", 1).try_cast("int"))
 
 
 def cube_size_gb(tiles: DataFrame, bytes_per_value: int = 4) -> DataFrame:

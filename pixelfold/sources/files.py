@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import values as V
 from ..operators.series import pivot_metric_aoi, pivot_series
+from ..plans.sizing import materialize
 
 
 def canonical(df: DataFrame, header: Sequence[str]) -> DataFrame:
@@ -48,7 +50,10 @@ def write_by_year(df: DataFrame, out: str, time: str = "time", fmt: str = "parqu
 def write_wide(
     df: DataFrame, out: str, metrics: Sequence[str], aois: Sequence[str], time: str = "time"
 ) -> None:
-    """Long (time, aoi, metric, value) as one wide CSV per metric and a combined one."""
+    """Long (time, aoi, metric, value) as one wide CSV per metric and a combined one.
+
+    ``df`` is read once and written to the shared folder, from which the files are made."""
+    df = materialize(df, "wide")
     for m in metrics:
         one = pivot_series(df.where(F.col("metric") == m), time, "aoi", "value", aois)
         one.orderBy(time).write.mode("overwrite").option("header", "true").csv(f"{out}/{V.safe_name(m)}")
@@ -62,20 +67,28 @@ def compile_csvs(
 ) -> tuple[DataFrame, DataFrame]:
     """All matching CSVs as one frame ordered by (key, time), and a one-row summary.
 
-    Unreadable files are skipped. Columns are matched to the header of each file
-    by position, so the files share one header.
+    Columns are matched by name to the header of each file, whatever their order; a
+    file without a column has NULL there. Files that cannot be read, or whose header
+    lacks ``key``, give no rows and are counted as ``failed``.
     """
-    df = (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("pathGlobFilter", pattern)
-        .option("recursiveFileLookup", str(recursive).lower())
-        .option("ignoreCorruptFiles", "true")
-        .csv(path)
-    )
-    with_file = df.withColumn("_f", F.col("_metadata.file_path"))
+    options = {"pathGlobFilter": pattern, "recursiveFileLookup": str(recursive).lower(), "ignoreCorruptFiles": "true"}
+    listed = spark.read.format("binaryFile").options(**options).load(path).select(F.col("path").alias("_f"))
+    lines = spark.read.options(**options).text(path).where("_metadata.file_block_start = 0")
+    lines = lines.select(F.col("_metadata.file_path").alias("_f"), "value", F.monotonically_increasing_id().alias("_at"))
+    names = F.transform(F.split(F.regexp_replace("value", "^\ufeff", ""), ","), lambda c: F.regexp_replace(F.trim(c), '^"|"$', ""))
+    headers = lines.groupBy("_f").agg(F.min_by("value", "_at").alias("value")).select("_f", names.alias("_names"))
+    headers = headers.where(F.array_contains("_names", key))
+    width = headers.agg(F.max(F.size("_names"))).first()[0] or 1
+    places = [f"c{i}" for i in range(width)]
+    raw = spark.read.schema(", ".join(f"{c} string" for c in places)).option("header", "true").options(**options).csv(path)
+    raw = raw.select(F.array(*places).alias("_cells"), F.col("_metadata.file_path").alias("_f")).join(headers, "_f")
+    wanted = StructType.fromDDL(schema)
+    with_file = raw.select("_f", *(F.get("_cells", F.array_position("_names", c.name).cast("int") - 1).try_cast(c.dataType).alias(c.name) for c in wanted))
+    df = with_file.drop("_f")
+    failed = listed.join(headers, "_f", "left_anti").agg(F.count("*")).scalar()
     summary = with_file.agg(
         F.count_distinct("_f").alias("files"),
+        failed.alias("failed"),
         F.count("*").alias("rows"),
         F.count_distinct(key).alias("unique_keys"),
         F.min(time).alias("first_time"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import geometry as G
 from ..functions.crs import reproject
@@ -26,15 +26,17 @@ def read_zones(
 
 
 def zones_to_geojson(zones: DataFrame, srid: int, drop: tuple[str, ...] = ()) -> DataFrame:
-    """One GeoJSON feature per row as text, coordinates in lon/lat."""
+    """One GeoJSON feature per row as text, coordinates in lon/lat; several parts make a MultiPolygon."""
     props = [c for c in zones.columns if c not in ("geom", *drop)]
     lonlat = reproject("geom", srid, 4326)
-    feature = F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct(F.lit("Polygon").alias("type"), G.geom_to_coordinates(lonlat).alias("coordinates")).alias("geometry"),
-        F.struct(*props).alias("properties"),
-    )
-    return zones.select(F.to_json(feature).alias("value"))
+
+    def feature(kind: str, coordinates: Column) -> Column:
+        geometry = F.struct(F.lit(kind).alias("type"), coordinates.alias("coordinates"))
+        return F.to_json(F.struct(F.lit("Feature").alias("type"), geometry.alias("geometry"), F.struct(*props).alias("properties")))
+
+    shaped = zones.withColumn("_parts", G.geom_to_part_coordinates(lonlat))
+    one = feature("Polygon", F.coalesce(F.get("_parts", F.lit(0)), F.array().cast("array<array<array<double>>>")))
+    return shaped.select(F.when(F.size("_parts") > 1, feature("MultiPolygon", F.col("_parts"))).otherwise(one).alias("value"))
 
 
 def write_geojson_lines(zones: DataFrame, path: str, srid: int = 4326, drop: tuple[str, ...] = ()) -> None:

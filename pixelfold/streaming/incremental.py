@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..operators.grid import Grid, zone_cells, zone_extent, crop_to_extent
 from ..plans.sizing import sized_cells
@@ -81,10 +82,31 @@ def run_available_state(df: DataFrame, path: str, checkpoint: str):
     )
 
 
+class LateRows(StreamingQueryListener):
+    """Rows that each query dropped behind its watermark, over all its batches.
+
+    Register it with ``spark.streams.addListener`` before the query starts; progress
+    events arrive shortly after their batch.
+    """
+
+    def __init__(self) -> None:
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(op.numRowsDroppedByWatermark for op in event.progress.stateOperators)
+        self.dropped[str(event.progress.id)] = self.dropped.get(str(event.progress.id), 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
 def dropped_late_rows(query) -> int:
-    """Rows that a finished query dropped behind its watermark."""
-    total = 0
-    for p in query.recentProgress:
-        for op in p["stateOperators"]:
-            total += op["numRowsDroppedByWatermark"]
-    return total
+    """Rows dropped behind the watermark in the batches that the query still remembers
+    (``spark.sql.streaming.numRecentProgressUpdates``); ``LateRows`` counts all."""
+    return sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
