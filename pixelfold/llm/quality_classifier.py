@@ -22,6 +22,8 @@ HIDDEN, GATE = 16, 8
 #: Labelled documents, and passages of each, that training reads at most (evenly spread over a longer document).
 MOST_DOCUMENTS, MOST_PASSAGES = 8000, 128
 THRESHOLD = 0.3
+#: Text scored at once; the flat arrays of a slice take about a hundred times its size.
+SCORE_BYTES = 1 << 20
 
 # Classes of bytes: 0 white space, then lower case, capitals, digits, symbols, marks, stops, other ASCII, beyond ASCII.
 CLASSES = 10
@@ -180,7 +182,7 @@ def score_documents(docs: DataFrame, model: Model, key: str = "doc_id", text: st
     row_type = narrow.schema["row"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text"):
+        for b in slices(batches, "text", SCORE_BYTES):
             score = model.score(texts_of(b.column("text")))
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(score, pa.float64())], names=["row", "score"])
 
