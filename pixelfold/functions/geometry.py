@@ -185,6 +185,49 @@ def intersects(g1: ColumnLike, g2: ColumnLike) -> Column:
     return borders | part_inside(g1, g2) | part_inside(g2, g1)
 
 
+def _contacts(e: Column, others: Column) -> Column:
+    """Ascending places 0..1 along edge e: both ends and every contact with the other edges."""
+    dx, dy = e["xb"] - e["xa"], e["yb"] - e["ya"]
+
+    def places(f: Column) -> Column:
+        fx, fy = f["xb"] - f["xa"], f["yb"] - f["ya"]
+        gx, gy = f["xa"] - e["xa"], f["ya"] - e["ya"]
+        cross = dx * fy - dy * fx
+        # On one line: the ends of the other edge, projected.
+        along = lambda px, py: F.try_divide((px - e["xa"]) * dx + (py - e["ya"]) * dy, dx * dx + dy * dy)
+        return F.when(cross != 0, F.array(F.try_divide(gx * fy - gy * fx, cross))).otherwise(
+            F.array(along(f["xa"], f["ya"]), along(f["xb"], f["yb"]))
+        )
+
+    found = F.filter(F.flatten(F.transform(others, places)), lambda t: (t > 0) & (t < 1))
+    return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0)), found, F.array(F.lit(1.0)))))
+
+
+def within(inner: ColumnLike, outer: ColumnLike) -> Column:
+    """True when ``inner`` lies in ``outer``, borders included, whatever their shapes.
+
+    Every edge of ``inner`` is cut where it meets a line of ``outer``'s edges and the middle of
+    each part must be covered; a hole of ``outer`` may not have a corner strictly inside ``inner``.
+    A hole whose corners all lie on the border of ``inner`` is not noticed.
+    """
+    inner, outer = _c(inner), _c(outer)
+
+    def covered(e: Column) -> Column:
+        def middles(t: Column) -> Column:
+            return F.zip_with(F.slice(t, 1, F.size(t) - 1), F.slice(t, 2, F.size(t) - 1), lambda a, b: (a + b) / F.lit(2.0))
+
+        return F.forall(
+            _let(_contacts(e, edges(outer)), middles),
+            lambda m: covers_point(e["xa"] + m * (e["xb"] - e["xa"]), e["ya"] + m * (e["yb"] - e["ya"]), outer),
+        )
+
+    def strictly_inside(p: Column) -> Column:
+        touches = F.exists(edges(inner), lambda e: _segments_meet(e, _struct(xa=p["x"], ya=p["y"], xb=p["x"], yb=p["y"])))
+        return point_in_polygon(p["x"], p["y"], inner) & ~touches
+
+    return F.forall(edges(inner), covered) & ~F.exists(F.flatten(outer), strictly_inside)
+
+
 def is_convex_ring(ring: ColumnLike) -> Column:
     """No turn to both sides along the ring."""
 

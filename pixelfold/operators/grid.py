@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import geometry as G
+from ..functions.crs import reproject
 
 
 @dataclass(frozen=True)
@@ -58,6 +59,26 @@ class ZoneExtent:
         return self.max_cells == 0
 
 
+def zones_on_grid(zones: DataFrame, grid: Grid) -> DataFrame:
+    """The layer with its geometries in the grid's reference system.
+
+    A layer with a ``srid`` column is moved row by row: its distinct systems, a handful of
+    numbers, become the branches of one expression. A row without a system, or with one that
+    the transforms do not know, is an error. A layer without the column is taken to be on the grid.
+    """
+    if "srid" not in zones.columns:
+        return zones
+    found = [r[0] for r in zones.select("srid").distinct().collect()]
+    if any(s is None for s in found):
+        raise ValueError("a zone has no srid")
+    if all(int(s) == grid.srid for s in found):
+        return zones
+    moved = F.when(F.col("srid") == grid.srid, F.col("geom"))
+    for s in sorted({int(s) for s in found} - {grid.srid}):
+        moved = moved.when(F.col("srid") == s, reproject("geom", s, grid.srid))
+    return zones.withColumn("geom", moved)
+
+
 def _cell_window(z: DataFrame, grid: Grid) -> DataFrame:
     """Adds the clipped cell window (_r0.._r1, _c0.._c1) of every geometry."""
     b = G.bounds("geom")

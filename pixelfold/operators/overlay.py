@@ -11,13 +11,16 @@ the two boxes' intersection, so no de-duplication shuffle is needed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import geometry as G
+from ..plans.sizing import BROADCAST_ROWS
 
 MIN_LEVEL, MAX_LEVEL = -30, 40
+# A corner is two doubles in a nested array: about 32 bytes.
+BROADCAST_CORNERS = 2_000_000
 
 
 def _with_box(df: DataFrame, prefix: str) -> DataFrame:
@@ -33,9 +36,25 @@ def _with_box(df: DataFrame, prefix: str) -> DataFrame:
     )
 
 
-def _levels(df: DataFrame, level: str) -> list[int]:
-    """Distinct levels: at most MAX_LEVEL - MIN_LEVEL + 1 small integers."""
-    return sorted(r[0] for r in df.select(level).distinct().collect() if r[0] is not None)
+def _levels(df: DataFrame, prefix: str) -> dict[int, tuple[int, int]]:
+    """Level -> (polygons, corners): at most MAX_LEVEL - MIN_LEVEL + 1 rows of three numbers."""
+    level, geom = f"{prefix}__level", F.col(f"{prefix}__geom")
+    corners = F.aggregate(geom, F.lit(0).cast("long"), lambda n, ring: n + F.size(ring))
+    found = df.where(F.col(level).isNotNull()).groupBy(level).agg(F.count("*"), F.sum(corners))
+    return {r[0]: (r[1], r[2]) for r in sorted(found.collect())}
+
+
+def _sized(df: DataFrame, own: Mapping[int, tuple[int, int]], levels: Sequence[int] | None = None, strict: bool = False) -> DataFrame:
+    """``df``, the rows in cells, marked for a broadcast if the counts per level prove it small.
+
+    A row has four cells at most on each level that it is repeated on (its own without ``levels``).
+    Otherwise a sort-merge join is asked for: the planner does not see how far ``explode`` multiplies rows.
+    """
+    rows = corners = 0
+    for level, (n, points) in own.items():
+        times = 4 if levels is None else 4 * sum(v > level if strict else v >= level for v in levels)
+        rows, corners = rows + n * times, corners + points * times
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and corners <= BROADCAST_CORNERS else df.hint("merge")
 
 
 def _in_cells(df: DataFrame, prefix: str, level: Column) -> DataFrame:
@@ -94,11 +113,13 @@ def candidate_pairs(
     cond = _box_condition("l", "r")
     if exact is not None:
         cond = cond & exact
-    a_levels, b_levels = _levels(a, "l__level"), _levels(b, "r__level")
+    a_levels, b_levels = _levels(a, "l"), _levels(b, "r")
     left_coarse = _in_cells(a, "l", F.col("l__level")).join(
-        _at_coarser(b, "r", a_levels, strict=False), keys
+        _sized(_at_coarser(b, "r", list(a_levels), strict=False), b_levels, list(a_levels)), keys
+    )
+    right_coarse = _at_coarser(a, "l", list(b_levels), strict=True).join(
+        _sized(_in_cells(b, "r", F.col("r__level")), b_levels), keys
     )
-    right_coarse = _at_coarser(a, "l", b_levels, strict=True).join(_in_cells(b, "r", F.col("r__level")), keys)
     out = [f"l_{c}" for c in left_cols] + [f"r_{c}" for c in right_cols] + ["l__geom", "r__geom"]
     return left_coarse.where(cond).select(*out).unionByName(right_coarse.where(cond).select(*out))
 
@@ -123,7 +144,7 @@ def keep_intersecting(
     a, b = _prefixed(left, "l", [key]), _prefixed(ref, "r", [])
     keys = ["_l", "_cx", "_cy"]
     exact = G.intersects("l__geom", "r__geom")
-    a_levels, b_levels = _levels(a, "l__level"), _levels(b, "r__level")
+    a_levels, b_levels = _levels(a, "l"), _levels(b, "r")
 
     def matched(x: DataFrame, y: DataFrame) -> DataFrame:
         y = y.select(*[F.col(k).alias(f"y{k}") for k in keys], "r__b", "r__geom")
@@ -136,8 +157,10 @@ def keep_intersecting(
         )
         return x.join(y, on & near & exact, "left_semi").select(f"l_{key}")
 
-    hits = matched(_in_cells(a, "l", F.col("l__level")), _at_coarser(b, "r", a_levels, strict=False)).unionByName(
-        matched(_at_coarser(a, "l", b_levels, strict=True), _in_cells(b, "r", F.col("r__level")))
+    b_coarse = _sized(_at_coarser(b, "r", list(a_levels), strict=False), b_levels, list(a_levels))
+    b_own = _sized(_in_cells(b, "r", F.col("r__level")), b_levels)
+    hits = matched(_in_cells(a, "l", F.col("l__level")), b_coarse).unionByName(
+        matched(_at_coarser(a, "l", list(b_levels), strict=True), b_own)
     )
     hits = hits.distinct().withColumnRenamed(f"l_{key}", key)
     return left.join(hits, key, "left_anti" if anti else "left_semi")
@@ -180,10 +203,13 @@ def children_per_parent(children: DataFrame, parents: DataFrame, child_key: str,
 
 
 def within(children: DataFrame, parents: DataFrame, key: str, parent_key: str) -> DataFrame:
-    """(key, parent_key) where all corners of the child lie in one parent, border
-    included. Exact for convex parents."""
-    inside = F.forall(F.flatten("l__geom"), lambda p: G.covers_point(p["x"], p["y"], F.col("r__geom")))
-    pairs = candidate_pairs(children, parents, [key], [parent_key], inside)
+    """(key, parent_key) where the child lies in one parent, border included.
+
+    Corners decide for a convex parent; for any other the child's edges are tested
+    piece by piece, and no corner of the parent (of a hole) may lie inside the child."""
+    corners = F.forall(F.flatten("l__geom"), lambda p: G.covers_point(p["x"], p["y"], F.col("r__geom")))
+    convex = (F.size("r__geom") == 1) & G.is_convex_ring(F.col("r__geom")[0])
+    pairs = candidate_pairs(children, parents, [key], [parent_key], corners & (convex | G.within("l__geom", "r__geom")))
     return pairs.select(F.col(f"l_{key}").alias(key), F.col(f"r_{parent_key}").alias(parent_key))
 
 

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..functions import values as V
+from .quantiles import group_quantiles
 from .ranges import value_range
 
 
@@ -160,16 +161,28 @@ def apply_along_time(
 
 
 def _cubic_through(x: np.ndarray, y: np.ndarray, xi: np.ndarray) -> np.ndarray:
-    """Not-a-knot cubic spline: second derivatives from one small linear system."""
+    """Not-a-knot cubic spline: second derivatives by one sweep over a tridiagonal system.
+
+    The end conditions give the first and last derivative from their neighbours, which
+    leaves the inner ones with three terms a row.
+    """
     n, h = len(x), np.diff(x)
-    a, rhs = np.zeros((n, n)), np.zeros(n)
-    slope = np.diff(y) / h
-    for i in range(1, n - 1):
-        a[i, i - 1 : i + 2] = h[i - 1], 2 * (h[i - 1] + h[i]), h[i]
-        rhs[i] = 6 * (slope[i] - slope[i - 1])
-    a[0, :3] = h[1], -(h[0] + h[1]), h[0]
-    a[-1, -3:] = h[-1], -(h[-2] + h[-1]), h[-2]
-    m = np.linalg.solve(a, rhs)
+    low, diag, up = h[:-1].copy(), 2 * (h[:-1] + h[1:]), h[1:].copy()
+    rhs = 6 * np.diff(np.diff(y) / h)
+    p, q = h[0] / h[1], h[-1] / h[-2]
+    diag[0] += low[0] * (1 + p)
+    up[0] -= low[0] * p
+    diag[-1] += up[-1] * (1 + q)
+    low[-1] -= up[-1] * q
+    for i in range(1, n - 2):
+        w = low[i] / diag[i - 1]
+        diag[i] -= w * up[i - 1]
+        rhs[i] -= w * rhs[i - 1]
+    m = np.zeros(n)
+    for i in range(n - 3, -1, -1):
+        m[i + 1] = (rhs[i] - (up[i] * m[i + 2] if i < n - 3 else 0.0)) / diag[i]
+    m[0] = (1 + p) * m[1] - p * m[2]
+    m[-1] = (1 + q) * m[-2] - q * m[-3]
     k = np.clip(np.searchsorted(x, xi, side="right") - 1, 0, n - 2)
     d, e = xi - x[k], x[k + 1] - xi
     return (
@@ -283,9 +296,15 @@ def histogram(df: DataFrame, col: str, bins: int = 50, positive_only: bool = Tru
     return src.groupBy(b.alias("bin")).agg(F.count("*").alias("n"))
 
 
-def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """column, count, mean, std, min, max per numeric column, in one pass."""
+QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+
+
+def describe(df: DataFrame, cols: Sequence[str], quartiles: bool = False) -> DataFrame:
+    """column, count, mean, std, min, max per numeric column, in one pass; with
+    ``quartiles`` also the exact q25, q50 and q75, which no task sorts as a whole."""
     long = unpivot_bands(df, [], cols, "column", "value")
+    if quartiles:
+        return describe(df, cols).join(group_quantiles(long, ["column"], F.col("value"), QUARTILES), "column", "left")
     return long.groupBy("column").agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import indices as I
 from ..plans.sizing import BROADCAST_CELLS, sized_cells, small_side
-from .grid import Grid, ZoneExtent, coverage_cells, crop_to_extent, zone_cells, zone_extent
+from .grid import Grid, ZoneExtent, coverage_cells, crop_to_extent, zone_cells, zone_extent, zones_on_grid
 from .quantiles import group_mad, group_quantiles
 from .runs import sorted_groups
 
@@ -31,7 +31,15 @@ def rasterize(
     """Cells of each zone. Without ``overlap`` a cell goes to the zone with the
     highest ``order`` (the later one), the larger key at ties; ``max_by`` combines
     map-side. Zones with a NULL key are skipped."""
-    zones = zones.where(F.col(key).isNotNull())
+    return _rasterize(_usable(zones, grid, key), grid, key, order, overlap, spread)
+
+
+def _usable(zones: DataFrame, grid: Grid, key: str) -> DataFrame:
+    """Zones with a key, in the grid's reference system."""
+    return zones_on_grid(zones.where(F.col(key).isNotNull()), grid)
+
+
+def _rasterize(zones: DataFrame, grid: Grid, key: str, order: str | None, overlap: bool, spread: bool) -> DataFrame:
     if overlap:
         return zone_cells(zones, grid, [key], spread)
     order = order or key
@@ -57,7 +65,7 @@ def _large(ext: ZoneExtent) -> bool:
 
 def clip(pixels: DataFrame, zones: DataFrame, grid: Grid, key: str) -> DataFrame:
     """Pixels with their centre in a polygon, once per polygon; NULL keys skipped."""
-    zones = zones.where(F.col(key).isNotNull())
+    zones = _usable(zones, grid, key)
     ext = zone_extent(zones, grid)
     return _cells_with_pixels(pixels, zone_cells(zones, grid, [key], _large(ext)), ext)
 
@@ -67,7 +75,7 @@ def clip_all_touched(
 ) -> DataFrame:
     """Pixels of every touched cell; with ``outside="zero"`` the rest of the
     polygon's window is kept with value 0 and counts in later statistics."""
-    zones = zones.where(F.col(key).isNotNull())
+    zones = _usable(zones, grid, key)
     ext = zone_extent(zones, grid)
     cells = coverage_cells(zones, grid, [key], outside == "zero", _large(ext))
     joined = _cells_with_pixels(pixels, cells, ext)
@@ -149,9 +157,9 @@ def zonal_stats(
     ``exclusive_order`` gives overlapping cells to the later zone. Zones with a
     NULL key are skipped.
     """
-    zones = zones.where(F.col(key).isNotNull())
+    zones = _usable(zones, grid, key)
     ext = zone_extent(zones, grid)
-    cells = rasterize(zones, grid, key, exclusive_order, exclusive_order is None, _large(ext))
+    cells = _rasterize(zones, grid, key, exclusive_order, exclusive_order is None, _large(ext))
     values = _cells_with_pixels(pixels.select(time, "row", "col", value), cells, ext).select(key, time, value)
     if keep_all_zones:
         empty = F.lit(None).cast(pixels.schema[value].dataType)
@@ -198,7 +206,7 @@ def zonal_weighted(
     time: str = "time",
 ) -> DataFrame:
     """Coverage-weighted statistics: sum(v*c) / sum(c of non-null v), and min/max/sum/count."""
-    zones = zones.where(F.col(key).isNotNull())
+    zones = _usable(zones, grid, key)
     keep = list(dict.fromkeys([key, *include_cols]))
     ext = zone_extent(zones, grid)
     cells = coverage_cells(zones, grid, keep, spread=_large(ext))

@@ -7,7 +7,7 @@ from datetime import datetime
 import numpy as np
 from pyspark.sql import functions as F
 
-from ..functions import values as V
+from ..functions import indices, values as V
 from ..operators import series, tables
 from ..sources.files import canonical
 from . import bindings as B
@@ -154,6 +154,27 @@ def _(spark, d):
     return out.select("zone", rounded("t", 3).alias("t"), rounded("value").alias("value"))
 
 
+# Values on one cubic per zone: the not-a-knot spline through them is that cubic, so its closed form is the answer.
+@query(
+    "cubic_resampled_on_a_cubic",
+    B.sql(
+        "se",
+        "sg",
+        v="SELECT zone, epoch(CAST(day AS TIMESTAMP)) AS t FROM sg WHERE value IS NOT NULL",
+        n="SELECT zone, min(t) AS a, max(t) AS b, count(*) * 3 AS n FROM v GROUP BY 1 HAVING count(*) >= 4",
+        p="SELECT zone, a + (b - a) * i / (n - 1) AS t FROM (SELECT zone, a, b, n, unnest(range(n)) AS i FROM n)",
+        x="SELECT zone, t, (t - epoch(TIMESTAMP '2024-01-01')) / 86400 AS x FROM p",
+    )
+    + f"SELECT zone, round(t, 3) AS t, {rounded_sql('(zone + 1) + 0.5::DOUBLE * x - 0.25::DOUBLE * x * x + 0.01::DOUBLE * x * x * x')} AS value FROM x",
+)
+def _(spark, d):
+    x = F.datediff("day", F.lit("2024-01-01").cast("date")).cast("double")
+    cubic = (F.col("zone") + 1) + x * 0.5 - x * x * 0.25 + x * x * x * 0.01
+    s = B.gappy_series(spark, d).where(F.col("value").isNotNull()).withColumn("value", cubic)
+    out = series.cubic_resample(s, "zone", "day", "value")
+    return out.select("zone", rounded("t", 3).alias("t"), rounded("value").alias("value"))
+
+
 def _running_max(times, values):
     return np.maximum.accumulate(values)
 
@@ -231,6 +252,19 @@ def _(spark, d):
     return out.select("column", "count", "mean", rounded("std").alias("std"), "min", "max")
 
 
+@query(
+    "describe_quartiles",
+    B.sql("px", u="SELECT 'red' AS c, red AS v FROM px UNION ALL SELECT 'ndvi', (nir - red) / (nir + red) FROM px WHERE nir + red <> 0")
+    + "SELECT c AS column, count(v) AS count, "
+    + ", ".join(f"{rounded_sql(f'quantile_cont(v, {p})', 9)} AS q{int(p * 100)}" for p in (0.25, 0.5, 0.75))
+    + " FROM u GROUP BY 1",
+)
+def _(spark, d):
+    ndvi = indices.ndvi("nir", "red").alias("ndvi")
+    out = series.describe(B.pixels(spark, d).select("red", ndvi), ["red", "ndvi"], quartiles=True)
+    return out.select("column", "count", *[rounded(q, 9).alias(q) for q in series.QUARTILES])
+
+
 @query("unique_keys", "SELECT DISTINCT o_custkey FROM orders WHERE o_custkey IS NOT NULL")
 def _(spark, d):
     return series.unique_keys(B.table(spark, d, "orders"), "o_custkey")

@@ -32,13 +32,13 @@ def _observations(spark, d):
     "streamed_zonal_mean",
     B.sql("zn", o=OBSERVED)
     + f"SELECT zone_key, {day_sql('window_start', 'time')}, avg(red) AS red_mean FROM o JOIN zn ON {INSIDE}"
-    " WHERE time + INTERVAL 1 DAY <= (SELECT max(time) FROM o) - INTERVAL 30 DAY GROUP BY 1, 2",
+    " GROUP BY 1, 2",
 )
 def _(spark, d):
     out, chk = shared_folder(spark, "zonal-stream"), shared_folder(spark, "zonal-stream-checkpoint")
     means = incremental.zonal_mean_stream(_observations(spark, d), B.zones(spark, d), B.PX_GRID, KEY, ["red"])
-    incremental.run_available(means, out, chk).awaitTermination()
-    return spark.read.parquet(out).select(KEY, day("window_start"), "red_mean")
+    incremental.run_available_updates(means, out, chk).awaitTermination()
+    return incremental.latest_updates(spark, out, [KEY, "window_start"]).select(KEY, day("window_start"), "red_mean")
 
 
 @query(
@@ -49,5 +49,26 @@ def _(spark, d):
 def _(spark, d):
     out, chk = shared_folder(spark, "first-valid"), shared_folder(spark, "first-valid-checkpoint")
     state = incremental.first_valid_stream(_observations(spark, d), "red", mask=F.col("l_tax") < 0.04)
-    incremental.run_available_state(state, out, chk).awaitTermination()
-    return spark.read.parquet(out).select("row", "col", "value", day("since"))
+    incremental.run_available_updates(state, out, chk).awaitTermination()
+    return incremental.latest_updates(spark, out, ["row", "col"]).select("row", "col", "value", day("since"))
+
+
+@query(
+    "streamed_late_rows",
+    B.sql(
+        o="SELECT l_shipdate AS time, l_linenumber = 7 AS second FROM lineitem",
+        e="SELECT max(time) AS newest FROM o WHERE NOT second",
+    )
+    + "SELECT CAST(second AS BIGINT) AS batch, count(*) AS rows,"
+    " count(CASE WHEN second AND time + INTERVAL 1 DAY <= newest - INTERVAL 30 DAY THEN 1 END) AS late FROM o, e GROUP BY 1",
+)
+def _(spark, d):
+    # The seventh lines of the orders arrive after all others.
+    src, out, chk = (shared_folder(spark, n) for n in ("arrivals", "late-rows", "late-rows-checkpoint"))
+    lines = B.table(spark, d, "lineitem").select(F.col("l_shipdate").cast("timestamp").alias("time"), "l_linenumber")
+    for arrival in (F.col("l_linenumber") != 7, F.col("l_linenumber") == 7):
+        part = lines.where(arrival).select("time")
+        part.write.mode("append").parquet(src)
+        arriving = incremental.read_pixel_stream(spark, src, part.schema)
+        incremental.count_late_rows(arriving, out, chk).awaitTermination()
+    return spark.read.parquet(out).select(F.col(incremental.BATCH).cast("bigint").alias("batch"), "rows", "late")

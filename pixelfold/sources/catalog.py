@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import geometry as G
 from ..functions import values as V
@@ -187,6 +187,14 @@ def flatten_items(
     return out
 
 
+def list_layers(spark: SparkSession, path: str) -> DataFrame:
+    """layer, files: the sub-folders of ``path`` that hold files, from the file listing alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    base = path.rstrip("/").rsplit("/", 1)[-1]
+    below = F.substring_index(F.col("path"), f"/{base}/", -1)
+    return files.where(below.contains("/")).groupBy(F.substring_index(below, "/", 1).alias("layer")).agg(F.count("*").alias("files"))
+
+
 def layer_info(zones: DataFrame) -> tuple[list[str], DataFrame]:
     """Field names of a layer, and one row per srid with its feature count."""
     return zones.columns, zones.groupBy("srid").agg(F.count("*").alias("rows"))

@@ -126,3 +126,22 @@ def test_bounds_and_centroid(spark):
     c = {r[0]: r[1] for r in z.select("zone", G.centroid("geom")).collect()}
     assert (c["hole"]["x"], c["hole"]["y"]) == (pytest.approx(2.5), pytest.approx(2.5))
     assert c["ell"]["x"] == pytest.approx((4 * 2 + 3 * 0.5) / 7)
+
+
+def test_within_concave_and_holed_parents(spark, rows):
+    u = [[(0, 0), (6, 0), (6, 6), (4, 6), (4, 2), (2, 2), (2, 6), (0, 6), (0, 0)]]
+    box = lambda x0, y0, x1, y1: [[(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]]
+    children = geo.layer(spark, bar=box(1, 3, 5, 4), arm=box(0, 3, 2, 6), foot=box(1, 0, 5, 2), left=box(0.5, 0.5, 1.5, 5))
+    found = overlay.within(children, geo.layer(spark, u=u).withColumnRenamed("zone", "parent"), "zone", "parent")
+    assert rows(found, "zone") == [("arm",), ("foot",), ("left",)]
+    holed = geo.layer(spark, holed=geo.WITH_HOLE).withColumnRenamed("zone", "parent")
+    around = geo.layer(spark, around=box(1, 1, 4, 4), beside=box(0, 0, 1, 5))
+    assert rows(overlay.within(around, holed, "zone", "parent"), "zone") == [("beside",)]
+
+
+def test_plans_do_not_leave_the_broadcast_to_the_planner(spark, layers, monkeypatch):
+    left, right = (geo.layer(spark, **side) for side in layers)
+    plan = lambda: overlay.sjoin(left, right, ["zone"], ["zone"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan() and "SortMergeJoin" not in plan()
+    monkeypatch.setattr(overlay, "BROADCAST_ROWS", 0)
+    assert "SortMergeJoin" in plan() and "BroadcastHashJoin" not in plan()

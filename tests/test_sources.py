@@ -174,3 +174,9 @@ def test_parcel_series(spark, tmp_path):
     (tmp_path / "s.csv").write_text("date,feature_index,band_unnamed\n2024-05-01T00:00:00.000Z,0,0.25\n2024-05-06T00:00:00.000Z,1,\n")
     got = files.read_parcel_series(spark, str(tmp_path / "s.csv")).orderBy("time").collect()
     assert [(r["time"], r["feature_index"], r["value"]) for r in got] == [(datetime(2024, 5, 1), 0, 0.25), (datetime(2024, 5, 6), 1, None)]
+
+
+def test_layers_of_a_folder(spark, tmp_path, rows):
+    for name, n in (("fields", 1), ("roads", 2)):
+        spark.range(4).repartition(n).write.parquet(str(tmp_path / "layers" / name))
+    assert rows(catalog.list_layers(spark, str(tmp_path / "layers"))) == [("fields", 1), ("roads", 2)]

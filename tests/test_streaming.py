@@ -54,8 +54,24 @@ def test_first_valid_pixel_updates(spark, tmp_path, rows):
         if days:
             arrive(spark, src, days, value=2.0)
         px = incremental.read_pixel_stream(spark, src, SCHEMA)
-        incremental.run_available_state(incremental.first_valid_stream(px, "v", mask=F.col("v") > 40), out, chk).awaitTermination()
+        incremental.run_available_updates(incremental.first_valid_stream(px, "v", mask=F.col("v") > 40), out, chk).awaitTermination()
         want = (
             spark.read.schema(SCHEMA).parquet(src).where("v <= 40").groupBy("row", "col").agg(F.min_by("v", "time").alias("value"))
         )
-        assert rows(spark.read.parquet(out), "row", "col", "value") == rows(want)
+        assert rows(incremental.latest_updates(spark, out, ["row", "col"]), "row", "col", "value") == rows(want)
+
+
+def test_updates_hold_every_window_and_late_rows_are_counted(spark, tmp_path, rows):
+    src, out, chk, late, late_chk = (str(tmp_path / n) for n in ("src", "out", "chk", "late", "late_chk"))
+    z = geo.layer(spark, hexagon=geo.HEXAGON, ell=geo.L_SHAPE)
+    labels = zonal.rasterize(z, GRID, "zone", overlap=True)
+    for days in (range(0, 5), range(5, 12), [0, 11]):
+        arrive(spark, src, days)
+        px = incremental.read_pixel_stream(spark, src, SCHEMA)
+        means = incremental.zonal_mean_stream_of_labels(px, labels, "zone", ["v"], delay="2 days")
+        incremental.run_available_updates(means, out, chk).awaitTermination()
+        incremental.count_late_rows(px, late, late_chk, delay="2 days").awaitTermination()
+    px = spark.read.schema(SCHEMA).parquet(src).withColumn("time", F.date_trunc("day", F.col("time").cast("timestamp")))
+    # Day 0 came again too late, day 11 twice: the means stay those of the whole table.
+    assert rows(incremental.latest_updates(spark, out, ["zone", "window_start"]), "zone", "window_start", "v_mean") == rows(zonal.zonal_mean(px, z, GRID, "zone", ["v"]))
+    assert rows(spark.read.parquet(late), incremental.BATCH, "rows", "late") == [(0, 180, 0), (1, 252, 0), (2, 72, 36)]

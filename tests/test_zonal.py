@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import geo
+from pixelfold.functions.crs import reproject
 from pixelfold.operators import zonal
 from pixelfold.operators.grid import Grid
 
@@ -156,3 +157,21 @@ def test_crosstab_rows_sum_to_hundred(spark):
 def test_mask_bands_are_left_out():
     assert zonal.data_bands(["red", "SCL", "oa_fmask", "nir"]) == ["red", "nir"]
     assert zonal.data_bands(["red", "SCL"], include_categorical=True) == ["red", "SCL"]
+
+
+def test_layers_are_moved_to_the_grid(spark, rows):
+    grid = Grid(500000.0, 5500000.0, 10.0, -10.0, 40, 40, srid=32632)
+    shapes = {"a": [[(500050, 5499900), (500200, 5499900), (500120, 5499750), (500050, 5499900)]], "b": geo_box(500210, 5499650, 500333, 5499801)}
+    utm = geo.layer(spark, **shapes).withColumn("srid", F.lit(32632))
+    lonlat = utm.withColumn("geom", reproject("geom", 32632, 4326)).withColumn("srid", F.lit(4326))
+    mixed = lonlat.where("zone = 'a'").unionByName(utm.where("zone = 'b'"))
+    want = rows(zonal.rasterize(utm, grid, "zone"), "row", "col", "zone")
+    assert len(want) > 100
+    assert rows(zonal.rasterize(lonlat, grid, "zone"), "row", "col", "zone") == want
+    assert rows(zonal.rasterize(mixed, grid, "zone"), "row", "col", "zone") == want
+    with pytest.raises(ValueError):
+        zonal.rasterize(utm.withColumn("srid", F.lit(None).cast("int")), grid, "zone")
+
+
+def geo_box(x0, y0, x1, y1):
+    return [[(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]]
