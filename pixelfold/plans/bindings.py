@@ -107,6 +107,20 @@ def reserves(spark: SparkSession, d: str) -> DataFrame:
     return _supplier_boxes(spark, d, 10.0, "reserve_key")
 
 
+def horseshoes(spark: SparkSession, d: str) -> DataFrame:
+    """shoe: U-shaped parents, the tiles without their upper middle (x 5..9, y 6..16)."""
+    x, y = F.col("minx"), F.col("miny")
+    outline = ((0, 0), (16, 0), (16, 16), (9, 16), (9, 6), (5, 6), (5, 16), (0, 16), (0, 0))
+    ring = F.array(*[F.struct((x + a).cast("double").alias("x"), (y + b).cast("double").alias("y")) for a, b in outline])
+    return parents(spark, d).withColumn("geom", F.array(ring))
+
+
+def pairs_of_boxes(spark: SparkSession, d: str) -> DataFrame:
+    """twin: reserves of two parts, 5 x 5 boxes at two corners of the tile."""
+    x, y = F.col("minx"), F.col("miny")
+    return parents(spark, d).withColumn("geom", F.concat(G.rect(x, y, x + 5, y + 5), G.rect(x + 10, y + 10, x + 15, y + 15)))
+
+
 def degree_boxes(spark: SparkSession, d: str) -> DataFrame:
     """geo: small lon/lat boxes, one per customer."""
     k = F.col("c_custkey")

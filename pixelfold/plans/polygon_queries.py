@@ -68,6 +68,30 @@ def _(spark, d):
     return overlay.within(B.plots(spark, d), B.reserves(spark, d), "plot_key", "reserve_key")
 
 
+@query(
+    "within_concave_parent",
+    B.sql("pl", "par")
+    + f"SELECT plot_key, parent_key FROM pl p JOIN par q ON {WITHIN}"
+    " WHERE NOT (p.minx < q.minx + 9 AND p.maxx > q.minx + 5 AND p.maxy > q.miny + 6)",
+)
+def _(spark, d):
+    return overlay.within(B.plots(spark, d), B.horseshoes(spark, d), "plot_key", "parent_key")
+
+
+TWINS = (
+    "SELECT parent_key, minx, miny, minx + 5 AS maxx, miny + 5 AS maxy FROM par"
+    " UNION ALL SELECT parent_key, minx + 10, miny + 10, minx + 15, miny + 15 FROM par"
+)
+
+
+@query(
+    "spatial_join_two_parts",
+    B.sql("pl", "par", twin=TWINS) + f"SELECT DISTINCT plot_key AS l_plot_key, parent_key AS r_parent_key FROM pl p JOIN twin q ON {MEET}",
+)
+def _(spark, d):
+    return overlay.sjoin(B.plots(spark, d), B.pairs_of_boxes(spark, d), ["plot_key"], ["parent_key"])
+
+
 @query(
     "within_union_of_parents",
     B.sql(

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import indices as I
+from ..functions import geometry as G, indices as I
+from ..functions.crs import reproject
 from ..operators import change, composite, grid, series, tables, zonal
 from . import bindings as B
 from .registry import day, day_sql, query, rounded, rounded_sql
@@ -46,6 +47,19 @@ def _(spark, d):
     return out.select(KEY, day(), "red_mean", "nir_mean")
 
 
+@query(
+    "zonal_mean_of_reprojected_layer",
+    B.sql("px", "zn") + f"SELECT zone_key, {day_sql()}, avg(red) AS red_mean FROM px JOIN zn ON {INSIDE} GROUP BY 1, 2",
+)
+def _(spark, d):
+    # The pixel grid as ten-metre cells of UTM zone 32 north, the layer in longitude and latitude.
+    utm = grid.Grid(500000.0, 5500000.0, 10.0, 10.0, 16, 16, srid=32632)
+    x0, x1 = (F.col(c) * 10 + F.lit(utm.x0) for c in ("minx", "maxx"))
+    y0, y1 = (F.col(c) * 10 + F.lit(utm.y0) for c in ("miny", "maxy"))
+    lonlat = B.zones(spark, d).withColumn("geom", reproject(G.rect(x0, y0, x1, y1), utm.srid, 4326)).withColumn("srid", F.lit(4326))
+    return zonal.zonal_mean(B.pixels(spark, d), lonlat, utm, KEY, ["red"]).select(KEY, day(), "red_mean")
+
+
 @query(
     "zonal_mean_with_empty_zones_of_masked_pixels",
     B.sql("px", "zn")
