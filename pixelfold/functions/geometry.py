@@ -289,6 +289,50 @@ def clip_with_area(geom: ColumnLike, clip_ring: ColumnLike) -> Column:
     return _let(clip_to_convex(geom, clip_ring), lambda g: _struct(geom=g, area=area(g)))
 
 
+def _trapezoids(geom: Column) -> Column:
+    """Counter-clockwise trapezoids that fill a geometry of any shape: cut at the height of every corner,
+    then between the odd and the even borders from left to right."""
+
+    def at(e: Column, y: Column) -> Column:
+        along = e["xa"] + F.try_divide((y - e["ya"]) * (e["xb"] - e["xa"]), e["yb"] - e["ya"])
+        return F.when(e["ya"] == y, e["xa"]).when(e["yb"] == y, e["xb"]).otherwise(along)
+
+    def between(es: Column, lo: Column, hi: Column) -> Column:
+        crossing = F.filter(es, lambda e: (F.least(e["ya"], e["yb"]) <= lo) & (F.greatest(e["ya"], e["yb"]) >= hi))
+        borders = F.array_sort(F.transform(crossing, lambda e: _struct(m=at(e, lo) + at(e, hi), u=at(e, lo), v=at(e, hi))))
+
+        def ring(a: Column, b: Column) -> Column:
+            first = _pt(a["u"], lo)
+            return F.array(first, _pt(b["u"], lo), _pt(b["v"], hi), _pt(a["v"], hi), first)
+
+        return _let(
+            borders, lambda s: F.transform(F.filter(s, lambda _, i: i % 2 == 0), lambda a, k: ring(a, F.get(s, k * 2 + 1)))
+        )
+
+    def slabs(ys: Column) -> Column:
+        n = F.greatest(F.size(ys) - 1, F.lit(0))
+        return _let(edges(geom), lambda es: F.flatten(F.zip_with(F.slice(ys, 1, n), F.slice(ys, 2, n), lambda lo, hi: between(es, lo, hi))))
+
+    return _let(F.array_sort(F.array_distinct(F.transform(F.flatten(geom), lambda p: p["y"]))), slabs)
+
+
+def convex_pieces(geom: ColumnLike) -> Column:
+    """Convex counter-clockwise rings that fill the geometry without overlap: itself, or its trapezoids."""
+    g = _c(geom)
+    return F.when((F.size(g) == 1) & is_convex_ring(g[0]), F.array(orient(g)[0])).otherwise(_trapezoids(g))
+
+
+def clip_to_pieces(geom: ColumnLike, pieces: ColumnLike) -> Column:
+    """STRUCT(geom, area) of the geometry cut to each convex ring; the cuts with an area are put together."""
+    cuts = F.filter(F.transform(_c(pieces), lambda ring: clip_with_area(geom, ring)), lambda s: s["area"] > 0)
+    return _let(
+        cuts,
+        lambda c: _struct(
+            geom=F.flatten(F.transform(c, lambda s: s["geom"])), area=F.aggregate(c, F.lit(0.0), lambda a, s: a + s["area"])
+        ),
+    )
+
+
 def edge_slabs(edge_list: Column, y0: Column, y1: Column) -> Column:
     """Edges cut to the horizontal slab [y0, y1]: STRUCT(u, v, s) with the smaller
     and larger x and the signed height (minus for upward edges). Edges outside the

@@ -31,6 +31,7 @@ def apply_neighborhood(
     by: Sequence[str] = ("time",),
     unique: bool = False,
     full_window: bool = True,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Run ``fn`` on every size x size block with ``overlap`` cells around it.
 
@@ -39,12 +40,16 @@ def apply_neighborhood(
     in the input are kept. A block holds at most (size + 2*overlap)^2 cells:
     copies of a cell are folded (highest value) before blocks are formed, unless
     the caller states that cells are ``unique``. With ``full_window=False`` the
-    arrays shrink to the part of the window that has cells.
+    arrays shrink to the part of the window that has cells. The columns ``carry`` of
+    the core cells come out unchanged, so no join back to the input is needed.
     """
     by, bands, out = list(by), list(bands), list(out)
-    src = pixels.select(*by, *CELL, *[F.col(b).cast("double").alias(b) for b in bands])
+    carried = [f"_k{i}" for i in range(len(carry))]
+    src = pixels.select(
+        *by, *CELL, *[F.col(b).cast("double").alias(b) for b in bands], *[F.col(c).alias(k) for c, k in zip(carry, carried)]
+    )
     if not unique:
-        src = src.groupBy(*by, *CELL).agg(*[F.max(b).alias(b) for b in bands])
+        src = src.groupBy(*by, *CELL).agg(*[F.max(b).alias(b) for b in [*bands, *carried]])
 
     def owners(i: str):
         lo = F.greatest(F.floor((F.col(i) - overlap) / F.lit(size)), F.lit(0)).cast("int")
@@ -91,14 +96,15 @@ def apply_neighborhood(
                     for o in out:
                         values[o][i:j][core] = result[o]
             rows = np.flatnonzero(keep)
-            kept = t.select(by + CELL).take(pa.array(rows))
+            kept = t.select(by + CELL + carried).take(pa.array(rows))
             for o in out:
                 v = values[o][rows]
                 kept = kept.append_column(pa.field(o, pa.float64()), pa.array(v, mask=np.isnan(v)))
             yield from kept.combine_chunks().to_batches()
 
-    schema = T.StructType([src.schema[c] for c in by + CELL] + [T.StructField(o, T.DoubleType()) for o in out])
-    return blocks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    schema = T.StructType([src.schema[c] for c in by + CELL + carried] + [T.StructField(o, T.DoubleType()) for o in out])
+    found = blocks.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return found.select(*by, *CELL, *[F.col(k).alias(c) for c, k in zip(carry, carried)], *out)
 
 
 def convolve(a: np.ndarray, kernel: np.ndarray) -> np.ndarray:
@@ -151,16 +157,17 @@ def dilate_mask(
     block: int = 256,
     by: Sequence[str] = ("time",),
     unique: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Boolean mask smoothed by a Gaussian and cut at ``thr``: by, row, col, mask."""
+    """Boolean mask smoothed by a Gaussian and cut at ``thr``: by, row, col, ``carry``, mask."""
     g = gaussian_weights(size, std)
     numeric = pixels.withColumn(mask, F.col(mask).cast("double"))
 
     def smoothed(blk: Block) -> Block:
         return {"_s": convolve(convolve(blk[mask], g[:, None]), g[None, :])}
 
-    smooth = apply_neighborhood(numeric, smoothed, [mask], ["_s"], block, size // 2, by, unique, False)
-    return smooth.select(*by, *CELL, (F.col("_s") > thr).alias(mask))
+    smooth = apply_neighborhood(numeric, smoothed, [mask], ["_s"], block, size // 2, by, unique, False, carry)
+    return smooth.select(*by, *CELL, *carry, (F.col("_s") > thr).alias(mask))
 
 
 SOBEL_X = ((-1.0, 0.0, 1.0), (-2.0, 0.0, 2.0), (-1.0, 0.0, 1.0))  # fixed values
@@ -184,23 +191,36 @@ def evaluate_pixels(
     bands: Sequence[str],
     out: Sequence[str],
     block: int = 32,
+    by: Sequence[str] = (),
+    unique: bool = False,
 ) -> DataFrame:
-    """Escape hatch: ``fn(samples of one cell, time-sorted) -> {name: value}``.
+    """Escape hatch: ``fn(samples of one cell, time-sorted) -> {name: value}``: by, row, col, out.
 
-    Cells travel in block x block groups so that one Python call serves many of
-    them; copies of a sample are folded first, so a group is bounded by the
-    acquisitions of the period. Prefer the built-in composites.
+    With ``by`` (a period, say) the function sees the samples of one cell and period. Cells travel in
+    block x block groups, sorted by cell, and a task reads them as a stream: it holds one Arrow batch and the open
+    cell. Copies of a sample are folded first (highest value), unless the caller states that samples are
+    ``unique``, so a cell is bounded by the acquisitions of the period. Prefer the built-in composites.
     """
-    bands, out = list(bands), list(out)
-    src = pixels.groupBy("time", *CELL).agg(*[F.max(b).alias(b) for b in bands])
+    by, bands, out = list(by), list(bands), list(out)
+    cells = [F.col(c).cast("int").alias(c) for c in CELL]
+    src = pixels.select(*by, "time", *cells, *bands)
+    if not unique:
+        src = src.groupBy(*by, "time", *CELL).agg(*[F.max(b).alias(b) for b in bands])
+    keys = [*by, *CELL]
     keyed = src.withColumns({f"_b{i}": F.floor(F.col(c) / F.lit(block)).cast("int") for i, c in enumerate(CELL)})
+    zone = pixels.sparkSession.conf.get("spark.sql.session.timeZone")
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        for (r, c), samples in pdf.sort_values("time").groupby(CELL, sort=False):
-            res = fn(samples[["time", *bands]])
-            rows.append((r, c, *[res.get(o) for o in out]))
-        return pd.DataFrame(rows, columns=CELL + out)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for groups in sorted_groups(batches, keys):
+            samples = groups.table.select(["time", *bands]).to_pandas()
+            if isinstance(samples["time"].dtype, pd.DatetimeTZDtype):
+                samples["time"] = samples["time"].dt.tz_convert(zone).dt.tz_localize(None)
+            ends = np.append(groups.starts[1:], len(samples))
+            found = [fn(samples.iloc[i:j].reset_index(drop=True)) for i, j in zip(groups.starts, ends)]
+            kept = groups.table.select(keys).take(pa.array(groups.starts))
+            for o in out:
+                kept = kept.append_column(pa.field(o, pa.float64()), pa.array([r.get(o) for r in found], pa.float64(), from_pandas=True))
+            yield from kept.combine_chunks().to_batches()
 
-    schema = "row int, col int, " + ", ".join(f"`{o}` double" for o in out)
-    return keyed.groupBy("_b0", "_b1").applyInPandas(run, schema)
+    schema = T.StructType([src.schema[c] for c in keys] + [T.StructField(o, T.DoubleType()) for o in out])
+    return keyed.repartition(*by, "_b0", "_b1").sortWithinPartitions(*keys, "time").mapInArrow(run, schema)

@@ -171,19 +171,15 @@ def overlay_intersection(
 ) -> DataFrame:
     """Intersection pieces of two layers with the suffixes _1 and _2.
 
-    The right layer must hold convex single-ring polygons; another shape raises.
-    Pieces without area are dropped, a left polygon on a border yields several.
+    Polygons of any shape may stand on both sides. A right polygon that is not one convex ring is taken as
+    its trapezoids; the cuts of a pair are put together as parts of one piece. A pair without a common area is dropped.
     """
-    shell = F.col("geom")[0]
-    convex = F.when((F.size("geom") == 1) & G.is_convex_ring(shell), G.orient("geom")).otherwise(
-        F.raise_error(F.lit("overlay needs convex single-ring polygons on the right side")).cast(G.GEOM_DDL)
-    )
-    # Checked once per polygon, before it meets its pairs.
-    right = right.where(F.col("geom").isNotNull()).withColumn("geom", convex)
-    pairs = candidate_pairs(left, right, left_cols, right_cols)
-    piece = G.clip_with_area("l__geom", F.col("r__geom")[0])
+    # Made once per polygon, before it meets its pairs.
+    right = right.where(F.col("geom").isNotNull()).withColumn("_pieces", G.convex_pieces("geom"))
+    pairs = candidate_pairs(left, right, left_cols, [*right_cols, "_pieces"])
+    piece = G.clip_to_pieces("l__geom", "r__pieces")
     # Cutting costs far more than moving a pair, so pairs of one crowded cell are spread first.
-    ids = [c for c in pairs.columns if not c.endswith("__geom")]
+    ids = [f"l_{c}" for c in left_cols] + [f"r_{c}" for c in right_cols]
     cut = pairs.repartition(*ids).select(
         *ids,
         F.explode(F.filter(F.array(piece), lambda s: s["area"] > 0)).alias("_s"),

@@ -257,6 +257,19 @@ def _(spark, d):
     return c.where(F.col("nir").isNotNull()).select(day(), *CELL, "red", "nir")
 
 
+@query(
+    "loaded_cube_with_empty_cells",
+    B.sql(
+        "px",
+        t="SELECT DISTINCT time, row // 8 AS r, col // 8 AS c FROM px",
+        cell="SELECT time, CAST(r * 8 + i AS INT) AS row, CAST(c * 8 + j AS INT) AS col FROM t, range(8) AS a(i), range(8) AS b(j)",
+    )
+    + f"SELECT {day_sql('time', 'cell.time')}, cell.row, cell.col, red, nir FROM cell LEFT JOIN px USING (time, row, col)",
+)
+def _(spark, d):
+    return cube.load_cube(_tiles(spark, d), _scene_items(spark, d), ["red", "nir"]).select(day(), *CELL, "red", "nir")
+
+
 @query(
     "cube_size",
     B.sql(

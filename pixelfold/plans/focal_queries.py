@@ -39,8 +39,8 @@ def _best_available(name: str, reducer: str, pick: str) -> None:
         + f"SELECT row, col, {pick}(CASE WHEN s <= 0.1 THEN red END, CASE WHEN s <= 0.1 THEN time END) AS red FROM s GROUP BY 1, 2",
     )
     def run(spark, d):
-        mask = focal.dilate_mask(_clouds(spark, d), "mask", unique=True)
-        px = B.pixels(spark, d).join(mask, ["time", *CELL])
+        clouds = B.pixels(spark, d).withColumn("mask", F.col("scl").isin(3, 8, 9, 10))
+        px = focal.dilate_mask(clouds, "mask", unique=True, carry=["red"])
         return composite.best_available_pixel(px, ["red"], "mask", reducer)
 
 
@@ -104,3 +104,12 @@ def _spread(samples):
 @query("function_per_pixel", B.sql("px") + "SELECT row, col, max(red) - min(red) AS spread FROM px GROUP BY 1, 2")
 def _(spark, d):
     return focal.evaluate_pixels(B.pixels(spark, d), _spread, ["red"], ["spread"], block=4)
+
+
+@query(
+    "function_per_pixel_and_month",
+    B.sql("px") + "SELECT strftime(time, '%Y-%m') AS month, row, col, max(red) - min(red) AS spread FROM px GROUP BY 1, 2, 3",
+)
+def _(spark, d):
+    px = B.pixels(spark, d).withColumn("month", F.date_format("time", "yyyy-MM"))
+    return focal.evaluate_pixels(px, _spread, ["red"], ["spread"], by=["month"], unique=True)

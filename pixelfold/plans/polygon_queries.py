@@ -26,6 +26,21 @@ def _(spark, d):
     return out.drop("geom")
 
 
+NOTCH = (
+    "greatest(0, least(p.maxx, q.minx + 9) - greatest(p.minx, q.minx + 5))"
+    " * greatest(0, least(p.maxy, q.miny + 16) - greatest(p.miny, q.miny + 6))"
+)
+
+
+@query(
+    "overlay_concave_parents",
+    B.sql("pl", "par", o=f"SELECT plot_key AS plot_key_1, parent_key AS parent_key_2, {AREA} - {NOTCH} AS area FROM pl p JOIN par q ON {OVERLAP}")
+    + "SELECT * FROM o WHERE area > 0",
+)
+def _(spark, d):
+    return overlay.overlay_intersection(B.plots(spark, d), B.horseshoes(spark, d), ["plot_key"], ["parent_key"]).drop("geom")
+
+
 @query(
     "overlay_renamed_columns",
     B.sql("pl", "res") + f"SELECT plot_key, reserve_key AS reserve, {AREA} AS area FROM pl p JOIN res q ON {OVERLAP}",

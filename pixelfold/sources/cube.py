@@ -29,10 +29,10 @@ def load_cube(
     ``tiles`` holds row-major blocks (``TILE_DDL``). Scenes with the same timestamp
     fuse; the first valid value wins, in the order of the items' BIGINT column
     ``item_order`` or, without one, of a hash of the item id (a number keeps the
-    per-pixel aggregate hashed, text would make it sort). Bands are put side by side
-    while they are still whole arrays, so only the exploded pixels take part in
-    the one per-pixel aggregation, which combines map-side. NaN and ``nodata``
-    become NULL here and never appear later.
+    per-pixel aggregate hashed, text would make it sort). Where all tiles lie on one lattice, as tiles of
+    one product do, whole arrays are stacked and fused in a single exchange and exploded last; a look at the
+    tiles' places, without their arrays, decides. Tiles that overlap otherwise are fused pixel by pixel.
+    NaN and ``nodata`` become NULL here and never appear later.
     """
     bands = list(bands)
     rank = F.col("item_order").cast("long") if "item_order" in items.columns else F.xxhash64("item_id")
@@ -50,27 +50,68 @@ def load_cube(
             & (F.col("col0") <= c1)
             & (F.col("col0") + F.col("width") > c0)
         )
+    aligned = _on_one_lattice(src)
     src = src.join(chosen, "item_id")
-    blocks = src.groupBy("item_id", "item_order", "time", "row0", "col0", "width").agg(
-        *[F.max(F.when(F.col("band") == b, F.col("data"))).alias(b) for b in bands]
-    )
-    # arrays_zip pads a band that a scene lacks with NULL.
-    zipped = F.arrays_zip(*[F.coalesce(F.col(b), F.array().cast("array<float>")).alias(b) for b in bands])
-    px = blocks.select("item_order", "time", "row0", "col0", "width", F.posexplode(zipped).alias("_i", "_v")).select(
-        "time",
-        (F.col("row0") + F.floor(F.col("_i") / F.col("width"))).cast("int").alias("row"),
-        (F.col("col0") + F.col("_i") % F.col("width")).cast("int").alias("col"),
-        "item_order",
-        *[_clean(F.col(f"_v.{b}").cast("double"), nodata).alias(b) for b in bands],
-    )
+    px = _fused_arrays(src, bands, nodata) if aligned else _stacked_arrays(src, bands, nodata)
     if window is not None:
         r0, r1, c0, c1 = window
         px = px.where(F.col("row").between(r0, r1) & F.col("col").between(c0, c1))
+    if aligned:
+        return px
     return px.groupBy("time", "row", "col").agg(
         *[F.min_by(b, F.when(F.col(b).isNotNull(), F.col("item_order"))).alias(b) for b in bands]
     )
 
 
+def _on_one_lattice(tiles: DataFrame) -> bool:
+    """Whether all tiles have one size and whole multiples of it between them; one row of metadata."""
+    seen = {
+        "h": F.col("height"),
+        "w": F.col("width"),
+        "r": F.pmod("row0", "height"),
+        "c": F.pmod("col0", "width"),
+    }
+    found = tiles.agg(*[f(v).alias(f"{p}_{n}") for n, v in seen.items() for p, f in (("lo", F.min), ("hi", F.max))]).first()
+    return all(found[f"lo_{n}"] == found[f"hi_{n}"] for n in seen)
+
+
+def _exploded(blocks: DataFrame, bands: Sequence[str], more: Sequence[str] = ()) -> DataFrame:
+    """time, row, col, ``more``, bands from blocks with one array per band; a band that is shorter is padded with NULL."""
+    zipped = F.arrays_zip(*[F.col(b) for b in bands])
+    return blocks.select(*more, "time", "row0", "col0", "width", F.posexplode(zipped).alias("_i", "_v")).select(
+        "time",
+        (F.col("row0") + F.floor(F.col("_i") / F.col("width"))).cast("int").alias("row"),
+        (F.col("col0") + F.col("_i") % F.col("width")).cast("int").alias("col"),
+        *more,
+        *[F.col(f"_v.{b}").alias(b) for b in bands],
+    )
+
+
+def _fused_arrays(src: DataFrame, bands: Sequence[str], nodata: float | None) -> DataFrame:
+    """Pixels of tiles on one lattice: a group is the scenes of one timestamp at one tile, equal copies folded map-side."""
+    none = F.array().cast("array<double>")
+
+    def fused(b: str) -> Column:
+        scenes = F.collect_set(F.when((F.col("band") == b) & F.col("item_order").isNotNull(), F.struct("item_order", "data")))
+        return F.aggregate(
+            F.sort_array(scenes),
+            none,
+            lambda done, s: F.zip_with(done, s["data"], lambda v, x: F.coalesce(v, _clean(x.cast("double"), nodata))),
+        )
+
+    blocks = src.groupBy("time", "row0", "col0", "width").agg(*[fused(b).alias(b) for b in bands])
+    return _exploded(blocks, bands)
+
+
+def _stacked_arrays(src: DataFrame, bands: Sequence[str], nodata: float | None) -> DataFrame:
+    """Pixels of each scene with its ``item_order``, bands side by side."""
+    blocks = src.groupBy("item_id", "item_order", "time", "row0", "col0", "width").agg(
+        *[F.coalesce(F.max(F.when(F.col("band") == b, F.col("data"))), F.array().cast("array<float>")).alias(b) for b in bands]
+    )
+    px = _exploded(blocks, bands, ["item_order"])
+    return px.select("time", "row", "col", "item_order", *[_clean(F.col(b).cast("double"), nodata).alias(b) for b in bands])
+
+
 def _clean(v: Column, nodata: float | None) -> Column:
     v = V.nan_to_null(v)
     return v if nodata is None else F.when(v != F.lit(float(nodata)), v)

@@ -91,3 +91,22 @@ def test_function_per_pixel(spark):
     out = focal.evaluate_pixels(df, lambda s: {"last": s["v"].iloc[-1], "n": len(s)}, ["v"], ["last", "n"], block=2)
     got = {(r["row"], r["col"]): (r["last"], r["n"]) for r in out.collect()}
     assert got == {(r, c): (float(3 * r + c), 4.0) for r in range(5) for c in range(3)}
+
+
+def test_function_per_pixel_and_period(spark):
+    df = spark.createDataFrame(
+        [(t // 3, t, r, c, float(t * r + c)) for t in range(6) for r in range(5) for c in range(3)], "p int, time int, row int, col int, v double"
+    )
+    want = {(p, r, c): (float((3 * p + 2) * r + c), 3.0) for p in range(2) for r in range(5) for c in range(3)}
+    for rows, unique in ((df, True), (df.union(df), False)):
+        out = focal.evaluate_pixels(rows, lambda s: {"last": s["v"].iloc[-1], "n": len(s)}, ["v"], ["last", "n"], 2, ["p"], unique)
+        assert {(r["p"], r["row"], r["col"]): (r["last"], r["n"]) for r in out.collect()} == want
+    assert focal.evaluate_pixels(df.where("false"), lambda s: {"n": len(s)}, ["v"], ["n"]).collect() == []
+
+
+def test_columns_are_carried_through_blocks(image):
+    a, df = image
+    named = df.withColumn("name", F.concat_ws("-", "row", "col"))
+    out = focal.apply_neighborhood(named, lambda b: {"n": b["v"] * 2}, ["v"], ["n"], 4, 2, carry=["name", "v"]).collect()
+    assert {r["name"] for r in out} == {f"{r}-{c}" for r in range(H) for c in range(W) if not np.isnan(a[r, c])}
+    assert all(r["name"] == f"{r['row']}-{r['col']}" and r["v"] == a[r["row"], r["col"]] and r["n"] == 2 * r["v"] for r in out)

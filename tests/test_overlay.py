@@ -81,10 +81,30 @@ def test_overlay_of_general_shapes_with_a_hexagon(spark):
     assert tri[0] == pytest.approx(back.first()["area"])
 
 
-def test_overlay_rejects_concave_right_side(spark):
-    z = geo.layer(spark, s=geo.SQUARE)
-    with pytest.raises(Exception, match="convex"):
-        overlay.overlay_intersection(z, geo.layer(spark, ell=geo.L_SHAPE), ["zone"], ["zone"]).collect()
+def test_overlay_with_concave_holed_and_two_part_right_sides(spark):
+    """Each side as the right one gives the areas that unit cells have in the shape."""
+    unit = {f"{r},{c}": [[(c, r), (c + 1, r), (c + 1, r + 1), (c, r + 1), (c, r)]] for r in range(5) for c in range(5)}
+    two = [unit["0,0"][0], unit["3,3"][0]]
+    shapes = {"ell": geo.L_SHAPE, "hole": geo.WITH_HOLE, "tri": geo.TRIANGLE, "hex": geo.HEXAGON, "two": two}
+    out = overlay.overlay_intersection(geo.layer(spark, **unit), geo.layer(spark, **shapes), ["zone"], ["zone"])
+    got = {(r["zone_1"], r["zone_2"]): r["area"] for r in out.withColumn("area", G.area("geom")).collect()}
+    for name, g in shapes.items():
+        for key in unit:
+            want = float(key in ("0,0", "3,3")) if name == "two" else geo.cell_area(g, *map(int, key.split(",")))
+            assert got.get((key, name), 0.0) == pytest.approx(want, abs=1e-12), (name, key)
+
+
+def test_overlay_of_two_concave_polygons_is_symmetric(spark):
+    shapes = {"ell": geo.L_SHAPE, "hole": geo.WITH_HOLE, "tri": geo.TRIANGLE, "hex": geo.HEXAGON}
+    z = geo.layer(spark, **shapes)
+    out = overlay.overlay_intersection(z, z, ["zone"], ["zone"])
+    got = {(r["zone_1"], r["zone_2"]): r["area"] for r in out.collect()}
+    own = {r["zone"]: r["a"] for r in z.select("zone", G.area(G.orient("geom")).alias("a")).collect()}
+    for a in shapes:
+        assert got[a, a] == pytest.approx(own[a])
+        for b in shapes:
+            # Shapes that only touch may share an area of rounding size.
+            assert got.get((a, b), 0.0) == pytest.approx(got.get((b, a), 0.0), abs=1e-12)
 
 
 def test_within_and_within_union(spark, rows):

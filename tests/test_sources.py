@@ -50,6 +50,22 @@ def test_cube_fuses_equal_times_in_item_order(spark, tiles):
     assert cube.load_cube(tiles, turned, ["red"]).where("row = 0 AND col = 0").where(F.col("time") == T1).first()["red"] == 9.0
 
 
+def test_cube_of_tiles_off_the_lattice_is_fused_by_pixel(spark, tiles):
+    moved = spark.createDataFrame([tile("b", T1, "red", 1, 1, [[70, 71], [72, 73]]), tile("a", T1, "red", 0, 0, [[1, NAN], [3, NAN]])], cube.TILE_DDL)
+    items = spark.createDataFrame([("a", 1), ("b", 2)], "item_id string, item_order bigint")
+    px = {(r["row"], r["col"]): r["red"] for r in cube.load_cube(moved, items, ["red"]).collect()}
+    assert px == {(0, 0): 1.0, (0, 1): None, (1, 0): 3.0, (1, 1): 70.0, (1, 2): 71.0, (2, 1): 72.0, (2, 2): 73.0}
+    copies = tiles.union(tiles)
+    both = [sorted(cube.load_cube(t, items, ["red", "nir"]).select("row", "col", F.coalesce("red", F.lit(-9.0)), F.coalesce("nir", F.lit(-9.0))).collect()) for t in (tiles, copies)]
+    assert both[0] == both[1] and len(both[0]) == 8
+
+
+def test_cube_on_one_lattice_needs_no_exchange_of_pixels(spark, tiles):
+    items = spark.createDataFrame([("a", 1), ("b", 2)], "item_id string, item_order bigint")
+    plan = cube.load_cube(tiles, items, ["red", "nir"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate") < plan.index("ObjectHashAggregate") and "_b" not in plan.split("Generate")[0]
+
+
 def test_cube_crops_to_a_box(spark, tiles, rows):
     items = spark.createDataFrame([("a",)], "item_id string")
     grid = Grid(10, 20, 1, -1, 4, 2)
