@@ -21,6 +21,8 @@ from ..plans.sizing import BROADCAST_ROWS
 MIN_LEVEL, MAX_LEVEL = -30, 40
 # A corner is two doubles in a nested array: about 32 bytes.
 BROADCAST_CORNERS = 2_000_000
+#: Share of a child's area that rounding may take from the sum of its parts.
+COVER_SHARE = 1e-9
 
 
 def _with_box(df: DataFrame, prefix: str) -> DataFrame:
@@ -210,10 +212,12 @@ def within(children: DataFrame, parents: DataFrame, key: str, parent_key: str) -
 
 
 def within_union(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-    """Children whose every corner lies in some parent.
+    """Children that the parents cover together, borders included.
 
-    Exact for convex parents without gaps. A child row is kept when the distinct
-    corners found in parents are as many as it has.
+    Every distinct corner must lie in some parent, and the parts that the parents cut from the child must
+    have its whole area (but for a rounding share of ``COVER_SHARE``), so gaps and holes count. Exact for parents of
+    any shape that do not overlap; an overlap can make up for a gap of at most its area. Both tests are
+    sums and counts by ``key``, which names one child; no child's parts are gathered.
     """
     corners = children.select(
         key, F.posexplode(F.array_distinct(F.flatten("geom"))).alias("_i", "_p")
@@ -221,6 +225,8 @@ def within_union(children: DataFrame, parents: DataFrame, key: str) -> DataFrame
     p = F.col("l__geom")[0][0]
     found = candidate_pairs(corners, parents, [key, "_i"], [], G.covers_point(p["x"], p["y"], F.col("r__geom")))
     hits = found.groupBy(F.col(f"l_{key}").alias(key)).agg(F.count_distinct("l__i").alias("_hits"))
-    counted = children.withColumn("_n", F.size(F.array_distinct(F.flatten("geom"))))
-    ok = counted.join(hits, key).where(F.col("_hits") == F.col("_n"))
-    return ok.drop("_n", "_hits")
+    parts = overlay_intersection(children, parents, [key], []).groupBy(F.col(f"{key}_1").alias(key)).agg(F.sum("area").alias("_cut"))
+    counted = children.withColumn("_n", F.size(F.array_distinct(F.flatten("geom")))).join(hits, key).where("_hits = _n")
+    whole = G.area("geom") * F.lit(1 - COVER_SHARE)
+    ok = counted.join(parts, key, "left").where(F.coalesce("_cut", F.lit(0.0)) >= whole)
+    return ok.drop("_n", "_hits", "_cut")

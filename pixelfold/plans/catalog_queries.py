@@ -252,7 +252,7 @@ def _scene_items(spark, d):
 )
 def _(spark, d):
     c = cube.load_cube(
-        _tiles(spark, d), _scene_items(spark, d), ["red", "nir"], B.PX_GRID, (3.25, 2.0, 14.5, 14.0), nodata=50.0
+        _tiles(spark, d), _scene_items(spark, d), ["red", "nir"], B.PX_GRID, (3.25, 2.0, 14.5, 14.0), nodata=50.0, aligned=True
     )
     return c.where(F.col("nir").isNotNull()).select(day(), *CELL, "red", "nir")
 
@@ -267,7 +267,7 @@ def _(spark, d):
     + f"SELECT {day_sql('time', 'cell.time')}, cell.row, cell.col, red, nir FROM cell LEFT JOIN px USING (time, row, col)",
 )
 def _(spark, d):
-    return cube.load_cube(_tiles(spark, d), _scene_items(spark, d), ["red", "nir"]).select(day(), *CELL, "red", "nir")
+    return cube.load_cube(_tiles(spark, d), _scene_items(spark, d), ["red", "nir"], aligned=True).select(day(), *CELL, "red", "nir")
 
 
 @query(

@@ -107,21 +107,31 @@ def _(spark, d):
     return overlay.sjoin(B.plots(spark, d), B.pairs_of_boxes(spark, d), ["plot_key"], ["parent_key"])
 
 
-@query(
-    "within_union_of_parents",
-    B.sql(
-        "pl",
-        "par",
-        v="SELECT plot_key, minx AS x, miny AS y FROM pl UNION ALL SELECT plot_key, maxx, miny FROM pl"
-        " UNION ALL SELECT plot_key, maxx, maxy FROM pl UNION ALL SELECT plot_key, minx, maxy FROM pl",
-    )
-    + "SELECT plot_key FROM v WHERE EXISTS (SELECT 1 FROM par q WHERE x BETWEEN q.minx AND q.maxx AND y BETWEEN q.miny AND q.maxy)"
-    " GROUP BY 1 HAVING count(*) = 4",
+CORNERS = (
+    "SELECT plot_key, minx AS x, miny AS y FROM pl UNION ALL SELECT plot_key, maxx, miny FROM pl"
+    " UNION ALL SELECT plot_key, maxx, maxy FROM pl UNION ALL SELECT plot_key, minx, maxy FROM pl"
+)
+IN_TILING = (
+    "SELECT plot_key FROM v WHERE EXISTS (SELECT 1 FROM par q WHERE x BETWEEN q.minx AND q.maxx AND y BETWEEN q.miny AND q.maxy)"
+    " GROUP BY 1 HAVING count(*) = 4"
 )
+
+
+@query("within_union_of_parents", B.sql("pl", "par", v=CORNERS) + IN_TILING)
 def _(spark, d):
     return overlay.within_union(B.plots(spark, d), B.parents(spark, d), "plot_key").select("plot_key")
 
 
+@query(
+    "within_union_with_gaps",
+    B.sql("pl", "par", v=CORNERS, t=IN_TILING)
+    + "SELECT plot_key FROM pl p JOIN t USING (plot_key) WHERE NOT EXISTS (SELECT 1 FROM par q"
+    " WHERE p.minx < q.minx + 9 AND p.maxx > q.minx + 5 AND p.miny < q.miny + 16 AND p.maxy > q.miny + 6)",
+)
+def _(spark, d):
+    return overlay.within_union(B.plots(spark, d), B.horseshoes(spark, d), "plot_key").select("plot_key")
+
+
 @query("children_per_parent", B.sql("pl", "par") + f"SELECT parent_key, count(*) AS children FROM pl p JOIN par q ON {OVERLAP} GROUP BY 1")
 def _(spark, d):
     return overlay.children_per_parent(B.plots(spark, d), B.parents(spark, d), "plot_key", "parent_key")

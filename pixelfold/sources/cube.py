@@ -23,6 +23,7 @@ def load_cube(
     grid: Grid | None = None,
     bbox: Sequence[float] | None = None,
     nodata: float | None = None,
+    aligned: bool | None = None,
 ) -> DataFrame:
     """time, row, col, bands: selected scenes and bands, cropped, one row per cell and time.
 
@@ -31,7 +32,8 @@ def load_cube(
     ``item_order`` or, without one, of a hash of the item id (a number keeps the
     per-pixel aggregate hashed, text would make it sort). Where all tiles lie on one lattice, as tiles of
     one product do, whole arrays are stacked and fused in a single exchange and exploded last; a look at the
-    tiles' places, without their arrays, decides. Tiles that overlap otherwise are fused pixel by pixel.
+    tiles' places, without their arrays, decides unless the caller states ``aligned`` (for tiles that are computed
+    and not stored the look is dear). Tiles that overlap otherwise are fused pixel by pixel.
     NaN and ``nodata`` become NULL here and never appear later.
     """
     bands = list(bands)
@@ -50,7 +52,8 @@ def load_cube(
             & (F.col("col0") <= c1)
             & (F.col("col0") + F.col("width") > c0)
         )
-    aligned = _on_one_lattice(src)
+    if aligned is None:
+        aligned = _on_one_lattice(src)
     src = src.join(chosen, "item_id")
     px = _fused_arrays(src, bands, nodata) if aligned else _stacked_arrays(src, bands, nodata)
     if window is not None:

@@ -165,3 +165,14 @@ def test_plans_do_not_leave_the_broadcast_to_the_planner(spark, layers, monkeypa
     assert "BroadcastHashJoin" in plan() and "SortMergeJoin" not in plan()
     monkeypatch.setattr(overlay, "BROADCAST_ROWS", 0)
     assert "SortMergeJoin" in plan() and "BroadcastHashJoin" not in plan()
+
+
+def test_within_union_notices_gaps_and_holes(spark, rows):
+    box = lambda x0, y0, x1, y1: [[(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)]]
+    kids = geo.layer(spark, over=box(1, 1, 9, 2), inside=box(1, 1, 3, 2), bridge=box(3, 0, 5, 4), edge=box(4, 4, 5, 4))
+    gap = geo.layer(spark, p=box(0, 0, 4, 4), q=box(6, 0, 10, 4))
+    assert rows(overlay.within_union(kids, gap, "zone"), "zone") == [("inside",)]
+    filled = geo.layer(spark, p=box(0, 0, 4, 4), m=box(4, 0, 6, 4), q=box(6, 0, 10, 4))
+    assert rows(overlay.within_union(kids, filled, "zone"), "zone") == [("bridge",), ("edge",), ("inside",), ("over",)]
+    around = geo.layer(spark, around=box(0, 0, 5, 5), beside=box(0, 0, 1, 5))
+    assert rows(overlay.within_union(around, geo.layer(spark, h=geo.WITH_HOLE), "zone"), "zone") == [("beside",)]
