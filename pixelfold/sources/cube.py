@@ -92,18 +92,18 @@ def _exploded(blocks: DataFrame, bands: Sequence[str], more: Sequence[str] = ())
 
 def _fused_arrays(src: DataFrame, bands: Sequence[str], nodata: float | None) -> DataFrame:
     """Pixels of tiles on one lattice: a group is the scenes of one timestamp at one tile, equal copies folded map-side."""
-    none = F.array().cast("array<double>")
+    none = F.array().cast("array<float>")
 
     def fused(b: str) -> Column:
-        scenes = F.collect_set(F.when((F.col("band") == b) & F.col("item_order").isNotNull(), F.struct("item_order", "data")))
-        return F.aggregate(
-            F.sort_array(scenes),
-            none,
-            lambda done, s: F.zip_with(done, s["data"], lambda v, x: F.coalesce(v, _clean(x.cast("double"), nodata))),
-        )
+        scenes = F.sort_array(F.collect_set(F.when((F.col("band") == b) & F.col("item_order").isNotNull(), F.struct("item_order", "data"))))
+        # The first scene as it is, gaps filled from the next ones; a lone scene costs nothing per element.
+        rest = F.slice(scenes, 2, F.greatest(F.size(scenes) - 1, F.lit(0)))
+        fill = lambda v, x: F.when(_clean(v, nodata).isNotNull(), v).otherwise(x)
+        return F.coalesce(F.aggregate(rest, F.get(scenes, F.lit(0))["data"], lambda done, s: F.zip_with(done, s["data"], fill)), none)
 
     blocks = src.groupBy("time", "row0", "col0", "width").agg(*[fused(b).alias(b) for b in bands])
-    return _exploded(blocks, bands)
+    px = _exploded(blocks, bands)
+    return px.select("time", "row", "col", *[_clean(F.col(b).cast("double"), nodata).alias(b) for b in bands])
 
 
 def _stacked_arrays(src: DataFrame, bands: Sequence[str], nodata: float | None) -> DataFrame:
