@@ -19,7 +19,7 @@ them without a pair being formed. Components come from alternating large and sma
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import repeat
 
@@ -70,25 +70,34 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of ``docs`` for each component: a row with the least key.
+    """One row of ``docs`` for each component: a row with the least key; ``keep_least`` says which rows without a key stay."""
+
+    def signed(t: str) -> int:
+        return int(np.uint64(fingerprint(t)).view(np.int64))
+
+    return keep_least(docs, near_duplicates(docs, key, text), key, text, "fp", "long", signed)
+
+
+def keep_least(docs: DataFrame, found: DataFrame, key: str, text: str, mark: str, kind: str, mark_of: Callable[[str], object]) -> DataFrame:
+    """One row of ``docs`` for each component of ``found`` (key, ``mark``, component_id, root).
 
     Rows of one key are one document, of which one row stays. Rows without a key stay where their component has no
-    other: one row with the component's least fingerprint.
+    other: one row with the component's least mark.
     """
-    found = materialize(near_duplicates(docs, key, text), "components")
+    found = materialize(found, "components")
     keep = found.where(F.col(key) == F.col("component_id")).select(key).distinct()
     named = docs.join(keep, key, "left_semi").select(docs.columns).dropDuplicates([key])
-    roots = found.where(F.col("component_id").isNull()).where(F.col("fp") == F.col("root")).select("fp").distinct()
+    roots = found.where(F.col("component_id").isNull()).where(F.col(mark) == F.col("root")).select(F.col(mark).alias("mark")).distinct()
     columns = docs.columns
     unnamed = docs.where(F.col(key).isNull()).select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
-            fp = np.array([fingerprint(t) for t in texts_of(b.column("text"))], "<u8").view("<i8")
-            yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(fp)], names=["row", "fp"])
+            marks = pa.array([mark_of(t) for t in texts_of(b.column("text"))], pa.string() if kind == "string" else pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("row"), marks], names=["row", "mark"])
 
-    kinds = f"row {unnamed.schema['row'].dataType.simpleString()}, fp long"
-    return named.unionByName(unnamed.mapInArrow(run, kinds).join(roots, "fp", "left_semi").dropDuplicates(["fp"]).select("row.*"))
+    kinds = f"row {unnamed.schema['row'].dataType.simpleString()}, mark {kind}"
+    return named.unionByName(unnamed.mapInArrow(run, kinds).join(roots, "mark", "left_semi").dropDuplicates(["mark"]).select("row.*"))
 
 
 @cache

@@ -24,6 +24,7 @@ from pixelfold.llm import (
     quality_classifier,
     quality_rules,
     queries,
+    shingle_sets,
     simhash,
     url_filters,
 )
@@ -231,6 +232,46 @@ def test_simhash_edges(docs, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
+def jaccard(a, b):
+    def own(t):
+        w = t.lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    x, y = own(a), own(b)
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+@pytest.mark.parametrize("bucket", [2, 32])
+def test_near_copies_equal_brute_force(spark, bucket):
+    rng = random.Random(12)
+    base = [[f"w{rng.randrange(500)}" for _ in range(200)] for _ in range(20)]
+    rows = []
+    for group, words in enumerate(base):
+        for edits in (0, 1, 2, 3, 4, 5, 6, 8, 12, 60):
+            own = list(words)
+            for at in rng.sample(range(200), edits):
+                own[at] = f"x{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(own).upper() if edits == 1 else "  ".join(own)))
+    root = {k: k for k, _ in rows}
+    wide = 0
+    for a, s in rows:
+        for b, t in rows[max(0, a - 10) : a]:
+            if jaccard(s.lower(), t.lower()) >= 0.8:
+                wide += bin(simhash.fingerprint(s) ^ simhash.fingerprint(t)).count("1") > 2
+                x, y = sorted((root[a], root[b]))
+                root = {k: x if r == y else r for k, r in root.items()}
+    assert wide > 20
+    df = spark.createDataFrame([*rows, (None, rows[0][1]), (None, "alone"), (None, "ALONE")], "doc_id long, text string").withColumn("uid", F.lit(1)).repartition(5)
+    found = shingle_sets.near_copies(df, bucket=bucket).where("doc_id IS NOT NULL").collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == root
+    if bucket == 32:
+        kept = shingle_sets.drop_near_copies(df)
+        assert kept.columns == df.columns
+        got = kept.collect()
+        assert {r["doc_id"] for r in got} - {None} == set(root.values()) and [r["text"].lower() for r in got if r["doc_id"] is None] == ["alone"]
+        assert shingle_sets.near_copies(df.where("false")).count() == 0
+
+
 # --- rules --------------------------------------------------------------------------------
 
 
