@@ -7,8 +7,8 @@ P(Bin(n, risk) <= losses) <= level. The cutoffs of one rule are tested from the
 down and testing stops at the first failure, which needs no correction along the grid;
 the level is divided by the number of (stratum, rule) pairs. Among the certified cutoffs, the one
 with the largest difference between the shares of bad and good documents it rejects is used,
-the more lenient one at ties. A rule without a certified cutoff in a stratum takes that of all
-languages; without that it rejects nothing.
+the more lenient one at ties. A rule without a certified cutoff in a stratum rejects nothing there: the cutoff of all
+languages together is certified for their mix only.
 
 All of it is DataFrame functions; the driver sees only the table of cutoffs.
 """
@@ -194,7 +194,7 @@ def cutoffs(labelled: DataFrame, limits: Risk = Risk(), stratum: str = "lang") -
 def calibrate(docs: DataFrame, labels: DataFrame, limits: Risk = Risk(), key: str = "doc_id", text: str = "text", stratum: str = "lang") -> dict[str, dict[str, float]]:
     """Cutoff by rule and stratum, from the labelled documents whose fold of five is not 0.
 
-    The table that comes to the driver has at most one row per stratum of the bounded sample and rule.
+    The table that comes to the driver has at most one row per rule and certified stratum.
     """
     known = labels.where(F.col(key).isNotNull() & F.col("quality").isin(0, 1)).groupBy(key).agg(F.min("quality").alias("quality"))
     known = bounded_sample(known.where(fold(F.col(key), 5) != 0), F.col(key), limits.most_labels, 9)
@@ -202,26 +202,21 @@ def calibrate(docs: DataFrame, labels: DataFrame, limits: Risk = Risk(), key: st
     chosen = cutoffs(statistics(sample, text), limits, stratum)
     found = rules()
     out: dict[str, dict[str, float]] = {}
-    for r in chosen.collect():
+    for r in chosen.where(F.col("stratum") != POOLED).collect():
         out.setdefault(r["rule"], {})[r["stratum"]] = found[r["rule"]][1][r["cut"]]
     return out
 
 
 def verdict(chosen: dict[str, dict[str, float]], stratum: str = "lang") -> Column:
-    """True for rows of ``statistics`` that exceed no cutoff of their stratum."""
+    """True for rows of ``statistics`` that exceed no cutoff certified in their own stratum; others reject nothing."""
     passed = F.lit(True)
     own = F.coalesce(F.col(stratum).cast("string"), F.lit(""))
     for name, (value, _) in rules().items():
         cuts = chosen.get(name)
         if not cuts:
             continue
-        pooled = F.lit(cuts.get(POOLED)).cast("double")
-        limit = pooled
-        strata = {k: v for k, v in cuts.items() if k != POOLED}
-        if strata:
-            table = F.create_map(*(F.lit(x) for pair in sorted(strata.items()) for x in pair))
-            limit = F.coalesce(F.try_element_at(table, own), pooled)
-        passed = passed & F.coalesce(value <= limit, F.lit(True))
+        table = F.create_map(*(F.lit(x) for pair in sorted(cuts.items()) for x in pair))
+        passed = passed & F.coalesce(value <= F.try_element_at(table, own), F.lit(True))
     return passed
 
 

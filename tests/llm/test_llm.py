@@ -324,6 +324,15 @@ def test_cutoffs_bound_false_rejections(spark):
     assert quality_rules.cutoffs(df.limit(100)).count() == 0
 
 
+def test_a_pooled_cutoff_does_not_judge_a_small_stratum(spark):
+    rows = [(i, " ".join(f"{i}a{j}" for j in range(60)) + ("" if i % 5 else "".join(f" #{j}" for j in range(40))), "en", min(i % 5, 1)) for i in range(2000)]
+    rows += [(5000 + i, " ".join(f"{i}b{j}" for j in range(60)) + "".join(f" #{j}" for j in range(40)), "xx", 1) for i in range(15)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, quality int")
+    got = quality_rules.judge(df.drop("quality"), df.select("doc_id", F.col("quality").cast("int").alias("quality")))
+    kept = {r["lang"]: r["n"] for r in got.where("kept").groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert kept["en"] == 1600 and kept["xx"] == 15
+
+
 # --- classifier and language --------------------------------------------------------------
 
 
