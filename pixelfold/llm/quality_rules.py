@@ -20,7 +20,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import SPACES, bounded_sample, fold
+from ..plans.sizing import BROADCAST_ROWS
+from .common import SPACES, fold
 
 # The base rule and the characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -36,14 +37,10 @@ POOLED = "*"
 
 @dataclass(frozen=True)
 class Risk:
-    """At most ``risk`` of a stratum's good documents lost to each rule, with probability 1 - ``level`` for all at once.
-
-    ``most_labels`` bounds the holdout that is read; larger ones are sampled by a hash of the key.
-    """
+    """At most ``risk`` of a stratum's good documents lost to each rule, with probability 1 - ``level`` for all at once."""
 
     risk: float = 0.01
     level: float = 0.05
-    most_labels: int = 30_000
 
 
 def _words(text: Column) -> Column:
@@ -192,14 +189,19 @@ def cutoffs(labelled: DataFrame, limits: Risk = Risk(), stratum: str = "lang") -
 
 
 def calibrate(docs: DataFrame, labels: DataFrame, limits: Risk = Risk(), key: str = "doc_id", text: str = "text", stratum: str = "lang") -> dict[str, dict[str, float]]:
-    """Cutoff by rule and stratum, from the labelled documents whose fold of five is not 0.
+    """Cutoff by rule and stratum, from all labelled documents whose fold of five is not 0.
 
     The table that comes to the driver has at most one row per rule and certified stratum.
     """
     known = labels.where(F.col(key).isNotNull() & F.col("quality").isin(0, 1)).groupBy(key).agg(F.min("quality").alias("quality"))
-    known = bounded_sample(known.where(fold(F.col(key), 5) != 0), F.col(key), limits.most_labels, 9)
-    sample = docs.select(key, text, stratum).join(F.broadcast(known), key)
-    chosen = cutoffs(statistics(sample, text), limits, stratum)
+    known = known.where(fold(F.col(key), 5) != 0)
+    narrow = docs.select(key, text, stratum)
+    if known.count() <= BROADCAST_ROWS:
+        labelled = statistics(narrow.join(F.broadcast(known), key), text)
+    else:
+        # The counts are shuffled, not the texts.
+        labelled = statistics(narrow, text).drop(text).join(known.hint("merge"), key)
+    chosen = cutoffs(labelled, limits, stratum)
     found = rules()
     out: dict[str, dict[str, float]] = {}
     for r in chosen.where(F.col("stratum") != POOLED).collect():

@@ -333,6 +333,17 @@ def test_a_pooled_cutoff_does_not_judge_a_small_stratum(spark):
     assert kept["en"] == 1600 and kept["xx"] == 15
 
 
+@pytest.mark.parametrize("bound", [200_000, 10])
+def test_all_labels_count_towards_a_small_stratum(spark, monkeypatch, bound):
+    monkeypatch.setattr(quality_rules, "BROADCAST_ROWS", bound)
+    df = spark.range(0, 70_000, 1, 8).selectExpr(
+        "id AS doc_id", "IF(id % 56 = 0, 'xx', 'en') AS lang", "CAST(IF(id % 5 = 1, 0, 1) AS int) AS quality",
+        "concat(array_join(transform(sequence(1, 50), i -> concat(id, 'a', i)), ' '), IF(id % 5 = 1, ' # # # # # # #', '')) AS text",
+    )
+    chosen = quality_rules.calibrate(df.drop("quality"), df.select("doc_id", "quality"))
+    assert set(chosen["symbols"]) == {"en", "xx"}
+
+
 # --- classifier and language --------------------------------------------------------------
 
 
