@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat_formatting, html_extraction, language_id, nearest_neighbours, packing, quality_classifier, quality_rules, simhash, url_filters
+from . import bpe, chat_formatting, conversation_repair, html_extraction, language_id, nearest_neighbours, packing, quality_classifier, quality_rules, simhash, url_filters, whitening
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,68 @@ def op10_segmented_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge(table(spark, sf_dir, "pages"), URL_RULES)
 
 
+def op11_eigen_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")))
+
+
+#: crc32 of a text, bit by bit: its bytes enter at every eighth step.
+CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(8 * length({0})), lambda k: (CASE WHEN k % 8 = 0 THEN ascii({0}[(k // 8 + 1)::INT]) ELSE 0 END)::UBIGINT)),
+    lambda a, e: CASE WHEN xor(a, e) % 2 = 1 THEN xor(xor(a, e) >> 1, 3988292384::UBIGINT) ELSE xor(a, e) >> 1 END), 4294967295::UBIGINT)"""
+
+
+def _cell(cost: str, audit: str, out: str) -> str:
+    return f"{{'cost': {cost}, 'audit': {audit}, 'out': {out}}}"
+
+
+def _edit(s: str, kind: str, cost: str, out: str = "''") -> str:
+    return _cell(f"{s}.cost + {cost}", f"{s}.audit || {kind}", f"{s}.out || {out}")
+
+
+def _took(s: str, initial: str, role: str) -> str:
+    """Keeping or re-roling the row after state ``s``, where it may stay."""
+    kept = f"f.initial = '{initial}'"
+    allowed = f"f.stays AND {kept}" if not role else "f.stays"
+    other = "f.role" if not role else f"CASE WHEN {kept} THEN f.role ELSE '{role}' END"
+    cost = f"f.extra + CASE WHEN {kept} THEN 0 ELSE 3 END + CASE WHEN {allowed} THEN 0 ELSE 1000000000 END"
+    return _edit(s, f"CASE WHEN {kept} THEN 'K' ELSE 'R' END", cost, f"chr(10) || ({other}) || ':' || f.text")
+
+
+_REPAIR_STEP = f"""
+    SELECT conv_id, i, n0, n1, n2, list_min([b3, {_edit('n2', "'I'", '3', "chr(10) || 'assistant:'")}]) AS n3 FROM (
+      SELECT conv_id, i, n0, n1, b3, list_min([b2, {_edit('n0', "'I'", '3', "chr(10) || 'user:'")}, {_edit('n1', "'I'", '3', "chr(10) || 'user:'")}, {_edit('b3', "'I'", '3', "chr(10) || 'user:'")}]) AS n2 FROM (
+        SELECT d.conv_id, f.i, {_edit('d.n0', "'D'", '4')} AS n0, list_min([{_edit('d.n1', "'D'", '4')}, {_took('d.n0', 's', '')}]) AS n1,
+          list_min([{_edit('d.n2', "'D'", '4')}, {', '.join(_took(s, 'u', 'user') for s in ('d.n0', 'd.n1', 'd.n3'))}]) AS b2, list_min([{_edit('d.n3', "'D'", '4')}, {_took('d.n2', 'a', 'assistant')}]) AS b3
+        FROM dp d JOIN faulted f ON f.conv_id IS NOT DISTINCT FROM d.conv_id AND f.i = d.i + 1))"""
+#: The cheapest edits by a recursive query that carries each state's whole audit and repaired text.
+OP12_SQL = f"""WITH RECURSIVE named AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name FROM conversations),
+  kinds AS (SELECT *, {CRC32_SQL.format('name')} % 20 AS kind FROM named),
+  damaged AS (
+    SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+      unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy FROM kinds WHERE kind <> 0),
+  placed AS (
+    SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+      row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM damaged),
+  judged AS (
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+      lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
+  faulted AS (SELECT *, fault NOT IN ('blank', 'duplicate') AS stays, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS extra FROM judged),
+  counts AS (
+    SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+      count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM faulted GROUP BY conv_id),
+  dp AS (
+    SELECT conv_id, 0::BIGINT AS i, {_cell('0::BIGINT', "''", "''")} AS n0, {_cell('1000000000::BIGINT', "''", "''")} AS n1, {_cell('3::BIGINT', "'I'", "chr(10) || 'user:'")} AS n2, {_cell('6::BIGINT', "'II'", "chr(10) || 'user:' || chr(10) || 'assistant:'")} AS n3
+    FROM (SELECT DISTINCT conv_id FROM conversations)
+    UNION ALL {_REPAIR_STEP})
+  SELECT d.conv_id, coalesce(c.gaps, 0)::BIGINT AS gaps, coalesce(c.blank, 0) AS blank, coalesce(c.duplicate, 0) AS duplicate, coalesce(c.truncated, 0) AS truncated, coalesce(c.illegal, 0) AS illegal,
+    list_min([d.n0, d.n3]).cost AS cost, list_min([d.n0, d.n3]).audit AS audit, sha256(substr(list_min([d.n0, d.n3]).out, 2)) AS repaired_sha256
+  FROM dp d LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM d.conv_id WHERE d.i = coalesce(c.n, 0)"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_attention_quality": op1_attention_quality,
     "op2_template_extraction": op2_template_extraction,
@@ -82,5 +144,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_golay": op8_simhash_golay,
     "op9_risk_controlled_rules": op9_risk_controlled_rules,
     "op10_segmented_url_filter": op10_segmented_url_filter,
+    "op11_eigen_whitening": op11_eigen_whitening,
+    "op12_audit_repair": op12_audit_repair,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_audit_repair": OP12_SQL}
