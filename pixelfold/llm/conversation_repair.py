@@ -315,7 +315,7 @@ def repair(rows: DataFrame) -> DataFrame:
     """conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit, repaired_sha256 of every conversation.
 
     ``rows``: conv_id, turn, role, text and, if there, ``gone`` (the row does not exist, but its conversation does). NULL role and
-    text count as one space; NULL turns come first. Rows with a NULL conv_id are one conversation. Repeated rows are
+    text count as one space, a row with an empty role cannot be kept under it; NULL turns come first. Rows with a NULL conv_id are one conversation. Repeated rows are
     duplicates of the first. An empty table gives an empty result; further columns are not read.
 
     A conversation's hash runs over all its repaired rows in order, so its rows pass through one task: sorted outside the heap by

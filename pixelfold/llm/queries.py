@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, chat_formatting, conversation_repair, html_extraction, language_id, nearest_neighbours, packing, quality_classifier, quality_rules, simhash, url_filters, whitening
+from . import bpe, chat_formatting, conversation_repair, html_extraction, language_id, lm_scoring, nearest_neighbours, packing, quality_classifier, quality_rules, simhash, url_filters, whitening
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,11 @@ def op12_audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(conversation_repair.damage(table(spark, sf_dir, "conversations")))
 
 
+def op13_pitman_yor_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm_scoring.score_held_out(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 #: crc32 of a text, bit by bit: its bytes enter at every eighth step.
 CRC32_SQL = """xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(range(8 * length({0})), lambda k: (CASE WHEN k % 8 = 0 THEN ascii({0}[(k // 8 + 1)::INT]) ELSE 0 END)::UBIGINT)),
     lambda a, e: CASE WHEN xor(a, e) % 2 = 1 THEN xor(xor(a, e) >> 1, 3988292384::UBIGINT) ELSE xor(a, e) >> 1 END), 4294967295::UBIGINT)"""
@@ -118,7 +123,7 @@ OP12_SQL = f"""WITH RECURSIVE named AS (
     SELECT *, left(role, 1) AS initial, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
       row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM damaged),
   judged AS (
-    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault,
+    SELECT *, CASE WHEN NOT regexp_matches(text, '[^\\x20\\x09-\\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN NOT regexp_matches(text, '[.!?][\\x20\\x09-\\x0D]*\\z') THEN 'truncated' ELSE '' END AS fault,
       lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before FROM placed),
   faulted AS (SELECT *, fault NOT IN ('blank', 'duplicate') AS stays, CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END AS extra FROM judged),
   counts AS (
@@ -146,5 +151,6 @@ QUERIES: dict[str, Query] = {
     "op10_segmented_url_filter": op10_segmented_url_filter,
     "op11_eigen_whitening": op11_eigen_whitening,
     "op12_audit_repair": op12_audit_repair,
+    "op13_pitman_yor_score": op13_pitman_yor_score,
 }
 ORACLES: dict[str, str] = {"op12_audit_repair": OP12_SQL}
