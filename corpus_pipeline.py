@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pixelfold.llm import packing, quality_classifier, quality_rules, shingle_sets
+from pixelfold.llm import packing, quality_classifier, quality_rules, simhash
 from pixelfold.llm.common import table
 from pixelfold.llm.queries import word_tokenizer
 from pixelfold.plans.sizing import materialize
@@ -30,8 +30,8 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word Jaccard similarity of 0.8 or more): the one with the least doc_id."""
-    return shingle_sets.drop_near_copies(docs)
+    """One document of each group of near copies, the one with the least doc_id: the SimHash operator with the shingle length and bit distance of its contract."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
