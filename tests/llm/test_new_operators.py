@@ -261,8 +261,10 @@ def test_probabilities_of_a_restaurant_sum_to_one():
         model.history.append(Totals(model.history[0].customers, own.table_counts()))
         for level, customers_below in ((own.low, own.customers), (own.mid, own._to_endings(own.low.tables)), (own.top, own._to_root(own.mid.tables))):
             assert (level.customers == customers_below).all() and (level.tables <= level.customers).all() and ((level.tables > 0) == (level.customers > 0)).all()
-            owner = np.repeat(np.arange(len(level.room)), level.room)
-            assert (np.bincount(owner, level.sizes, len(level.room)) == level.customers).all() and (np.bincount(owner, level.sizes > 0, len(level.room)) == level.tables).all()
+            room = level.room[level.live]
+            owner = np.repeat(level.live, room)
+            assert (np.bincount(owner, level.sizes, len(level.room))[level.live] == level.customers[level.live]).all()
+            assert (np.bincount(owner, level.sizes > 0, len(level.room))[level.live] == level.tables[level.live]).all()
         p = own.predictive(model.history[-1])[2]
         d = model.discount
         for u in contexts:
@@ -295,7 +297,7 @@ def test_seating_follows_the_process():
 
 def test_language_model_edges(spark):
     rows = [(1, "A b a", 1), (1, "A b a", 1), (2, None, 1), (3, "", 1), (None, "x \x1c y", 1), (4, "long " * 60_000, 1), (5, "unseen words only", 0), (6, "É é Σ 日本", 1)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, learn int").select("*", *(F.lit(1).alias(c) for c in ("key", "pair", "n", "word", "block", "training"))).repartition(3)
+    df = spark.createDataFrame(rows, "doc_id long, text string, learn int").select("*", *(F.lit(1).alias(c) for c in ("key", "first", "n", "word", "block", "training"))).repartition(3)
     for block in (1, 1 << 20):
         got = lm_scoring.score_documents(df, F.col("learn") == 1, block_bytes=block).collect()
         assert len(got) == len(rows) and all(r["train_tokens"] == 4 + 4 + 1 + 1 + 4 + 60_001 + 5 for r in got)
