@@ -45,12 +45,12 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as a table in the shared folder and read back.
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """``df`` written once as a table in the shared folder and read back; ``options`` are the writer's.
 
     For frames that several later stages read: their sources are scanned once, the
     lineage is cut, and a lost executor costs a re-read of shared storage.
     """
     path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
