@@ -3,13 +3,16 @@
 Supported: 4326 (lon/lat degrees), 3857 (Web Mercator), 326zz / 327zz (UTM,
 Krueger series to third order in n, below a millimetre inside a zone) and 3035
 (Lambert azimuthal equal area for Europe). Formulas from the public guidance
-notes on map projections.
+notes on map projections. Every formula is written once, over a namespace of functions ``m``: Spark's (the default) for
+columns, ``NUMPY`` for arrays inside a task.
 """
 
 from __future__ import annotations
 
 import math
+from types import SimpleNamespace
 
+import numpy as np
 from pyspark.sql import Column, functions as F
 
 from .geometry import map_points
@@ -24,19 +27,24 @@ LAEA_LAT0, LAEA_LON0, LAEA_FE, LAEA_FN = 52.0, 10.0, 4321000.0, 3210000.0
 SUPPORTED = "4326, 3857, 32601-32660, 32701-32760, 3035"
 
 
-def _atanh(v: Column) -> Column:
-    return F.atanh(v)
+#: The functions that the formulas use, over numpy arrays.
+NUMPY = SimpleNamespace(
+    lit=lambda v: v, sin=np.sin, cos=np.cos, tan=np.tan, asin=np.arcsin, atan=np.arctan, atan2=np.arctan2, sinh=np.sinh, cosh=np.cosh,
+    atanh=np.arctanh, log=np.log, sqrt=np.sqrt, hypot=np.hypot, radians=np.radians, degrees=np.degrees, greatest=np.maximum, least=np.minimum,
+    try_divide=lambda a, b: np.divide(a, b, out=np.full(np.broadcast(a, b).shape, np.nan), where=np.not_equal(b, 0)),
+    coalesce=lambda a, b: np.where(np.isnan(a), b, a),
+)
 
 
-def _mercator_forward(lon: Column, lat: Column):
-    x = F.radians(lon) * F.lit(SEMI_MAJOR)
-    y = F.log(F.tan(F.lit(math.pi / 4) + F.radians(lat) / 2)) * F.lit(SEMI_MAJOR)
+def _mercator_forward(lon, lat, m=F):
+    x = m.radians(lon) * m.lit(SEMI_MAJOR)
+    y = m.log(m.tan(m.lit(math.pi / 4) + m.radians(lat) / 2)) * m.lit(SEMI_MAJOR)
     return x, y
 
 
-def _mercator_inverse(x: Column, y: Column):
-    lon = F.degrees(x / F.lit(SEMI_MAJOR))
-    lat = F.degrees(F.atan(F.sinh(y / F.lit(SEMI_MAJOR))))
+def _mercator_inverse(x, y, m=F):
+    lon = m.degrees(x / m.lit(SEMI_MAJOR))
+    lat = m.degrees(m.atan(m.sinh(y / m.lit(SEMI_MAJOR))))
     return lon, lat
 
 
@@ -70,17 +78,17 @@ def _utm_forward(srid: int):
     lon0, north = _utm_parts(srid)
     k = 2 * math.sqrt(_N) / (1 + _N)
 
-    def fn(lon: Column, lat: Column):
-        s, lam = F.sin(F.radians(lat)), F.radians(lon) - F.lit(lon0)
-        t = F.sinh(_atanh(s) - F.lit(k) * _atanh(F.lit(k) * s))
-        xi = F.atan2(t, F.cos(lam))
-        eta = _atanh(F.sin(lam) / F.sqrt(F.lit(1.0) + t * t))
+    def fn(lon, lat, m=F):
+        s, lam = m.sin(m.radians(lat)), m.radians(lon) - m.lit(lon0)
+        t = m.sinh(m.atanh(s) - m.lit(k) * m.atanh(m.lit(k) * s))
+        xi = m.atan2(t, m.cos(lam))
+        eta = m.atanh(m.sin(lam) / m.sqrt(m.lit(1.0) + t * t))
         east, up = eta, xi
         for j, a in enumerate(_ALPHA, 1):
-            east = east + F.lit(a) * F.cos(xi * F.lit(2.0 * j)) * F.sinh(eta * F.lit(2.0 * j))
-            up = up + F.lit(a) * F.sin(xi * F.lit(2.0 * j)) * F.cosh(eta * F.lit(2.0 * j))
-        scale = F.lit(UTM_SCALE * _RECT)
-        return F.lit(UTM_FALSE_EAST) + scale * east, F.lit(north) + scale * up
+            east = east + m.lit(a) * m.cos(xi * m.lit(2.0 * j)) * m.sinh(eta * m.lit(2.0 * j))
+            up = up + m.lit(a) * m.sin(xi * m.lit(2.0 * j)) * m.cosh(eta * m.lit(2.0 * j))
+        scale = m.lit(UTM_SCALE * _RECT)
+        return m.lit(UTM_FALSE_EAST) + scale * east, m.lit(north) + scale * up
 
     return fn
 
@@ -88,19 +96,19 @@ def _utm_forward(srid: int):
 def _utm_inverse(srid: int):
     lon0, north = _utm_parts(srid)
 
-    def fn(x: Column, y: Column):
-        scale = F.lit(UTM_SCALE * _RECT)
-        xi, eta = (y - F.lit(north)) / scale, (x - F.lit(UTM_FALSE_EAST)) / scale
+    def fn(x, y, m=F):
+        scale = m.lit(UTM_SCALE * _RECT)
+        xi, eta = (y - m.lit(north)) / scale, (x - m.lit(UTM_FALSE_EAST)) / scale
         xi1, eta1 = xi, eta
         for j, b in enumerate(_BETA, 1):
-            xi1 = xi1 - F.lit(b) * F.sin(xi * F.lit(2.0 * j)) * F.cosh(eta * F.lit(2.0 * j))
-            eta1 = eta1 - F.lit(b) * F.cos(xi * F.lit(2.0 * j)) * F.sinh(eta * F.lit(2.0 * j))
-        chi = F.asin(F.sin(xi1) / F.cosh(eta1))
+            xi1 = xi1 - m.lit(b) * m.sin(xi * m.lit(2.0 * j)) * m.cosh(eta * m.lit(2.0 * j))
+            eta1 = eta1 - m.lit(b) * m.cos(xi * m.lit(2.0 * j)) * m.sinh(eta * m.lit(2.0 * j))
+        chi = m.asin(m.sin(xi1) / m.cosh(eta1))
         lat = chi
         for j, d in enumerate(_DELTA, 1):
-            lat = lat + F.lit(d) * F.sin(chi * F.lit(2.0 * j))
-        lon = F.lit(lon0) + F.atan2(F.sinh(eta1), F.cos(xi1))
-        return F.degrees(lon), F.degrees(lat)
+            lat = lat + m.lit(d) * m.sin(chi * m.lit(2.0 * j))
+        lon = m.lit(lon0) + m.atan2(m.sinh(eta1), m.cos(xi1))
+        return m.degrees(lon), m.degrees(lat)
 
     return fn
 
@@ -123,40 +131,40 @@ _M1 = math.cos(math.radians(LAEA_LAT0)) / math.sqrt(1 - _E2 * math.sin(math.radi
 _D = SEMI_MAJOR * _M1 / (_RQ * math.cos(_BETA1))
 
 
-def _laea_forward(lon: Column, lat: Column):
-    s = F.sin(F.radians(lat))
-    e, e2 = F.lit(_E), F.lit(_E2)
-    one = F.lit(1.0)
-    q = F.lit(1 - _E2) * (s / (one - e2 * s * s) - F.log((one - e * s) / (one + e * s)) / F.lit(2 * _E))
-    beta = F.asin(F.greatest(F.lit(-1.0), F.least(one, q / F.lit(_QP))))
-    lam = F.radians(lon) - F.lit(math.radians(LAEA_LON0))
-    sb1, cb1 = F.lit(math.sin(_BETA1)), F.lit(math.cos(_BETA1))
-    b = F.lit(_RQ) * F.sqrt(F.lit(2.0) / (one + sb1 * F.sin(beta) + cb1 * F.cos(beta) * F.cos(lam)))
-    x = F.lit(LAEA_FE) + b * F.lit(_D) * F.cos(beta) * F.sin(lam)
-    y = F.lit(LAEA_FN) + b / F.lit(_D) * (cb1 * F.sin(beta) - sb1 * F.cos(beta) * F.cos(lam))
+def _laea_forward(lon, lat, m=F):
+    s = m.sin(m.radians(lat))
+    e, e2 = m.lit(_E), m.lit(_E2)
+    one = m.lit(1.0)
+    q = m.lit(1 - _E2) * (s / (one - e2 * s * s) - m.log((one - e * s) / (one + e * s)) / m.lit(2 * _E))
+    beta = m.asin(m.greatest(m.lit(-1.0), m.least(one, q / m.lit(_QP))))
+    lam = m.radians(lon) - m.lit(math.radians(LAEA_LON0))
+    sb1, cb1 = m.lit(math.sin(_BETA1)), m.lit(math.cos(_BETA1))
+    b = m.lit(_RQ) * m.sqrt(m.lit(2.0) / (one + sb1 * m.sin(beta) + cb1 * m.cos(beta) * m.cos(lam)))
+    x = m.lit(LAEA_FE) + b * m.lit(_D) * m.cos(beta) * m.sin(lam)
+    y = m.lit(LAEA_FN) + b / m.lit(_D) * (cb1 * m.sin(beta) - sb1 * m.cos(beta) * m.cos(lam))
     return x, y
 
 
-def _laea_inverse(x: Column, y: Column):
-    dx, dy = x - F.lit(LAEA_FE), y - F.lit(LAEA_FN)
-    rho = F.hypot(dx / F.lit(_D), dy * F.lit(_D))
-    c = F.lit(2.0) * F.asin(rho / F.lit(2 * _RQ))
-    sb1, cb1 = F.lit(math.sin(_BETA1)), F.lit(math.cos(_BETA1))
-    ratio = F.coalesce(F.try_divide(dy * F.lit(_D) * F.sin(c) * cb1, rho), F.lit(0.0))
-    beta = F.asin(F.cos(c) * sb1 + ratio)
-    lon = F.lit(math.radians(LAEA_LON0)) + F.atan2(
-        dx * F.sin(c), F.lit(_D) * rho * cb1 * F.cos(c) - F.lit(_D * _D) * dy * sb1 * F.sin(c)
+def _laea_inverse(x, y, m=F):
+    dx, dy = x - m.lit(LAEA_FE), y - m.lit(LAEA_FN)
+    rho = m.hypot(dx / m.lit(_D), dy * m.lit(_D))
+    c = m.lit(2.0) * m.asin(rho / m.lit(2 * _RQ))
+    sb1, cb1 = m.lit(math.sin(_BETA1)), m.lit(math.cos(_BETA1))
+    ratio = m.coalesce(m.try_divide(dy * m.lit(_D) * m.sin(c) * cb1, rho), m.lit(0.0))
+    beta = m.asin(m.cos(c) * sb1 + ratio)
+    lon = m.lit(math.radians(LAEA_LON0)) + m.atan2(
+        dx * m.sin(c), m.lit(_D) * rho * cb1 * m.cos(c) - m.lit(_D * _D) * dy * sb1 * m.sin(c)
     )
     lat = (
         beta
-        + F.lit(_E2 / 3 + 31 * _E2**2 / 180 + 517 * _E2**3 / 5040) * F.sin(beta * 2)
-        + F.lit(23 * _E2**2 / 360 + 251 * _E2**3 / 3780) * F.sin(beta * 4)
-        + F.lit(761 * _E2**3 / 45360) * F.sin(beta * 6)
+        + m.lit(_E2 / 3 + 31 * _E2**2 / 180 + 517 * _E2**3 / 5040) * m.sin(beta * 2)
+        + m.lit(23 * _E2**2 / 360 + 251 * _E2**3 / 3780) * m.sin(beta * 4)
+        + m.lit(761 * _E2**3 / 45360) * m.sin(beta * 6)
     )
-    return F.degrees(lon), F.degrees(lat)
+    return m.degrees(lon), m.degrees(lat)
 
 
-def _same(x: Column, y: Column):
+def _same(x, y, m=F):
     return x, y
 
 
@@ -176,11 +184,12 @@ def _inverse(srid: int):
     return _laea_inverse if srid == 3035 else _utm_inverse(srid)
 
 
-def reproject_xy(x: Column, y: Column, from_srid: int, to_srid: int) -> tuple[Column, Column]:
+def reproject_xy(x, y, from_srid: int, to_srid: int, m=F):
+    """Coordinates moved from one system to another: columns, or numpy arrays with ``m=NUMPY``."""
     if from_srid == to_srid:
         return x, y
-    lon, lat = _inverse(from_srid)(x, y)
-    return _forward(to_srid)(lon, lat)
+    lon, lat = _inverse(from_srid)(x, y, m)
+    return _forward(to_srid)(lon, lat, m)
 
 
 def reproject(geom: Column | str, from_srid: int, to_srid: int) -> Column:

@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .grid import Grid
+from .warp import warp
 
 CELL = ["row", "col"]
 
@@ -31,7 +32,12 @@ def sample_nearest(pixels: DataFrame, points: DataFrame, grid: Grid, key: str) -
 
 def resample_nearest(pixels: DataFrame, source: Grid, target: Grid) -> DataFrame:
     """Values moved to another grid; each target cell takes the source cell under
-    its centre. Target cells are exploded from the source cell: no join."""
+    its centre. Target cells are exploded from the source cell: no join.
+
+    Grids of two reference systems are warped; ``time``, if there, tells their pixels apart."""
+    if source.srid != target.srid:
+        by = [c for c in ("time",) if c in pixels.columns]
+        return warp(pixels, source, target, [c for c in pixels.columns if c not in (*CELL, *by)], "nearest", by).select(*[c for c in pixels.columns if c not in CELL], *CELL)
 
     def targets(i: str, s0: float, sd: float, t0: float, td: float, n: int) -> Column:
         a = (F.lit(s0) + F.col(i) * F.lit(sd) - F.lit(t0)) / F.lit(td) - F.lit(0.5)

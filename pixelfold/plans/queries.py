@@ -9,6 +9,7 @@ from . import (  # noqa: F401
     polygon_queries,
     series_queries,
     stream_queries,
+    warp_queries,
     zone_queries,
 )
 from .registry import ORACLES, QUERIES
