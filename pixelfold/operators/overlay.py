@@ -11,18 +11,23 @@ the two boxes' intersection, so no de-duplication shuffle is needed.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructType
 
-from ..functions import geometry as G
-from ..plans.sizing import BROADCAST_ROWS
+from ..functions import geometry as G, slabs
+from ..plans.sizing import BROADCAST_ROWS, small_side
 
 MIN_LEVEL, MAX_LEVEL = -30, 40
 # A corner is two doubles in a nested array: about 32 bytes.
 BROADCAST_CORNERS = 2_000_000
-#: Share of a child's area that rounding may take from the sum of its parts.
+#: Share of a child's area that rounding may leave uncovered.
 COVER_SHARE = 1e-9
+#: Corners that are swept together: of the pairs of one batch, and of the parents in one band of a child.
+SWEPT_CORNERS = 100_000
 
 
 def _with_box(df: DataFrame, prefix: str) -> DataFrame:
@@ -168,36 +173,61 @@ def keep_intersecting(
     return left.join(hits, key, "left_anti" if anti else "left_semi")
 
 
+def _swept(pairs: DataFrame, ids: Sequence[str], shapes: bool) -> DataFrame:
+    """``ids``, area and (with ``shapes``) geom of the intersection of ``l__geom`` and ``r__geom``, for pairs that have an area in common.
+
+    Sweeping costs far more than moving a pair, so pairs of one crowded cell are spread first.
+    """
+    fields = [f for f in pairs.schema.fields if f.name in ids]
+    schema = StructType(list(fields)).add("area", DoubleType())
+    schema = schema.add("geom", pairs.schema["l__geom"].dataType) if shapes else schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes = np.zeros(b.num_rows, np.int64)
+            for side in ("l__geom", "r__geom"):
+                sizes += np.bincount(slabs.edges_of(b.column(side))[0], minlength=b.num_rows)
+            part = np.cumsum(sizes) // SWEPT_CORNERS
+            for start, end in zip(*_runs(part)):
+                own = b.slice(start, end - start)
+                area, geom = slabs.intersections(own.column("l__geom"), own.column("r__geom"), shapes)
+                columns = [own.column(f.name) for f in fields] + [pa.array(area)] + ([geom] if shapes else [])
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names).filter(pa.array(area > 0))
+
+    return pairs.repartition(*ids).mapInArrow(run, schema)
+
+
+def _runs(part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each run of equal values."""
+    if not len(part):
+        return part, part
+    start = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    return start, np.append(start[1:], len(part))
+
+
 def overlay_intersection(
     left: DataFrame, right: DataFrame, left_cols: Sequence[str], right_cols: Sequence[str]
 ) -> DataFrame:
     """Intersection pieces of two layers with the suffixes _1 and _2.
 
-    Polygons of any shape may stand on both sides. A right polygon that is not one convex ring is taken as
-    its trapezoids; the cuts of a pair are put together as parts of one piece. A pair without a common area is dropped.
+    Polygons of any shape may stand on both sides; many pairs are swept together, in time that follows their corners and
+    crossings. A piece is made of touching trapezoids, counter-clockwise. A pair without a common area is dropped.
     """
-    # Made once per polygon, before it meets its pairs.
-    right = right.where(F.col("geom").isNotNull()).withColumn("_pieces", G.convex_pieces("geom"))
-    pairs = candidate_pairs(left, right, left_cols, [*right_cols, "_pieces"])
-    piece = G.clip_to_pieces("l__geom", "r__pieces")
-    # Cutting costs far more than moving a pair, so pairs of one crowded cell are spread first.
-    ids = [f"l_{c}" for c in left_cols] + [f"r_{c}" for c in right_cols]
-    cut = pairs.repartition(*ids).select(
-        *ids,
-        F.explode(F.filter(F.array(piece), lambda s: s["area"] > 0)).alias("_s"),
-    )
+    pairs = candidate_pairs(left, right, left_cols, right_cols)
+    cut = _swept(pairs, [f"l_{c}" for c in left_cols] + [f"r_{c}" for c in right_cols], True)
     return cut.select(
         *[F.col(f"l_{c}").alias(f"{c}_1") for c in left_cols],
         *[F.col(f"r_{c}").alias(f"{c}_2") for c in right_cols],
-        F.col("_s.geom").alias("geom"),
-        F.col("_s.area").alias("area"),
+        "geom",
+        "area",
     )
 
 
 def children_per_parent(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """Number of child pieces in each parent that has any."""
-    pieces = overlay_intersection(children, parents, [child_key], [parent_key])
-    return pieces.groupBy(F.col(f"{parent_key}_2").alias(parent_key)).agg(F.count("*").alias("children"))
+    """Number of child pieces in each parent that has any; areas only, no shape is made."""
+    pairs = candidate_pairs(children, parents, [child_key], [parent_key])
+    pieces = _swept(pairs, [f"l_{child_key}", f"r_{parent_key}"], False)
+    return pieces.groupBy(F.col(f"r_{parent_key}").alias(parent_key)).agg(F.count("*").alias("children"))
 
 
 def within(children: DataFrame, parents: DataFrame, key: str, parent_key: str) -> DataFrame:
@@ -212,21 +242,44 @@ def within(children: DataFrame, parents: DataFrame, key: str, parent_key: str) -
 
 
 def within_union(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-    """Children that the parents cover together, borders included.
+    """Children that the parents cover together, borders included, whatever the parents' shapes and overlaps.
 
-    Every distinct corner must lie in some parent, and the parts that the parents cut from the child must
-    have its whole area (but for a rounding share of ``COVER_SHARE``), so gaps and holes count. Exact for parents of
-    any shape that do not overlap; an overlap can make up for a gap of at most its area. Both tests are
-    sums and counts by ``key``, which names one child; no child's parts are gathered.
+    A child is swept together with the parents that meet its box; no part of it may lie in none of them (but for a
+    rounding share of ``COVER_SHARE`` of its area, so gaps and holes count, whatever overlaps elsewhere). ``key`` names one child. A
+    child with many parents is cut into bands of about ``SWEPT_CORNERS`` corners, each a group of its own. A child without an
+    area (a line) counts as covered if all its corners are.
     """
-    corners = children.select(
-        key, F.posexplode(F.array_distinct(F.flatten("geom"))).alias("_i", "_p")
-    ).select(key, "_i", F.array(F.array(F.col("_p"), F.col("_p"))).alias("geom"))
-    p = F.col("l__geom")[0][0]
-    found = candidate_pairs(corners, parents, [key, "_i"], [], G.covers_point(p["x"], p["y"], F.col("r__geom")))
-    hits = found.groupBy(F.col(f"l_{key}").alias(key)).agg(F.count_distinct("l__i").alias("_hits"))
-    parts = overlay_intersection(children, parents, [key], []).groupBy(F.col(f"{key}_1").alias(key)).agg(F.sum("area").alias("_cut"))
-    counted = children.withColumn("_n", F.size(F.array_distinct(F.flatten("geom")))).join(hits, key).where("_hits = _n")
-    whole = G.area("geom") * F.lit(1 - COVER_SHARE)
-    ok = counted.join(parts, key, "left").where(F.coalesce("_cut", F.lit(0.0)) >= whole)
-    return ok.drop("_n", "_hits", "_cut")
+    box = G.bounds("geom")
+    shown = children.select(key, "geom", box["miny"].alias("_y0"), box["maxy"].alias("_y1"))
+    flat = shown.where(G.area("geom") <= 0).select(key, F.array_distinct(F.flatten("geom")).alias("_p"))
+    points = flat.select(key, F.size("_p").alias("_all"), F.posexplode("_p").alias("_i", "_p")).select(key, "_all", "_i", F.array(F.array("_p", "_p")).alias("geom"))
+    at = F.col("l__geom")[0][0]
+    hits = candidate_pairs(points, parents, [key, "_all", "_i"], [], G.covers_point(at["x"], at["y"], F.col("r__geom")))
+    lines = hits.groupBy(F.col(f"l_{key}").alias(key), F.col("l__all").alias("_all")).agg(F.count_distinct("l__i").alias("_n")).where("_n = _all").select(key)
+    shown = shown.where(G.area("geom") > 0)
+    corners = F.aggregate("r__geom", F.lit(0).cast("long"), lambda n, ring: n + F.size(ring))
+    met = candidate_pairs(shown, parents, [key], []).groupBy(F.col(f"l_{key}").alias(key)).agg(F.ceil(F.sum(corners) / SWEPT_CORNERS).cast("int").alias("_n"))
+    banded = shown.join(small_side(met), key)
+
+    def band(y: Column) -> Column:
+        at = F.floor((y - F.col("_y0")) / (F.col("_y1") - F.col("_y0")) * F.col("_n")).cast("int")
+        return F.least(F.greatest(at, F.lit(0)), F.col("_n") - 1)
+
+    pairs = candidate_pairs(banded, parents, [key, "_y0", "_y1", "_n"], []).select(F.col(f"l_{key}").alias("_key"), F.col("l__y0").alias("_y0"), F.col("l__y1").alias("_y1"), F.col("l__n").alias("_n"), "r__geom")
+    theirs = pairs.withColumn("_b", G.bounds("r__geom")).select("_key", "r__geom", F.explode(F.sequence(band(F.col("_b.miny")), band(F.col("_b.maxy")))).alias("_band"))
+    own = banded.select(F.col(key).alias("_own"), "geom", "_y0", "_y1", "_n", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_at"))
+
+    def bare(child: pa.Table, others: pa.Table) -> pa.Table:
+        if not child.num_rows:
+            return pa.table({"_own": child.column("_own"), "_bare": pa.array([], pa.float64())})
+        y0, y1, n, at = (child.column(c)[0].as_py() for c in ("_y0", "_y1", "_n", "_at"))
+        step = (y1 - y0) / n
+        low, high = y0 + at * step, y1 if at == n - 1 else y0 + (at + 1) * step
+        left = slabs.uncovered(child.column("geom").slice(0, 1), others.column("r__geom"), low, high)
+        return pa.table({"_own": child.column("_own").slice(0, 1), "_bare": pa.array([left])})
+
+    schema = StructType([own.schema["_own"]]).add("_bare", DoubleType())
+    parts = own.groupBy("_own", "_at").cogroup(theirs.groupBy("_key", "_band")).applyInArrow(bare, schema)
+    whole = shown.select(key, (G.area("geom") * F.lit(COVER_SHARE)).alias("_share"))
+    left = parts.groupBy(F.col("_own").alias(key)).agg(F.sum("_bare").alias("_bare")).join(whole, key).where("_bare <= _share").select(key)
+    return children.join(left.unionByName(lines), key, "left_semi")
