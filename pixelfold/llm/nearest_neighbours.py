@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -22,14 +23,15 @@ from .common import batch_of
 
 @dataclass(frozen=True)
 class Curves:
-    """``curves`` orderings of ``dims`` projected coordinates of ``bits`` bits.
+    """``curves`` orderings of ``dims`` projected coordinates of ``bits`` bits, which two longs hold: ``dims`` x ``bits`` is 124 at most.
 
+    Coordinates are cut that finely so that near-equal vectors, which share all coarse cells, are ordered by their differences too.
     The window is ``window_factor`` x sqrt(entries) ranks to either side, ``least_window`` at least, and grows with the index.
     """
 
     curves: int = 36
     dims: int = 8
-    bits: int = 4
+    bits: int = 14
     window_factor: float = 2.4
     least_window: int = 128
     seed: int = 17
@@ -38,8 +40,8 @@ class Curves:
         return max(self.least_window, math.ceil(self.window_factor * math.sqrt(entries)))
 
 
-def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
-    """Place on the Hilbert curve of each row of integer coordinates below 2**bits."""
+def hilbert_keys(cells: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Place on the Hilbert curve of each row of integer coordinates below 2**bits: its high and its low half."""
     x = cells.T.astype(np.int64).copy()
     n = len(x)
     for q in (1 << b for b in range(bits - 1, 0, -1)):
@@ -54,24 +56,27 @@ def hilbert_keys(cells: np.ndarray, bits: int) -> np.ndarray:
     for q in (1 << b for b in range(bits - 1, 0, -1)):
         turn = np.where((x[n - 1] & q) != 0, turn ^ (q - 1), turn)
     x ^= turn
-    key = np.zeros(x.shape[1], np.int64)
-    for b in range(bits - 1, -1, -1):
-        for i in range(n):
-            key = key << 1 | (x[i] >> b) & 1
-    return key
-
-
-def curve_keys(unit: np.ndarray, c: Curves) -> np.ndarray:
-    """Keys of unit vectors (rows) on every curve (columns)."""
+    halves = []
+    for levels in (range(bits - 1, bits // 2 - 1, -1), range(bits // 2 - 1, -1, -1)):
+        key = np.zeros(x.shape[1], np.int64)
+        for b in levels:
+            for i in range(n):
+                key = key << 1 | (x[i] >> b) & 1
+        halves.append(key)
+    return halves[0], halves[1]
+
+
+def curve_keys(unit: np.ndarray, c: Curves) -> tuple[np.ndarray, np.ndarray]:
+    """High and low keys of unit vectors (rows) on every curve (columns)."""
     width = unit.shape[1]
     dims = min(c.dims, width)
     rng = np.random.default_rng(c.seed)
-    out = np.empty((len(unit), c.curves), np.int64)
+    high, low = (np.empty((len(unit), c.curves), np.int64) for _ in range(2))
     for k in range(c.curves):
         axes = np.linalg.qr(rng.normal(size=(width, width)))[0][:, :dims]
         y = unit @ axes * math.sqrt(width) + rng.uniform(-0.5, 0.5, dims)
-        out[:, k] = hilbert_keys(np.clip((y + 2.6) / 5.2 * (1 << c.bits), 0, (1 << c.bits) - 1).astype(np.int64), c.bits)
-    return out
+        high[:, k], low[:, k] = hilbert_keys(np.clip((y + 2.6) / 5.2 * (1 << c.bits), 0, (1 << c.bits) - 1).astype(np.int64), c.bits)
+    return high, low
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -87,18 +92,22 @@ def usable(vector: Column) -> Column:
 def search(vectors: DataFrame, is_query: Column, k: int = 5, c: Curves = Curves(), key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: for each query the ``k`` nearest found by cosine, ties to the smaller id.
 
-    Vectors that are NULL, empty, zero or hold a NULL or a non-finite component, and rows with a NULL id, take no part; nor do
-    vectors of another length than the first usable one's. Repeated rows count once. A query's own id is no candidate of it; if there are fewer
+    Vectors that are NULL, empty, zero or hold a NULL or a non-finite component, and rows with a NULL id, take no part. Vectors
+    of each length are searched among themselves. Repeated rows count once. A query's own id is no candidate of it; if there are fewer
     candidates than ``k``, all are returned. An empty table gives an empty result.
     """
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), is_query.alias("q"))
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("v"))).dropDuplicates(["id", "v"])
     rows = materialize(rows.withColumn("uid", F.xxhash64("v")), "vectors")
-    first = rows.select(F.size("v").alias("n")).first()
-    result = "query_id long, rank int, vec_id long, score double"
-    if first is None:
-        return vectors.sparkSession.createDataFrame([], result)
-    rows = rows.where(F.size("v") == first["n"])
+    lengths = [r[0] for r in rows.select(F.size("v").alias("n")).distinct().orderBy("n").collect()]
+    found = [_search(rows.where(F.size("v") == n), k, c) for n in lengths]
+    if not found:
+        return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return reduce(DataFrame.unionByName, found)
+
+
+def _search(rows: DataFrame, k: int, c: Curves) -> DataFrame:
+    """The search among vectors of one length: id, v, q (asked), uid."""
     # One entry per different vector, with its k + 1 smallest ids: any query's own is among them or not needed.
     smallest = Window.partitionBy("uid", "v").orderBy("id")
     entries = rows.withColumn("r", F.row_number().over(smallest)).where(F.col("r") <= k + 1)
@@ -108,27 +117,27 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, c: Curves = Curves(
     n = index.count()
     window = c.window(n)
     block = 4 * window
-    keys_schema = pa.schema([("curve", pa.int32()), ("code", pa.int64()), ("uid", pa.int64()), ("asked", pa.bool_())])
+    keys_schema = pa.schema([("curve", pa.int32()), ("code", pa.int64()), ("fine", pa.int64()), ("uid", pa.int64()), ("asked", pa.bool_())])
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             x = _matrix(b.column("v"))
-            codes = curve_keys(x / np.linalg.norm(x, axis=1, keepdims=True), c)
+            codes, fine = curve_keys(x / np.linalg.norm(x, axis=1, keepdims=True), c)
             uid, ask = b.column("uid").to_numpy(), b.column("asked").to_numpy(zero_copy_only=False)
-            yield batch_of(keys_schema, curve=np.tile(np.arange(c.curves), len(uid)), code=codes.ravel(), uid=np.repeat(uid, c.curves), asked=np.repeat(ask, c.curves))
+            yield batch_of(keys_schema, curve=np.tile(np.arange(c.curves), len(uid)), code=codes.ravel(), fine=fine.ravel(), uid=np.repeat(uid, c.curves), asked=np.repeat(ask, c.curves))
 
-    codes = index.select("uid", "v", "asked").mapInArrow(keyed, "curve int, code long, uid long, asked boolean")
+    codes = index.select("uid", "v", "asked").mapInArrow(keyed, "curve int, code long, fine long, uid long, asked boolean")
     parts = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    line = codes.repartitionByRange(parts, "curve", "code", "uid").sortWithinPartitions("curve", "code", "uid")
-    place_schema = pa.schema([*keys_schema, ("part", pa.int32()), ("at", pa.int64())])
+    line = codes.repartitionByRange(parts, "curve", "code", "fine", "uid").sortWithinPartitions("curve", "code", "fine", "uid")
+    place_schema = pa.schema([("curve", pa.int32()), ("uid", pa.int64()), ("asked", pa.bool_()), ("part", pa.int32()), ("at", pa.int64())])
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = 0
         for b in batches:
-            yield batch_of(place_schema, **{f.name: b.column(f.name) for f in keys_schema}, part=b.column("part"), at=np.arange(at, at + b.num_rows))
+            yield batch_of(place_schema, curve=b.column("curve"), uid=b.column("uid"), asked=b.column("asked"), part=b.column("part"), at=np.arange(at, at + b.num_rows))
             at += b.num_rows
 
-    line = materialize(line.withColumn("part", F.spark_partition_id()).mapInArrow(placed, "curve int, code long, uid long, asked boolean, part int, at long"), "curve_line")
+    line = materialize(line.withColumn("part", F.spark_partition_id()).mapInArrow(placed, "curve int, uid long, asked boolean, part int, at long"), "curve_line")
     # One number per partition comes to the driver; all curves have n entries each, so the rank on a curve follows.
     sizes = {r["part"]: r["count"] for r in line.groupBy("part").count().collect()}
     before, total = {}, 0

@@ -19,8 +19,8 @@ from .common import batch_of, bounded_sample, fold, slices, texts_of
 
 PASSAGE_WORDS = 64
 HIDDEN, GATE = 16, 8
-#: Labelled documents, and passages of each, that training reads at most (evenly spread over a longer document).
-MOST_DOCUMENTS, MOST_PASSAGES = 8000, 128
+#: Labelled documents that training reads at most, each of them whole.
+MOST_DOCUMENTS = 8000
 THRESHOLD = 0.3
 #: Text scored at once; the flat arrays of a slice take about a hundred times its size.
 SCORE_BYTES = 1 << 20
@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     """Train on labelled documents whose fold of five is not 0, about ``most`` of them at most, picked by a hash of the key.
 
     Repeated labels of a key count once (the smaller one); rows without a label of 0 or 1 are left out. The driver
-    receives the statistics of the sampled passages: ``most`` x ``MOST_PASSAGES`` x ``FEATURES`` numbers at most.
+    receives ``FEATURES`` numbers for every passage of the sampled documents.
     """
     known = labels.where(F.col(key).isNotNull() & F.col("quality").isin(0, 1)).groupBy(key).agg(F.min("quality").cast("long").alias("quality"))
     known = bounded_sample(known.where(fold(F.col(key), 5) != 0), F.col(key), most, 1)
@@ -157,10 +157,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         for b in slices(batches, "text"):
             x, counts = encode_passages(texts_of(b.column("text")))
             ends = np.cumsum(counts)
-            rows = []
-            for s, e in zip(ends - counts, ends):
-                at = np.arange(s, e) if e - s <= MOST_PASSAGES else s + (np.arange(MOST_PASSAGES) * (e - s)) // MOST_PASSAGES
-                rows.append(x[at].ravel())
+            rows = [x[s:e].ravel() for s, e in zip(ends - counts, ends)]
             yield batch_of(schema, key=b.column("key"), quality=b.column("quality"), x=rows)
 
     found = sample.mapInArrow(run, "key long, quality long, x array<float>").toArrow()
