@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from ..functions import values as V
-from .quantiles import group_quantiles
+from .selection import select_quantiles
 from .ranges import value_range
 
 
@@ -304,7 +304,7 @@ def describe(df: DataFrame, cols: Sequence[str], quartiles: bool = False) -> Dat
     ``quartiles`` also the exact q25, q50 and q75, which no task sorts as a whole."""
     long = unpivot_bands(df, [], cols, "column", "value")
     if quartiles:
-        return describe(df, cols).join(group_quantiles(long, ["column"], F.col("value"), QUARTILES), "column", "left")
+        return describe(df, cols).join(select_quantiles(long, ["column"], F.col("value"), QUARTILES), "column", "left")
     return long.groupBy("column").agg(
         F.count("value").alias("count"),
         F.avg("value").alias("mean"),

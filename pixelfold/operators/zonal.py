@@ -13,6 +13,8 @@ from ..plans.sizing import BROADCAST_CELLS, sized_cells, small_side
 from .grid import Grid, ZoneExtent, coverage_cells, crop_to_extent, zone_cells, zone_extent, zones_on_grid
 from .quantiles import group_mad, group_quantiles
 from .runs import sorted_groups
+from .selection import select_mad, select_quantiles
+from .user_aggregates import UserAggregate, aggregate_by
 
 SPREAD_CELLS = 100_000
 CATEGORICAL_BANDS = ("oa_fmask", "SCL", "scl", "qa_pixel", "Fmask")  # fixed values: mask band names
@@ -168,6 +170,11 @@ def zonal_stats(
     return values.groupBy(key, time).agg(*[_simple_stat(s, F.col(value)).alias(s) for s in stats])
 
 
+def _few_values(pixels: DataFrame, value: str) -> bool:
+    """Whether the band's type itself bounds a zone's distinct values."""
+    return isinstance(pixels.schema[value].dataType, (T.ByteType, T.ShortType))
+
+
 def zonal_percentiles(
     pixels: DataFrame,
     zones: DataFrame,
@@ -178,21 +185,26 @@ def zonal_percentiles(
     by: Sequence[str] = ("time",),
     approximate: bool = False,
 ) -> DataFrame:
-    """Exact percentiles per zone and ``by``; ``approximate`` uses one mergeable sketch pass."""
+    """Exact percentiles per zone and ``by``; ``approximate`` uses one mergeable sketch pass.
+
+    A band of at most 16 bits has a short histogram, which is written once; the ranks of any other band are selected in two passes.
+    """
     values = clip(pixels.select(*by, "row", "col", value), zones, grid, key)
     keys = [key, *by]
     if approximate:
         return values.groupBy(*keys).agg(
             *[F.percentile_approx(value, F.lit(p), F.lit(10000)).alias(n) for n, p in probs.items()]
         )
-    return group_quantiles(values, keys, F.col(value), dict(probs))
+    pick = group_quantiles if _few_values(pixels, value) else select_quantiles
+    return pick(values, keys, F.col(value), dict(probs))
 
 
 def zonal_mad(
     pixels: DataFrame, zones: DataFrame, grid: Grid, key: str, value: str, by: Sequence[str] = ("time",)
 ) -> DataFrame:
     values = clip(pixels.select(*by, "row", "col", value), zones, grid, key)
-    return group_mad(values, [key, *by], F.col(value))
+    pick = group_mad if _few_values(pixels, value) else select_mad
+    return pick(values, [key, *by], F.col(value))
 
 
 def zonal_weighted(
@@ -294,7 +306,7 @@ def zonal_user_stat(
     determines every order-independent statistic; bands of any number type are
     taken. A group is as long as its band has distinct values in the zone: a
     statistic that can be merged over parts of a huge zone is better given to
-    ``zonal_user_partials``.
+    ``zonal_user_aggregate`` or, as Columns, to ``zonal_user_partials``.
     """
     values = clip(pixels.select(*by, "row", "col", value), zones, grid, key).where(F.col(value).isNotNull())
     keys = [key, *by]
@@ -313,6 +325,20 @@ def zonal_user_stat(
     return ordered.mapInArrow(run, schema)
 
 
+def zonal_user_aggregate(
+    pixels: DataFrame,
+    zones: DataFrame,
+    grid: Grid,
+    key: str,
+    value: str,
+    agg: UserAggregate,
+    name: str,
+    by: Sequence[str] = ("time",),
+) -> DataFrame:
+    """User statistic with a mergeable state: no task sees more than its part of a zone's pixels."""
+    return aggregate_by(clip(pixels.select(*by, "row", "col", value), zones, grid, key), [key, *by], value, agg, name)
+
+
 def zonal_user_partials(
     pixels: DataFrame,
     zones: DataFrame,

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G, indices as I
 from ..functions.crs import reproject
 from ..operators import change, composite, grid, series, tables, zonal
+from ..operators.user_aggregates import UserAggregate
 from . import bindings as B
 from .registry import day, day_sql, query, rounded, rounded_sql
 
@@ -198,6 +200,36 @@ def _(spark, d):
     return zonal.zonal_mad(px, B.zones(spark, d), B.PX_GRID, KEY, "nir", by=["year"]).select(KEY, "year", "mad")
 
 
+NDVI_BY_YEAR = f"SELECT zone_key, year(time) AS year, {NDVI_SQL} AS ndvi FROM px JOIN zn ON {INSIDE}"
+
+
+def _ndvi_by_year(spark, d):
+    return B.pixels(spark, d).select("row", "col", F.year("time").cast("bigint").alias("year"), I.ndvi("nir", "red").alias("ndvi"))
+
+
+@query(
+    "zonal_ndvi_percentiles",
+    B.sql("px", "zn", j=NDVI_BY_YEAR)
+    + "SELECT zone_key, year, min(ndvi) AS p0, " + ", ".join(f"{rounded_sql(f'quantile_cont(ndvi, {p})', 10)} AS {n}" for n, p in
+    (("p5", 0.05), ("p25", 0.25), ("median", 0.5), ("p95", 0.95)))
+    + " FROM j WHERE ndvi IS NOT NULL GROUP BY 1, 2",
+)
+def _(spark, d):
+    probs = {"p0": 0.0, "p5": 0.05, "p25": 0.25, "median": 0.5, "p95": 0.95}
+    out = zonal.zonal_percentiles(_ndvi_by_year(spark, d), B.zones(spark, d), B.PX_GRID, KEY, "ndvi", probs, by=["year"])
+    return out.select(KEY, "year", "p0", *[rounded(c, 10).alias(c) for c in ("p5", "p25", "median", "p95")])
+
+
+@query(
+    "zonal_ndvi_median_absolute_deviation",
+    B.sql("px", "zn", j=NDVI_BY_YEAR)
+    + f"SELECT zone_key, year, {rounded_sql('mad(ndvi)', 10)} AS mad FROM j WHERE ndvi IS NOT NULL GROUP BY 1, 2",
+)
+def _(spark, d):
+    out = zonal.zonal_mad(_ndvi_by_year(spark, d), B.zones(spark, d), B.PX_GRID, KEY, "ndvi", by=["year"])
+    return out.select(KEY, "year", rounded("mad", 10).alias("mad"))
+
+
 @query(
     "zonal_square_sum",
     B.sql("px", "zn")
@@ -418,6 +450,40 @@ def _(spark, d):
     return out.select(KEY, day(), "contraharmonic")
 
 
+def _moments(values):
+    mean = values.mean()
+    d = values - mean
+    return np.array([len(values), mean, (d**2).sum(), (d**3).sum()])
+
+
+def _join_moments(a, b):
+    """Count, mean, second and third central moment of two parts together."""
+    if not a[0] or not b[0]:
+        return a if a[0] else b
+    n, d = a[0] + b[0], b[1] - a[1]
+    third = a[3] + b[3] + d**3 * a[0] * b[0] * (a[0] - b[0]) / n**2 + 3 * d * (a[0] * b[2] - b[0] * a[2]) / n
+    return np.array([n, a[1] + d * b[0] / n, a[2] + b[2] + d**2 * a[0] * b[0] / n, third])
+
+
+SKEWNESS = UserAggregate(
+    init=lambda: np.zeros(4),
+    update=lambda s, v: _join_moments(s, _moments(v)),
+    merge=_join_moments,
+    finish=lambda s: float(np.sqrt(s[0]) * s[3] / s[2] ** 1.5) if s[2] > 1e-12 else float("nan"),
+)
+
+
+@query(
+    "user_aggregate_skewness",
+    B.sql("px", "zn", j=NDVI_BY_YEAR, m="SELECT zone_key, year, avg(ndvi) AS mean FROM j GROUP BY 1, 2")
+    + f"SELECT zone_key, year, {rounded_sql('CASE WHEN sum((ndvi - mean) ** 2) > 1e-12 THEN sqrt(count(ndvi)) * sum((ndvi - mean) ** 3) / sum((ndvi - mean) ** 2) ** 1.5 END', 7)}"
+    " AS skewness FROM j JOIN m USING (zone_key, year) WHERE ndvi IS NOT NULL GROUP BY 1, 2",
+)
+def _(spark, d):
+    out = zonal.zonal_user_aggregate(_ndvi_by_year(spark, d), B.zones(spark, d), B.PX_GRID, KEY, "ndvi", SKEWNESS, "skewness", by=["year"])
+    return out.select(KEY, "year", rounded("skewness", 7).alias("skewness"))
+
+
 # ---- cells of many polygons ----------------------------------------------------------------
 
 PLOT_CELLS = (

@@ -14,10 +14,11 @@ SPATIAL = [
     "within_union_of_parents", "children_per_parent", "nearest_pixel_of_points", "features_by_tile", "zonal_percentiles",
     "crosstab_percentage", "resample_to_other_grid", "period_difference", "least_cloudy_monthly",
 ]
+# Polygons are cut and covered by a sweep over Arrow batches; a user's statistic is Python by nature.
+SWEPT = {"zonal_user_statistic"} | {n for n in entry.queries() if n.startswith(("overlay", "within_union"))}
 NO_PYTHON = [
     n for n in entry.queries()
-    if n.startswith(("zonal_", "monthly_", "mosaic_", "time_", "first_quartile", "crosstab", "overlay", "within"))
-    and n != "zonal_user_statistic"
+    if n.startswith(("zonal_", "monthly_", "mosaic_", "time_", "first_quartile", "crosstab", "within")) and n not in SWEPT
 ]
 
 
