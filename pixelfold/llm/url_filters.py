@@ -3,20 +3,20 @@
 Concatenated names are split by a unigram Viterbi search; a multinomial naive Bayes model over the words of
 host and path gives the verdict where no rule fits. The word counts behind both come from the pages
 themselves: parts of hyphenated host labels extend the vocabulary, and hosts that hold a seed word of unwanted
-topics are the examples from which the other words learn their weight.
+topics are the examples from which the other words learn their weight. Counts and weights are whole tables, met by
+joins: no word is too rare and no count too large for them, and the driver sees totals only.
 """
 
 from __future__ import annotations
 
 import math
-import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..plans.sizing import materialize, small_side
 from .common import batch_of
 
 # Seed words: topics to block, and ordinary words of hosts and paths.
@@ -24,9 +24,14 @@ BLOCKED = "adult ads adserver bet bets betting bingo bonus casino cheap clickbai
 #: Of these, the words that mark an example by themselves.
 STRONG = "adult ads adserver betting bets casino escort gambling malware nude phishing pills poker porn roulette slots spam viagra warez xxx".split()
 ORDINARY = "about academy and api app archive art article articles bank blog book books care center city cloud club code community company data day de design dev doc docs edu en es food for forum fr garden gov green group guide health help history home house html http index info journal lab library life local mail map market media mobile museum music my net network new news of office online open page pages paper park photo portal post press project public read research review school science search service shop site social sport start store story student support team tech the time top tour town travel university video view water weather web wiki work world www".split()
+#: Count of a seed word; in the vocabulary the seeds together weigh at least as much as all counted words.
 SEED_COUNT = 200
-MOST_WORDS = 50_000
+#: Letters of the longest word; a longer piece is cut.
 LONGEST = 24
+#: Weights are summed as whole numbers of this fraction, so that their order does not matter.
+UNIT = 2.0**32
+#: Candidate words of a batch.
+ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -61,15 +66,13 @@ def matching_rule(host: Column, path: Column, rules: list[Rule]) -> tuple[Column
 class Segmenter:
     """Unigram Viterbi segmentation; an unknown word costs a factor of ten for each letter."""
 
-    def __init__(self, counts: dict[str, int]):
-        self.total = math.log10(sum(counts.values()) or 1)
+    def __init__(self, counts: dict[str, int], total: int | None = None):
+        self.total = math.log10(total or sum(counts.values()) or 1)
         self.score = {w: math.log10(n) - self.total for w, n in counts.items()}
-        self.kept: dict[str, list[str]] = {}
 
     def split(self, name: str) -> list[str]:
         best: list[tuple[float, int]] = [(0.0, 0)]
         for end in range(1, len(name) + 1):
-            # A run of unknown letters is one word of any length; known words are LONGEST at most.
             choices = [(best[s][0] + self.score.get(name[s:end], 1.0 - self.total - (end - s)), s) for s in range(max(0, end - LONGEST), end)]
             best.append(max(choices, key=lambda x: (x[0], -x[1])))
         words, end = [], len(name)
@@ -79,88 +82,107 @@ class Segmenter:
             end = start
         return words[::-1]
 
-    def words(self, host: str) -> list[str]:
-        if host not in self.kept:
-            if len(self.kept) > 100_000:
-                self.kept.clear()
-            self.kept[host] = [w for label in re.findall(r"[^\W\d_]+", host) for w in self.split(label)]
-        return self.kept[host]
 
+def letter_runs(host: Column) -> Column:
+    return F.regexp_extract_all(host, F.lit(r"(\p{L}+)"), F.lit(1))
 
-def path_words(path: str) -> list[str]:
-    return ["/" + ("0" if w.isdigit() else w) for w in re.findall(r"[^\W_]+", path.lower())]
 
+def path_words(path: Column) -> Column:
+    """Runs of letters and digits after a mark that keeps them apart from words of hosts; numbers count as one word."""
+    found = F.regexp_extract_all(F.lower(path), F.lit(r"([\p{L}\p{N}]+)"), F.lit(1))
+    return F.transform(found, lambda w: F.concat(F.lit("/"), F.when(w.rlike(r"^\p{Nd}+$"), F.lit("0")).otherwise(w)))
 
-@dataclass(frozen=True)
-class Model:
-    counts: dict[str, int]
-    weight: dict[str, float]
-    prior: float
-
-    def probability(self, words: list[str]) -> float:
-        """Of "block", by multinomial naive Bayes; words it never met say nothing."""
-        x = self.prior + sum(self.weight.get(w, 0.0) for w in words)
-        return 1 / (1 + math.exp(-max(-30.0, min(30.0, x))))
 
+def vocabulary(hosts: DataFrame) -> DataFrame:
+    """word, n: parts of hyphenated labels over all rows of ``hosts``, and the seeds; written once."""
+    labels = hosts.select(F.explode(F.split("host", r"\.")).alias("label")).where(F.col("label").contains("-"))
+    words = labels.select(F.explode(F.split("label", "-")).alias("word")).where(F.col("word").rlike("^[a-z]{3,24}$"))
+    counted = materialize(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "url-parts")
+    seeds = sorted({*ORDINARY, *BLOCKED})
+    each = max(SEED_COUNT, (counted.agg(F.sum("n")).first()[0] or 0) // len(seeds))
+    given = hosts.sparkSession.createDataFrame([(w, each) for w in seeds], "word string, n long")
+    return materialize(counted.unionByName(given).groupBy("word").agg(F.sum("n").alias("n")), "url-vocabulary")
 
-def _top(sums: DataFrame, most: int) -> list:
-    return sums.orderBy(F.desc("n"), "word").limit(most).collect()
 
+def segment(hosts: DataFrame, words: DataFrame) -> DataFrame:
+    """run, words: the cut of each different run of letters of ``hosts``; written once.
 
-def learn(parts: DataFrame, most_words: int = MOST_WORDS) -> Model:
-    """Vocabulary and weights from all rows of ``parts`` (host, path); ``most_words`` bounds either on the driver."""
-    pieces = parts.select(F.explode(F.split("host", r"\.")).alias("label")).where(F.col("label").contains("-"))
-    words = pieces.select(F.explode(F.split("label", "-")).alias("word")).where(F.col("word").rlike("^[a-z]{3,24}$"))
-    counts = {r["word"]: min(r["n"], SEED_COUNT) for r in _top(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), most_words)}
-    counts |= dict.fromkeys([*ORDINARY, *BLOCKED], SEED_COUNT)
-    strong = set(STRONG)
-    schema = pa.schema([("word", pa.string()), ("blocked", pa.bool_()), ("n", pa.int64())])
+    Substrings of a run meet the vocabulary by a join, and its search sees the words that stand in it.
+    """
+    total = words.agg(F.sum("n")).first()[0]
+    runs = hosts.select(F.explode(letter_runs(F.col("host"))).alias("run")).distinct().withColumn("id", F.sha2("run", 256))
+    candidate = pa.schema([("id", pa.string()), ("run", pa.string()), ("word", pa.string())])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = Segmenter(counts)
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple[str, str | None, str]] = []
+        for b in batches:
+            for i, run in zip(b.column("id").to_pylist(), b.column("run").to_pylist()):
+                # One row carries the run; its id is no word.
+                rows.append((i, run, i))
+                for start in range(len(run)):
+                    rows += [(i, None, run[start:end]) for end in range(start + 2, min(start + LONGEST, len(run)) + 1)]
+                    if len(rows) >= ROWS:
+                        yield batch_of(candidate, id=[r[0] for r in rows], run=[r[1] for r in rows], word=[r[2] for r in rows])
+                        rows = []
+        if rows:
+            yield batch_of(candidate, id=[r[0] for r in rows], run=[r[1] for r in rows], word=[r[2] for r in rows])
+
+    asked = runs.mapInArrow(candidates, "id string, run string, word string")
+    met = asked.join(small_side(words), "word", "left").where(F.col("run").isNotNull() | F.col("n").isNotNull())
+    known = F.collect_set(F.when(F.col("n").isNotNull(), F.struct("word", "n")))
+    cut_schema = pa.schema([("run", pa.string()), ("words", pa.list_(pa.string()))])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found: Counter[tuple[str, bool]] = Counter()
-            for host, path in zip(b.column("host").to_pylist(), b.column("path").to_pylist()):
-                own = segmenter.words(host)
-                blocked = not strong.isdisjoint(own)
-                found.update((w, blocked) for w in [*own, *path_words(path), ""])
-            yield batch_of(schema, word=[w for w, _ in found], blocked=[k for _, k in found], n=list(found.values()))
-
-    sums = parts.mapInArrow(count, "word string, blocked boolean, n long").groupBy("word").agg(
-        F.sum(F.when(F.col("blocked"), F.col("n")).otherwise(0)).alias("bad"), F.sum("n").alias("n")
-    )
-    rows = {r["word"]: (r["bad"], r["n"] - r["bad"]) for r in _top(sums, most_words)}
-    bad_pages, good_pages = rows.pop("", (0, 0))
-    for w in BLOCKED:
-        bad, good = rows.get(w, (0, 0))
-        rows[w] = (bad + SEED_COUNT, good)
-    for w in ORDINARY:
-        bad, good = rows.get(w, (0, 0))
-        rows[w] = (bad, good + SEED_COUNT)
-    total_bad, total_good = sum(b for b, _ in rows.values()) + len(rows), sum(g for _, g in rows.values()) + len(rows)
-    weight = {w: math.log((b + 1) / total_bad) - math.log((g + 1) / total_good) for w, (b, g) in rows.items()}
-    share = min(0.5, max(0.05, bad_pages / max(1, bad_pages + good_pages)))
-    return Model(counts, weight, math.log(share / (1 - share)))
+            names, found = b.column("run").to_pylist(), b.column("known").to_pylist()
+            yield batch_of(cut_schema, run=names, words=[Segmenter({k["word"]: k["n"] for k in f}, total).split(r) for r, f in zip(names, found)])
+
+    gathered = met.groupBy("id").agg(F.max("run").alias("run"), known.alias("known")).select("run", "known")
+    return materialize(gathered.mapInArrow(cut, "run string, words array<string>"), "url-segments")
+
+
+def words_of(parts: DataFrame) -> DataFrame:
+    """host, path, n (rows), words, blocked (whether the host is an example of unwanted topics); written once."""
+    hosts = parts.select("host")
+    cuts = segment(hosts, vocabulary(hosts)).withColumnRenamed("words", "_words")
+    own = hosts.distinct().select("host", F.explode_outer(letter_runs(F.col("host"))).alias("run"))
+    named = own.join(small_side(cuts), "run", "left").groupBy("host").agg(F.flatten(F.collect_list("_words")).alias("words"))
+    named = materialize(named.withColumn("blocked", F.arrays_overlap("words", F.array(*map(F.lit, STRONG)))), "url-hosts")
+    pairs = parts.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n")).join(small_side(named), "host")
+    return materialize(pairs.withColumn("words", F.concat("words", path_words(F.col("path")))), "url-words")
+
+
+def learn(pairs: DataFrame) -> tuple[DataFrame, float]:
+    """word, weight (in units of ``UNIT``) of every word that occurs, and the prior log odds of "block"."""
+    n = F.col("n")
+    bad, good = F.when(F.col("blocked"), n).otherwise(0), F.when(F.col("blocked"), 0).otherwise(n)
+    seeds = [(w, SEED_COUNT, 0) for w in BLOCKED] + [(w, 0, SEED_COUNT) for w in ORDINARY]
+    given = pairs.sparkSession.createDataFrame(seeds, "word string, bad long, good long")
+    met = pairs.select(F.explode("words").alias("word"), bad.alias("bad"), good.alias("good"))
+    counts = materialize(met.unionByName(given).groupBy("word").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")), "url-word-counts")
+    total = counts.agg((F.sum("bad") + F.count(F.lit(1))).alias("bad"), (F.sum("good") + F.count(F.lit(1))).alias("good")).first()
+    weight = F.log((F.col("bad") + 1) / F.lit(total["bad"])) - F.log((F.col("good") + 1) / F.lit(total["good"]))
+    rows = pairs.agg(F.sum(bad).alias("bad"), F.sum("n").alias("n")).first()
+    share = min(0.5, max(0.05, (rows["bad"] or 0) / max(1, rows["n"] or 0)))
+    return counts.select("word", F.round(weight * UNIT).cast("long").alias("weight")), math.log(share / (1 - share))
 
 
 def judge(pages: DataFrame, rules: list[Rule], key: str = "page_id", url: str = "url") -> DataFrame:
     """key, host, path, rule, verdict, score (probability of "block" by the model) of every row.
 
     NULL urls and urls without ``://`` have an empty host and path, no rule and no words: the prior decides, which
-    allows. Repeated rows get equal results; other columns are not read; an empty table stays empty.
+    allows. Repeated rows get equal results; other columns are not read; an empty table stays empty. A very long url
+    is cut whole: its candidate words are streamed.
     """
     host, path = url_parts(F.col(url))
     parts = pages.select(F.col(key).cast("long").alias("key"), host.alias("host"), path.alias("path"))
-    model = learn(parts.select("host", "path"))
-    schema = pa.schema([("key", pa.int64()), ("host", pa.string()), ("path", pa.string()), ("score", pa.float64())])
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segmenter = Segmenter(model.counts)
-        for b in batches:
-            p = [model.probability([*segmenter.words(h), *path_words(x)]) for h, x in zip(b.column("host").to_pylist(), b.column("path").to_pylist())]
-            yield batch_of(schema, key=b.column("key"), host=b.column("host"), path=b.column("path"), score=p)
-
-    scored = parts.mapInArrow(score, "key long, host string, path string, score double")
+    pairs = words_of(parts.select("host", "path"))
+    weights, prior = learn(pairs)
+    # The outer explode keeps pairs without words.
+    spread = pairs.select("host", "path", F.explode_outer("words").alias("word")).join(small_side(weights), "word", "left")
+    odds = spread.groupBy("host", "path").agg(F.coalesce(F.sum("weight"), F.lit(0)).alias("odds"))
+    x = F.greatest(F.lit(-30.0), F.least(F.lit(30.0), F.col("odds") / F.lit(UNIT) + F.lit(prior)))
+    scored = parts.join(odds, ["host", "path"]).withColumn("score", 1 / (1 + F.exp(-x)))
     rule, verdict = matching_rule(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("score") > 0.5, F.lit("block")).otherwise(F.lit("allow"))
     return scored.select(F.col("key").alias(key), "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "score")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import functools
 import hashlib
 import html
 import math
@@ -421,6 +422,72 @@ def test_urls(spark, sf):
     assert queries.QUERIES["op10_segmented_url_filter"](spark, sf).where("verdict IS NULL").count() == 0
 
 
+def brute_url_scores(urls):
+    """Viterbi over all cuts and naive Bayes, in plain Python, from the words of ``url_filters``."""
+    seeds = sorted({*url_filters.ORDINARY, *url_filters.BLOCKED})
+    pairs = [(u.split("://")[1].split("/")[0], "/" + u.split("://")[1].split("/", 1)[1]) for u in urls]
+    counts = collections.Counter(w for h, _ in pairs for label in h.split(".") if "-" in label for w in label.split("-") if re.fullmatch("[a-z]{3,24}", w))
+    each = max(200, sum(counts.values()) // len(seeds))
+    counts.update(dict.fromkeys(seeds, each))
+    total = sum(counts.values())
+
+    @functools.cache
+    def best(run):
+        if not run:
+            return 0.0, ()
+        found = []
+        for i in range(max(0, len(run) - 24), len(run)):
+            cost, words = best(run[:i])
+            word = run[i:]
+            found.append((cost + (math.log10(counts[word] / total) if word in counts else 1 - math.log10(total) - len(word)), words + (word,)))
+        return max(found, key=lambda f: (round(f[0], 9), len(f[1][-1])))
+
+    words = {}
+    for h, p in pairs:
+        host = [w for run in re.findall("[a-z]+", h) for w in best(run)[1]]
+        words[h, p] = host, ["/" + ("0" if w.isdigit() else w) for w in re.findall("[a-z0-9]+", p)]
+    bad, good = collections.Counter(dict.fromkeys(url_filters.BLOCKED, 200)), collections.Counter(dict.fromkeys(url_filters.ORDINARY, 200))
+    blocked = 0
+    for pair in pairs:
+        strong = bool(set(words[pair][0]) & set(url_filters.STRONG))
+        blocked += strong
+        (bad if strong else good).update(words[pair][0] + words[pair][1])
+    known = {*bad, *good}
+    tb, tg = sum(bad.values()) + len(known), sum(good.values()) + len(known)
+    share = min(0.5, max(0.05, blocked / len(pairs)))
+    x = [math.log(share / (1 - share)) + sum(math.log((bad[w] + 1) / tb) - math.log((good[w] + 1) / tg) for w in sum(words[p], [])) for p in pairs]
+    return [1 / (1 + math.exp(-max(-30.0, min(30.0, v)))) for v in x]
+
+
+def test_url_scores_equal_brute_force_with_counts_above_any_cap(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    letters = np.array(list("abcdefgh"))
+    made = ["".join(rng.choice(letters, rng.integers(3, 7))) for _ in range(60)]
+    urls = []
+    for i in range(900):
+        a, b, c = rng.choice(made, 3)
+        top = rng.choice(["com", "org"])
+        names = [f"{a}-{b}.{top}", f"{a}{b}.{c}.{top}", f"casino{a}.{top}", f"{made[0]}-{made[1]}.{top}"]
+        urls.append(f"http://{names[i % 4]}/{c}/{i % 50}/{'bonus' if i % 4 == 2 else 'news'}")
+    want = brute_url_scores(urls)
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumns({"host": F.lit(1), "word": F.lit("x"), "n": F.lit(2)})
+    got = {r["page_id"]: r["score"] for r in url_filters.judge(df, []).collect()}
+    assert [got[i] for i in range(len(urls))] == pytest.approx(want, abs=1e-7)
+    monkeypatch.setattr(url_filters, "small_side", lambda side: side.hint("merge"))
+    again = {r["page_id"]: r["score"] for r in url_filters.judge(df, []).collect()}
+    assert again == got
+
+
+def test_rare_words_and_long_urls_count(spark):
+    """More than 50,000 words, each seen once, and a host of 20,000 letters."""
+    pairs = spark.range(60_000).select(F.concat(F.lit("h"), "id").alias("host"), F.lit("/").alias("path"), F.lit(1).cast("long").alias("n"), F.array(F.concat(F.lit("w"), "id")).alias("words"), (F.col("id") % 2 == 0).alias("blocked"))
+    weights, _ = url_filters.learn(pairs)
+    assert weights.where("word RLIKE '^w[0-9]+$' AND weight != 0").count() == 60_000
+    long = [(1, "http://" + "freebets" * 2500 + ".com/" + "a" * 100_000), (2, "http://" + "é" * 300 + ".com/x"), (3, "http://1.2.3.4")]
+    got = {r["page_id"]: r for r in url_filters.judge(spark.createDataFrame(long, "page_id long, url string"), []).collect()}
+    assert got[1]["verdict"] == "block" and got[3]["host"] == "1.2.3.4" and len(got) == 3
+
+
 # --- chats --------------------------------------------------------------------------------
 
 
