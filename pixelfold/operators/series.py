@@ -286,14 +286,19 @@ def linear_fit(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFra
     )
 
 
-def histogram(df: DataFrame, col: str, bins: int = 50, positive_only: bool = True) -> DataFrame:
+def histogram(df: DataFrame, col: str, bins: int = 50, positive_only: bool = True, empty_bins: bool = False) -> DataFrame:
     """bin 0..bins-1 and count between the smallest and largest value; the last
-    bin includes its upper edge. Empty bins are absent."""
+    bin includes its upper edge. Empty bins are absent, or counted 0 with ``empty_bins``."""
     src = df.where((F.col(col) > 0) if positive_only else F.col(col).isNotNull()).select(col)
     lo, hi = value_range(src, [col])[col]
     pos = F.try_divide((F.col(col) - lo) * F.lit(float(bins)), hi - lo)
     b = F.least(F.coalesce(F.floor(pos).cast("int"), F.lit(0)), F.lit(bins - 1))
-    return src.groupBy(b.alias("bin")).agg(F.count("*").alias("n"))
+    counted = src.groupBy(b.alias("bin")).agg(F.count("*").alias("n"))
+    if not empty_bins:
+        return counted
+    # Neither side has more than ``bins`` rows.
+    spine = df.sparkSession.range(bins, numPartitions=1).select(F.col("id").cast("int").alias("bin"))
+    return spine.join(F.broadcast(counted), "bin", "left").select("bin", F.coalesce("n", F.lit(0)).alias("n"))
 
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}

@@ -171,6 +171,21 @@ def _(spark, d):
     return _flattened(spark, d, True)
 
 
+STAMP_SQL = "strftime(datetime, '%Y-%m-%dT%H:%M:%SZ')"
+
+
+@query(
+    "flattened_items_found_columns",
+    B.sql("it")
+    + "SELECT 'S' || item_id AS item_id, CASE WHEN item_id % 3 = 1 THEN cloud_cover END AS prop_cloud_cover, 'sat-c' AS prop_constellation,"
+    f" CASE WHEN item_id % 3 = 0 THEN {STAMP_SQL} END AS prop_datetime, CASE WHEN item_id % 3 <> 1 THEN cloud_cover END AS prop_eo_cloud_cover,"
+    " 10 AS prop_gsd, '[\"msi\",\"tirs\"]' AS prop_instruments, '{\"a\":' || item_id || '}' AS prop_nested_part,"
+    f" CASE WHEN item_id % 3 = 2 THEN 'sat-b' END AS prop_platform, value AS prop_proj_value, CASE WHEN item_id % 3 <> 0 THEN {STAMP_SQL} END AS prop_start_datetime FROM it",
+)
+def _(spark, d):
+    return catalog.flatten_found(_items_json(spark, d))
+
+
 @query(
     "flattened_items_without_extensions",
     B.sql("it") + "SELECT 'S' || item_id AS item_id, '{\"a\":' || item_id || '}' AS prop_nested_part FROM it",

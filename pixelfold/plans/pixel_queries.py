@@ -10,9 +10,11 @@ from ..functions import indices as I
 from ..functions import values as V
 from ..operators import change, raster, tables
 from ..operators.grid import Grid
+from ..operators.pyramid import Pyramid
 from ..sources.sensors import apply_band_aliases
 from . import bindings as B
 from .registry import day, day_sql, query, rounded, rounded_sql
+from .sizing import shared_folder
 
 CELL = ["row", "col"]
 CELL_SQL = f"{day_sql()}, row, col"
@@ -181,6 +183,24 @@ def _(spark, d):
     return raster.decimate(B.pixels(spark, d), 4).select(day(), *CELL, "red")
 
 
+def _pyramid(spark, d):
+    return Pyramid(B.pixels(spark, d), shared_folder(spark, "pyramid"), 2, ("red", "nir")).write()
+
+
+@query("pyramid_decimated", B.sql("px") + f"SELECT {day_sql()}, row // 4 AS row, col // 4 AS col, red, nir FROM px WHERE row % 4 = 0 AND col % 4 = 0")
+def _(spark, d):
+    return _pyramid(spark, d).decimated(4).select(day(), *CELL, "red", "nir")
+
+
+# Blocks of six cells: the first level, three to one.
+@query(
+    "pyramid_mean",
+    B.sql("px") + f"SELECT {day_sql()}, row // 6 AS row, col // 6 AS col, {rounded_sql('avg(red)', 6)} AS red, {rounded_sql('avg(nir)', 6)} AS nir FROM px GROUP BY ALL",
+)
+def _(spark, d):
+    return _pyramid(spark, d).mean(6).select(day(), *CELL, *[rounded(b, 6).alias(b) for b in ("red", "nir")])
+
+
 @query(
     "coarse_grid_mean",
     B.sql("px") + f"SELECT {day_sql()}, row // 4 AS row, col // 4 AS col, avg(red) AS red, avg(nir) AS nir FROM px GROUP BY 1, 2, 3",

@@ -242,6 +242,17 @@ def _(spark, d):
     return series.histogram(B.pixels(spark, d), "nir", 50).select(F.col("bin").cast("bigint"), "n")
 
 
+@query(
+    "histogram_all_bins",
+    B.sql("px", s="SELECT nir - red AS v FROM px WHERE nir - red > 0", b="SELECT min(v) AS lo, max(v) AS hi FROM s",
+          c="SELECT CAST(least(floor((v - lo) * 5000.0::DOUBLE / (hi - lo)), 4999) AS BIGINT) AS bin, count(*) AS n FROM s, b GROUP BY 1")
+    + "SELECT range AS bin, coalesce(n, 0) AS n FROM range(5000) LEFT JOIN c ON range = bin",
+)
+def _(spark, d):
+    px = B.pixels(spark, d).select((F.col("nir") - F.col("red")).alias("v"))
+    return series.histogram(px, "v", 5000, empty_bins=True).select(F.col("bin").cast("bigint"), "n")
+
+
 @query(
     "describe_columns",
     B.sql("px", u="SELECT 'red' AS c, red AS v FROM px UNION ALL SELECT 'nir', nir FROM px UNION ALL SELECT 'blue', blue FROM px")

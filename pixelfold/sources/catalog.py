@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import geometry as G
 from ..functions import values as V
@@ -187,6 +188,51 @@ def flatten_items(
     return out
 
 
+def _discovered(properties: DataFrame) -> list[T.StructField]:
+    """Names and types of all properties that occur: one mergeable pass, a header comes to the driver."""
+    text = properties.agg(F.schema_of_variant_agg("_p")).first()[0]
+    # The text is DDL but for its word for a struct; quoted names are left alone.
+    ddl = re.sub(r"(`(?:[^`]|``)*`)|\bOBJECT<", lambda m: m[1] or "STRUCT<", text)
+    found = T.DataType.fromDDL(ddl)
+    return sorted(found.fields, key=lambda f: f.name) if isinstance(found, T.StructType) else []
+
+
+def flatten_found(items_json: DataFrame, json_col: str = "value", drop_prefixes: Sequence[str] = ()) -> DataFrame:
+    """item_id and a column ``prop_<name>`` for every property that occurs in any item (JSON text).
+
+    Names and types are found in a first pass. Whole numbers are longs, other numbers doubles (beyond the range of
+    a long: decimals), and text and truth values stay what they are; members without one scalar type are JSON text. Names that become equal when made safe
+    are numbered in their order. Text that is no JSON, or an item without properties, gives NULLs.
+    """
+    doc = items_json.select(F.try_parse_json(json_col).alias("_d"))
+    src = doc.select(F.try_variant_get("_d", "$.id", "string").alias("item_id"), F.try_variant_get("_d", "$.properties", "variant").alias("_p"))
+    scalars = (T.LongType, T.DoubleType, T.StringType, T.BooleanType)
+    cols, used = [], {"item_id"}
+    for field in _discovered(src):
+        if drop_prefixes and field.name.startswith(tuple(drop_prefixes)):
+            continue
+        kind = field.dataType
+        if isinstance(kind, T.DecimalType) and (kind.scale or kind.precision <= 18):
+            # Also 69.0, which a variant holds without its zero.
+            kind = T.DoubleType()
+        if "'" in field.name or '"' in field.name:
+            # A path cannot hold both kinds of quotes.
+            value = F.from_json(F.to_json("_p"), "map<string,string>")[field.name]
+        elif isinstance(kind, (*scalars, T.DecimalType)):
+            value = F.try_variant_get("_p", f'$["{field.name}"]', kind.simpleString())
+        else:
+            member = F.try_variant_get("_p", f'$["{field.name}"]', "variant")
+            value = F.when(F.schema_of_variant(member) == "STRING", F.try_variant_get(member, "$", "string")).when(~F.is_variant_null(member), F.to_json(member))
+        safe = name = "prop_" + V.safe_name(field.name)
+        number = 1
+        while name.lower() in used:
+            number += 1
+            name = f"{safe}_{number}"
+        used.add(name.lower())
+        cols.append(value.alias(name))
+    return src.select("item_id", *cols)
+
+
 def list_layers(spark: SparkSession, path: str) -> DataFrame:
     """layer, files: the sub-folders of ``path`` that hold files, from the file listing alone."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")

@@ -26,7 +26,11 @@ def write_per_key(
 
     Rows are ranged by (key, time): a key with many rows is split into
     consecutive time ranges, and each file is sorted. ``rows_per_file`` bounds a file.
+    Two keys that would share a folder are an error.
     """
+    clash = df.select(key).distinct().groupBy(V.safe_file_key(key).alias("name")).agg(F.count(key).alias("keys"), F.min(key).alias("a"), F.max(key).alias("b"))
+    if first := clash.where("keys > 1").first():
+        raise ValueError(f"keys {first['a']!r} and {first['b']!r} would share the folder {prefix}{first['name']}")
     shaped = canonical(df.where(F.col(key).isNotNull()), header)
     folder = F.concat(F.lit(prefix), V.safe_file_key(key))
     (
