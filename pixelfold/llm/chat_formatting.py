@@ -22,7 +22,8 @@ from .common import batch_of
 # Fixed values of the template: start, role close, turn close, and the escape character.
 OPEN, MIDDLE, CLOSE, ESCAPE = "<s>[INST]", "[/INST]", "</s>", "\\"
 LEARNED_ROLE = "assistant"
-#: A longer conversation is rendered and encoded in segments of whole turns; the cuts lie between turns, where the encoding is cut anyway.
+#: A longer conversation is held in segments of whole turns. Between two turns the tokenizer sees ``s``, ``><``, ``s``: the marks
+#: are a piece of their own, which goes to the earlier segment, so the ids are those of one encoding of the whole.
 SEGMENT_CHARS = 1 << 20
 
 _CONTROL = re.compile(r"([<\[])(\\*)(?=/?s>|/?INST\])")
@@ -91,6 +92,8 @@ def format_conversations(rows: DataFrame, path: str, learned: str = LEARNED_ROLE
     Turns are ordered by their number, NULL first, then role and text; repeated rows are turns of their own. NULL roles and texts
     are empty; rows with a NULL key are one conversation. The rows of a conversation stream through one
     task in sorted order, ``SEGMENT_CHARS`` at a time, as its digest is sequential; nothing of it is collected.
+    Ids of the segments together are those of the whole conversation encoded once; starts and ends count from the segment's
+    first character, and its last token may end one character behind it.
     An empty table gives an empty result; other columns are not read.
     """
     narrow = rows.select(
@@ -100,10 +103,12 @@ def format_conversations(rows: DataFrame, path: str, learned: str = LEARNED_ROLE
     longs, ints = pa.list_(pa.int64()), pa.list_(pa.int32())
     schema = pa.schema([("key", pa.int64()), ("segment", pa.int64()), ("text", pa.string()), ("ids", ints), ("starts", longs), ("ends", longs), ("mask", pa.list_(pa.bool_())), ("learned_starts", longs), ("learned_ends", longs)])
 
-    def row_of(owner: int | None, segment: int, turns: list[tuple[str, str]]) -> tuple:
+    def row_of(owner: int | None, segment: int, turns: list[tuple[str, str]], more: bool) -> tuple:
         formatted, spans = render(turns, learned)
-        e = tokenizer(path).encode(formatted, add_special_tokens=False)
-        offsets = np.array(e.offsets, np.int64).reshape(-1, 2)
+        # The mark between two segments is encoded with the earlier one.
+        skipped = 1 if segment else 0
+        e = tokenizer(path).encode(formatted[skipped:] + (OPEN[0] if more else ""), add_special_tokens=False)
+        offsets = np.array(e.offsets, np.int64).reshape(-1, 2) + skipped
         mask, covered = masked(offsets[:, 0], offsets[:, 1], spans)
         return owner, segment, formatted, np.array(e.ids, np.int32), offsets[:, 0], offsets[:, 1], mask, [a for a, _ in covered], [b for _, b in covered]
 
@@ -122,7 +127,7 @@ def format_conversations(rows: DataFrame, path: str, learned: str = LEARNED_ROLE
             for k, r, t in zip(b.column("key").to_pylist(), b.column("role").to_pylist(), b.column("text").to_pylist()):
                 new = not started or k != owner
                 if turns and (new or chars >= SEGMENT_CHARS):
-                    done.append(row_of(owner, segment, turns))
+                    done.append(row_of(owner, segment, turns, not new))
                     held, segment, turns, chars = held + chars, segment + 1, [], 0
                 if new:
                     owner, segment, started = k, 0, True
@@ -131,7 +136,7 @@ def format_conversations(rows: DataFrame, path: str, learned: str = LEARNED_ROLE
                 if held >= SEGMENT_CHARS:
                     yield from flush()
         if turns:
-            done.append(row_of(owner, segment, turns))
+            done.append(row_of(owner, segment, turns, False))
         yield from flush()
 
     kinds = "key long, segment long, text string, ids array<int>, starts array<long>, ends array<long>, mask array<boolean>, learned_starts array<long>, learned_ends array<long>"

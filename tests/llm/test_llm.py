@@ -512,6 +512,28 @@ def test_chats_round_trip(spark):
     assert chat_formatting.digest_conversations(chat_formatting.format_conversations(df.where("turn > 9"), public_tokenizers.path("byte_bpe_50k.json"))).count() == 0
 
 
+def test_a_long_conversation_is_encoded_as_one(spark):
+    """Over 3 M characters in segments: ids, characters of the tokens and the mask are those of the whole."""
+    rng = random.Random(8)
+    words = ["alpha", " beta", "><", "</s>", "<s>", "'s", "\n\n", "  ", "é", "日本", "12", "[INST]", ".", "<"]
+    rows = [(5, i, ["user", "assistant"][i % 2], "".join(rng.choices(words, k=2000))) for i in range(560)] + [(6, 0, "assistant", "short")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    parts = sorted((r for r in chat_formatting.format_conversations(df, path).collect() if r["conv_id"] == 5), key=lambda r: r["segment"])
+    assert len(parts) > 2
+    whole, spans = chat_formatting.render([(r, t) for k, _, r, t in rows if k == 5])
+    assert "".join(p["text"] for p in parts) == whole and len(whole) > 3_000_000
+    e = chat_formatting.tokenizer(path).encode(whole, add_special_tokens=False)
+    assert [i for p in parts for i in p["ids"]] == e.ids
+    base = np.cumsum([0] + [len(p["text"]) for p in parts])
+    got = [(a + b, z + b) for p, b in zip(parts, base.tolist()) for a, z in zip(p["starts"], p["ends"])]
+    assert got == [tuple(o) for o in e.offsets]
+    ends = np.array(e.offsets)
+    want, _ = chat_formatting.masked(ends[:, 0], ends[:, 1], spans)
+    assert [m for p in parts for m in p["mask"]] == want.tolist()
+
+
+
 # --- neighbours ---------------------------------------------------------------------------
 
 
