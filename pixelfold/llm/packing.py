@@ -26,7 +26,7 @@ from .bpe import encoder
 from .common import batch_of, slices, texts_of
 
 END_ID = 1
-SALTS = 64
+PART_ROWS = 20_000
 
 
 @dataclass(frozen=True)
@@ -125,40 +125,41 @@ def plan_bins(counts: dict[int, int], limits: Limits = Limits(), rule: str = "no
 def pack(pieces: DataFrame, limits: Limits = Limits(), key: str = "doc_id", rule: str = "norm") -> DataFrame:
     """``pieces`` (key, piece, start, length, ids_crc32) with ``sequence_id`` and ``offset``.
 
-    ``pieces`` is read twice and should be a written table. Repeated rows are pieces of their own;
-    which of several pieces of one length gets which place is arbitrary. A hot length is
-    ranked in ``SALTS`` parts, so no task holds all of it. An empty table gives an empty result.
+    Repeated rows are pieces of their own; which of several pieces of one length gets which place is arbitrary.
+    The pieces are written once with a number each, and a length is ranked in as many parts as it has rows for, about
+    ``PART_ROWS`` each, so no task holds a hot length, however large the table. An empty table gives an empty result.
     """
     spark = pieces.sparkSession
-    salted = pieces.withColumn("_salt", F.pmod(F.xxhash64(key, "piece", "start", "ids_crc32", F.spark_partition_id()), F.lit(SALTS)).cast("int"))
-    salted = materialize(salted, "pieces")
-    groups = salted.groupBy("length", "_salt").count()
-    # At most tokens x SALTS rows, whatever the corpus.
-    table = sorted((r["length"], r["_salt"], r["count"]) for r in groups.collect())
-    counts: dict[int, int] = {}
-    base: dict[tuple[int, int], int] = {}
-    for length, salt, n in table:
-        base[length, salt] = counts.get(length, 0)
-        counts[length] = base[length, salt] + n
+    numbered = materialize(pieces.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    # At most ``tokens`` numbers, whatever the corpus; then these and one for every ``PART_ROWS`` rows.
+    counts = {r["length"]: r["count"] for r in numbered.groupBy("length").count().collect()}
+    parts = [max(1, -(-counts.get(length, 0) // PART_ROWS)) for length in range(limits.tokens + 1)]
+    first = np.concatenate(([0], np.cumsum(parts)))
+    own = F.get(F.lit(parts), F.col("length").cast("int"))
+    salted = numbered.withColumn("_salt", F.pmod(F.xxhash64("_row"), own).cast("int"))
+    bases = np.zeros(first[-1], np.int64)
+    if any(n > 1 for n in parts):
+        for r in salted.groupBy("length", "_salt").count().collect():
+            bases[first[r["length"]] + r["_salt"]] = r["count"]
+        for length in range(limits.tokens + 1):
+            own_part = slice(first[length], first[length + 1])
+            bases[own_part] = np.cumsum(bases[own_part]) - bases[own_part]
     plan = plan_bins(counts, limits, rule)
     order = np.lexsort((plan[:, 1], plan[:, 0])) if len(plan) else np.zeros(0, np.int64)
     plan = plan[order]
     shift = 1 << 40
     keys = plan[:, 0] * shift + plan[:, 1]
-    bases = np.zeros((limits.tokens + 1, SALTS), np.int64)
-    for (length, salt), n in base.items():
-        bases[length, salt] = n
-    shared = spark.sparkContext.broadcast((keys, plan, bases))
-    ranked = salted.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_salt").orderBy(key, "piece", "ids_crc32")) - 1)
+    shared = spark.sparkContext.broadcast((keys, plan, first, bases))
+    ranked = salted.withColumn("_rank", F.row_number().over(Window.partitionBy("length", "_salt").orderBy("_row")) - 1)
     schema = pa.schema([("key", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, plan, bases = shared.value
+        keys, plan, first, bases = shared.value
         for b in batches:
             if not b.num_rows:
                 continue
             length = b.column("length").to_numpy()
-            rank = b.column("_rank").to_numpy() + bases[length, b.column("_salt").to_numpy()]
+            rank = b.column("_rank").to_numpy() + bases[first[length] + b.column("_salt").to_numpy()]
             at = np.searchsorted(keys, length * shift + rank, side="right") - 1
             bin_ = plan[at, 3] + rank - plan[at, 1]
             yield batch_of(schema, **{n: b.column(n) for n in ("key", "piece", "start", "length", "ids_crc32")}, sequence_id=bin_, offset=plan[at, 4])

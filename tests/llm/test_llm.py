@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import collections
+import fractions
 import functools
 import hashlib
 import html
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -232,6 +234,20 @@ def test_simhash_edges(docs, none):
     assert simhash.near_duplicates(none).count() == 0
 
 
+@pytest.mark.parametrize("part_rows", [7, 20_000])
+def test_hot_lengths_are_ranked_in_parts(spark, monkeypatch, part_rows):
+    monkeypatch.setattr(packing, "PART_ROWS", part_rows)
+    # Two thirds of the pieces have one length, and the same row comes ten times.
+    rows = [(i // 10, 0, 0, 30 if i % 3 else 1 + i % 64, i // 10) for i in range(900)]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long").repartition(5)
+    got = packing.pack(pieces, packing.Limits(64, 64, 64 * 64)).toPandas()
+    assert sorted(got[["doc_id", "piece", "start", "length", "ids_crc32"]].itertuples(index=False, name=None)) == sorted(rows)
+    for _, g in got.sort_values("offset").groupby("sequence_id"):
+        assert g.offset.tolist() == [0, *g.length.cumsum().tolist()[:-1]] and g.length.sum() <= 64
+    plan = packing.plan_bins(dict(collections.Counter(r[3] for r in rows)), packing.Limits(64, 64, 64 * 64))
+    assert got.sequence_id.nunique() == (plan[:, 3] + plan[:, 2]).max()
+
+
 # --- rules --------------------------------------------------------------------------------
 
 
@@ -274,12 +290,52 @@ def test_binomial_tail_is_exact(spark):
         assert got == pytest.approx(min(1.0, want), rel=1e-9)
 
 
+def test_binomial_tail_of_many_labels_is_bounded_work(spark):
+    n, p = 10**9, 0.01
+    sd = math.sqrt(n * p * (1 - p))
+    ks = [int(n * p - 5 * sd), int(n * p - 2 * sd), int(n * p), int(n * p + 3 * sd), 10, n - 1, n]
+    df = spark.createDataFrame([(n, k) for k in ks], "n long, k long").coalesce(1)
+    start = time.monotonic()
+    got = [r[0] for r in df.select(quality_rules._binomial_tail(F.col("n"), F.col("k"), p)).collect()]
+    assert time.monotonic() - start < 1 * len(ks)
+    for k, g in zip(ks[:4], got):  # the normal curve with its skew term
+        z = (k + 0.5 - n * p) / sd
+        want = 0.5 * math.erfc(-z / math.sqrt(2)) - (1 - 2 * p) / (6 * sd) * (z * z - 1) * math.exp(-z * z / 2) / math.sqrt(2 * math.pi)
+        assert g == pytest.approx(want, rel=1e-3)
+    assert got[4] == 0.0 and got[5] == got[6] == 1.0
+
+
+@pytest.mark.parametrize("n, p", [(17, 0.3), (40, 0.01), (637, 0.01), (3000, 0.02)])
+def test_binomial_tail_equals_the_sum_of_fractions(spark, n, p):
+    f = fractions.Fraction(p)
+    chances = [math.comb(n, i) * f**i * (1 - f) ** (n - i) for i in range(min(n, 120) + 1)]
+    got = spark.range(len(chances)).coalesce(1).select("id", quality_rules._binomial_tail(F.lit(n).cast("long"), F.col("id"), p).alias("v"))
+    total = fractions.Fraction(0)
+    for r, c in zip(sorted(got.collect()), chances):
+        total += c
+        assert r["v"] == pytest.approx(float(total), rel=1e-9)
+
+
+def test_strata_without_labels_enough_cost_the_others_nothing(spark):
+    good = "100 n_words, 500L word_chars, 0L n_upper, 0L n_marks, 5L n_lines, 0L n_dup_lines, 0L n_repeat_words"
+    # 550 good rows pass at a sixth of the level (476 needed), not if 40 tiny strata took their share (826 needed).
+    en = spark.range(800).selectExpr("'en' lang", "CAST(id >= 250 AS int) quality", "IF(id < 250, 60L, 0L) n_symbols", *good.replace("100 n", "100L n").split(", "))
+    tiny = spark.range(400).selectExpr("concat('t', id % 40) lang", "1 quality", "0L n_symbols", *good.replace("100 n", "100L n").split(", "))
+    assert [(r["stratum"], r["rule"]) for r in quality_rules.cutoffs(en.unionByName(tiny)).collect()] == [("en", "symbols")]
+
+
+def test_columns_named_like_the_counts_are_kept(spark):
+    df = spark.createDataFrame([(1, "a b c", "x", 7, "y")], "doc_id long, text string, _counts string, n_words int, _Counts_ string")
+    got = quality_rules.statistics(df).first()
+    assert (got["_counts"], got["_Counts_"], got["n_words"]) == ("x", "y", 3)
+
+
 def test_cutoffs_bound_false_rejections(spark):
     rng = random.Random(2)
     rows = [("en" if i % 2 else "de", 1 if i % 5 else 0, 100, 500, int(100 * (rng.random() * 0.1 if i % 5 else 0.5 + rng.random())), 0, 0, 5, 0, 0) for i in range(8000)]
     df = spark.createDataFrame(rows, "lang string, quality int, n_words long, word_chars long, n_symbols long, n_upper long, n_marks long, n_lines long, n_dup_lines long, n_repeat_words long")
     cuts = {(r["stratum"], r["rule"]): quality_rules.GRID[r["cut"]] for r in quality_rules.cutoffs(df).collect()}
-    assert set(cuts) == {("*", "symbols"), ("en", "symbols"), ("de", "symbols")}
+    assert set(cuts) == {("en", "symbols"), ("de", "symbols")}
     assert all(0.09 < c < 0.5 for c in cuts.values())
     assert quality_rules.cutoffs(df.limit(100)).count() == 0
 
