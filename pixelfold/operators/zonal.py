@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import indices as I
 from ..plans.sizing import BROADCAST_CELLS, sized_cells, small_side
-from .grid import Grid, ZoneExtent, coverage_cells, crop_to_extent, zone_cells, zone_extent, zones_on_grid
+from .grid import Grid, ZoneExtent, coverage_runs, crop_to_extent, join_runs, zone_cells, zone_extent, zone_runs, zones_on_grid
 from .quantiles import group_mad, group_quantiles
 from .runs import sorted_groups
 from .selection import select_mad, select_quantiles
@@ -60,6 +60,15 @@ def _cells_with_pixels(pixels: DataFrame, cells: DataFrame, ext) -> DataFrame:
     return crop_to_extent(pixels, ext).join(sized_cells(cells, ext.max_cells, BROADCAST_CELLS), ["row", "col"])
 
 
+def _runs_with_pixels(pixels: DataFrame, runs: DataFrame, ext: ZoneExtent, bound: int, keep: Sequence[str]) -> DataFrame:
+    """Join of pixels with runs of zone cells on (row, block of columns).
+
+    What is broadcast or shuffled for the zones follows the length of their borders, not their
+    area; ``bound`` proves it small or not, as for cells.
+    """
+    return join_runs(crop_to_extent(pixels, ext), sized_cells(runs, bound, BROADCAST_CELLS), ext.shift, list(keep))
+
+
 def _large(ext: ZoneExtent) -> bool:
     """Layers worth spreading over tasks before their cells are filled in."""
     return ext.max_cells > SPREAD_CELLS
@@ -69,7 +78,7 @@ def clip(pixels: DataFrame, zones: DataFrame, grid: Grid, key: str) -> DataFrame
     """Pixels with their centre in a polygon, once per polygon; NULL keys skipped."""
     zones = _usable(zones, grid, key)
     ext = zone_extent(zones, grid)
-    return _cells_with_pixels(pixels, zone_cells(zones, grid, [key], _large(ext)), ext)
+    return _runs_with_pixels(pixels, zone_runs(zones, grid, [key], ext.shift, _large(ext)), ext, ext.max_runs, [key])
 
 
 def clip_all_touched(
@@ -79,8 +88,8 @@ def clip_all_touched(
     polygon's window is kept with value 0 and counts in later statistics."""
     zones = _usable(zones, grid, key)
     ext = zone_extent(zones, grid)
-    cells = coverage_cells(zones, grid, [key], outside == "zero", _large(ext))
-    joined = _cells_with_pixels(pixels, cells, ext)
+    runs = coverage_runs(zones, grid, [key], ext.shift, outside == "zero", _large(ext))
+    joined = _runs_with_pixels(pixels, runs, ext, ext.max_cover_runs, [key, "coverage"])
     touched = F.col("coverage") > 0
     return joined.withColumns(
         {b: F.when(touched, F.coalesce(F.col(b).cast("double"), F.lit(0.0))).otherwise(0.0) for b in bands}
@@ -161,8 +170,12 @@ def zonal_stats(
     """
     zones = _usable(zones, grid, key)
     ext = zone_extent(zones, grid)
-    cells = _rasterize(zones, grid, key, exclusive_order, exclusive_order is None, _large(ext))
-    values = _cells_with_pixels(pixels.select(time, "row", "col", value), cells, ext).select(key, time, value)
+    pixels = pixels.select(time, "row", "col", value)
+    if exclusive_order is None:
+        values = _runs_with_pixels(pixels, zone_runs(zones, grid, [key], ext.shift, _large(ext)), ext, ext.max_runs, [key])
+    else:
+        values = _cells_with_pixels(pixels, _rasterize(zones, grid, key, exclusive_order, False, _large(ext)), ext)
+    values = values.select(key, time, value)
     if keep_all_zones:
         empty = F.lit(None).cast(pixels.schema[value].dataType)
         spine = _time_spine(pixels, zones, key, time).select(key, time, empty.alias(value))
@@ -221,8 +234,8 @@ def zonal_weighted(
     zones = _usable(zones, grid, key)
     keep = list(dict.fromkeys([key, *include_cols]))
     ext = zone_extent(zones, grid)
-    cells = coverage_cells(zones, grid, keep, spread=_large(ext))
-    joined = _cells_with_pixels(pixels.select(time, "row", "col", *bands), cells, ext)
+    runs = coverage_runs(zones, grid, keep, ext.shift, spread=_large(ext))
+    joined = _runs_with_pixels(pixels.select(time, "row", "col", *bands), runs, ext, ext.max_cover_runs, [*keep, "coverage"])
     c = F.col("coverage")
     aggs = []
     for b in bands:

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
 import geo
 from pixelfold.functions import geometry as G
 from pixelfold.operators import zonal
-from pixelfold.operators.grid import Grid, coverage_cells, zone_cells, zone_extent
+from pixelfold.operators.grid import Grid, coverage_cells, coverage_runs, join_runs, zone_cells, zone_extent, zone_runs
 
 GRID = Grid(0, 0, 1, 1, 6, 6)
 ALL = dict(
@@ -84,3 +86,47 @@ def test_point_predicates(spark):
     assert p(0.5, 0.5, G.point_in_polygon) and not p(2.5, 2.5, G.point_in_polygon)
     assert p(0.0, 0.0, G.point_in_polygon) and not p(5.0, 1.0, G.point_in_polygon)
     assert p(5.0, 1.0, G.covers_point) and p(1.5, 2.0, G.covers_point) and not p(6.0, 1.0, G.covers_point)
+
+
+def wide_layer(spark):
+    ring = [(round(300 + 250 * math.cos(a / 50 * math.pi), 3), round(40 + 35 * math.sin(a / 50 * math.pi), 3)) for a in range(100)]
+    donut = [ring + ring[:1], [(200, 20), (200, 60), (400, 60), (400, 20), (200, 20)]]
+    strip = [[(3, 10), (590, 10), (590, 12), (3, 12), (3, 10)]]
+    return geo.layer(spark, donut=donut, strip=strip, edge=[[(-50, -50), (700, -50), (700, 5.5), (-50, 5.5), (-50, -50)]])
+
+
+@pytest.mark.parametrize("shift", [0, 3, 6, 8])
+def test_runs_hold_the_same_cells(spark, rows, shift):
+    grid = Grid(0, 0, 1, 1, 600, 80)
+    z = wide_layer(spark)
+    every = spark.range(80).selectExpr("CAST(id AS int) AS row", "explode(sequence(0, 599)) AS col")
+    got = join_runs(every, zone_runs(z, grid, ["zone"], shift), shift, ["zone"])
+    assert rows(got, "zone", "row", "col") == rows(zone_cells(z, grid, ["zone"]), "zone", "row", "col")
+    for window in (False, True):
+        got = join_runs(every, coverage_runs(z, grid, ["zone"], shift, window), shift, ["zone", "coverage"])
+        want = {r[:3]: r[3] for r in coverage_cells(z, grid, ["zone"], window).collect()}
+        found = {r[:3]: r[3] for r in got.select("zone", "row", "col", "coverage").collect()}
+        assert found.keys() == want.keys() and all(found[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+
+
+def test_runs_follow_the_border_and_stay_below_their_bounds(spark):
+    z = wide_layer(spark).where("zone = 'donut'")
+    counts = []
+    for k in (1, 4):
+        grid = Grid(0, 0, 1 / k, 1 / k, 600 * k, 80 * k)
+        e = zone_extent(z, grid)
+        runs, covers = zone_runs(z, grid, ["zone"], e.shift).count(), coverage_runs(z, grid, ["zone"], e.shift).count()
+        assert runs <= e.max_runs < e.max_cells and covers <= e.max_cover_runs <= e.max_cells
+        counts.append((runs, covers, zone_cells(z, grid, ["zone"]).count()))
+    # Four times finer: sixteen times the cells, hardly more than four times the runs.
+    (a, b, c), (d, f, g) = counts
+    assert g > 15 * c and d < 6 * a and f < 6 * b
+
+
+def test_bounds_hold_for_every_shape(spark):
+    for grid in (GRID, Grid(0, 6, 0.25, -0.5, 24, 12), Grid(1, 1, 0.5, 0.5, 3, 3)):
+        for name, shape in ALL.items():
+            z = geo.layer(spark, **{name: shape})
+            e = zone_extent(z, grid)
+            assert zone_runs(z, grid, ["zone"], e.shift).count() <= e.max_runs
+            assert coverage_runs(z, grid, ["zone"], e.shift).count() <= e.max_cover_runs
