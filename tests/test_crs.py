@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from pixelfold.functions.crs import reproject_xy
+from pixelfold.functions.crs import reproject, reproject_xy
+from pixelfold.functions.geometry import GEOM_DDL
 
 
 def move(spark, x, y, a, b):
@@ -46,3 +47,9 @@ def test_round_trip(spark, srid, lon, lat):
 def test_unknown_system_is_refused(spark):
     with pytest.raises(ValueError, match="unsupported"):
         move(spark, 1, 1, 4326, 27700)
+
+
+@pytest.mark.parametrize("a,b,name,times", [(4326, 32631, "ATANH(", 3), (32631, 4326, "ATAN2(", 1), (32631, 4326, "ASIN(", 1), (4326, 3035, "ASIN(", 1), (3035, 4326, "HYPOT(", 1), (3035, 32631, "HYPOT(", 1)])
+def test_each_value_is_computed_once(spark, a, b, name, times):
+    plan = spark.createDataFrame([], f"geom {GEOM_DDL}").select(reproject("geom", a, b).alias("moved"))._jdf.queryExecution().analyzed().toString()
+    assert plan.count(name) == times
