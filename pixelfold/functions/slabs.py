@@ -58,7 +58,9 @@ def _incidences(group: np.ndarray, lo: np.ndarray, hi: np.ndarray, extra_group:
 
 def sweep(group: np.ndarray, x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1: np.ndarray) -> Slabs:
     """Slabs of each group of edges (y0 < y1), cut at every corner and crossing of the group."""
-    scale = max(float(np.abs(x0).max(initial=0)), float(np.abs(x1).max(initial=0)), 1e-300) * TOLERANCE
+    scale = np.full(int(group.max(initial=-1)) + 1, 1e-300)
+    np.maximum.at(scale, group, np.maximum(np.abs(x0), np.abs(x1)))
+    scale *= TOLERANCE
     cut_group, cut = np.zeros(0, np.int64), np.zeros(0)
     while True:
         heights, _, first, end = _incidences(group, y0, y1, cut_group, cut)
@@ -72,7 +74,8 @@ def sweep(group: np.ndarray, x0: np.ndarray, y0: np.ndarray, x1: np.ndarray, y1:
         order = np.lexsort((at_high, at_low, slab))
         s, a, b = slab[order], at_low[order], at_high[order]
         gap_low, gap_high = a[1:] - a[:-1], b[:-1] - b[1:]
-        crossed = np.flatnonzero((s[1:] == s[:-1]) & (gap_low > scale) & (gap_high > scale))
+        least = scale[group[edge[order[1:]]]]
+        crossed = np.flatnonzero((s[1:] == s[:-1]) & (gap_low > least) & (gap_high > least))
         if len(crossed):
             t = gap_low[crossed] / (gap_low[crossed] + gap_high[crossed])
             lo, hi = low[order][crossed], high[order][crossed]
@@ -140,7 +143,7 @@ def intersections(left: pa.Array, right: pa.Array, shapes: bool = True) -> tuple
     both = (_running(s, np.where(own == 0, step, 0)) > 0) & (_running(s, np.where(own == 1, step, 0)) > 0)
     at, area = _parts(s, both)
     of = group[kept][s.edge[at]]
-    total = np.bincount(of, area, n)
+    total = np.bincount(of, area, n).astype(float)  # without any part they are whole numbers
     if not shapes:
         return total, None
     some = area > TOLERANCE * total[of]  # rounding leaves slivers where corners nearly meet
@@ -165,22 +168,28 @@ def intersections(left: pa.Array, right: pa.Array, shapes: bool = True) -> tuple
     return total, pa.ListArray.from_arrays(pa.array(offsets), rings).cast(GEOM)
 
 
-def uncovered(child: pa.Array, others: pa.Array, low: float = -np.inf, high: float = np.inf) -> float:
-    """Area of one geometry (a column of one row) between two heights that none of the others covers."""
-    pieces = [edges_of(child), edges_of(others)]
-    polygon = np.concatenate((pieces[0][0], pieces[1][0] + 1))
+def uncovered_each(children: pa.Array, others: pa.Array, of: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Area of each child between its two heights that none of its others covers; ``of`` is the child of each other."""
+    n = len(children)
+    pieces = [edges_of(children), edges_of(others)]
+    group = np.concatenate((pieces[0][0], of[pieces[1][0]]))
+    polygon = np.concatenate((pieces[0][0], pieces[1][0] + n))
     x0, y0, x1, y1 = (np.concatenate([p[k] for p in pieces]) for k in range(1, 5))
     up = y0 < y1
     x0, y0, x1, y1 = np.where(up, x0, x1), np.where(up, y0, y1), np.where(up, x1, x0), np.where(up, y1, y0)
-    kept = (y0 != y1) & (y1 > low) & (y0 < high)
-    polygon, x0, y0, x1, y1 = polygon[kept], x0[kept], y0[kept], x1[kept], y1[kept]
+    kept = (y0 != y1) & (y1 > low[group]) & (y0 < high[group])
+    group, polygon, x0, y0, x1, y1 = group[kept], polygon[kept], x0[kept], y0[kept], x1[kept], y1[kept]
+    bottom, top = low[group], high[group]
     slope = (x1 - x0) / (y1 - y0)
-    below, above = y0 < low, y1 > high
-    x0[below] += (low - y0[below]) * slope[below]
-    x1[above] -= (y1[above] - high) * slope[above]
-    y0, y1 = np.maximum(y0, low), np.minimum(y1, high)
-    s = sweep(np.zeros(len(x0), np.int64), x0, y0, x1, y1)
+    x0, x1 = np.where(y0 < bottom, x0 + (bottom - y0) * slope, x0), np.where(y1 > top, x1 - (y1 - top) * slope, x1)
+    s = sweep(group, x0, np.maximum(y0, bottom), x1, np.minimum(y1, top))
     own = polygon[s.edge]
     step = _entered(s, own)
-    bare = (_running(s, np.where(own == 0, step, 0)) > 0) & (_running(s, np.where(own > 0, step, 0)) == 0)
-    return float(_parts(s, bare)[1].sum())
+    bare = (_running(s, np.where(own < n, step, 0)) > 0) & (_running(s, np.where(own >= n, step, 0)) == 0)
+    at, area = _parts(s, bare)
+    return np.bincount(group[s.edge[at]], area, n).astype(float)  # without any part they are whole numbers
+
+
+def uncovered(child: pa.Array, others: pa.Array, low: float = -np.inf, high: float = np.inf) -> float:
+    """``uncovered_each`` of one geometry (a column of one row)."""
+    return float(uncovered_each(child, others, np.zeros(len(others), np.int64), np.array([low]), np.array([high]))[0])

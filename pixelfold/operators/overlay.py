@@ -15,11 +15,12 @@ from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from ..functions import geometry as G, slabs
-from ..plans.sizing import BROADCAST_ROWS, small_side
+from ..plans.sizing import BROADCAST_ROWS
 
 MIN_LEVEL, MAX_LEVEL = -30, 40
 # A corner is two doubles in a nested array: about 32 bytes.
@@ -245,41 +246,67 @@ def within_union(children: DataFrame, parents: DataFrame, key: str) -> DataFrame
     """Children that the parents cover together, borders included, whatever the parents' shapes and overlaps.
 
     A child is swept together with the parents that meet its box; no part of it may lie in none of them (but for a
-    rounding share of ``COVER_SHARE`` of its area, so gaps and holes count, whatever overlaps elsewhere). ``key`` names one child. A
-    child with many parents is cut into bands of about ``SWEPT_CORNERS`` corners, each a group of its own. A child without an
+    rounding share of ``COVER_SHARE`` of its area, so gaps and holes count, whatever overlaps elsewhere). ``key`` names one child. Many
+    children are swept in one pass over arrays. One with many parents is cut into bands of about ``SWEPT_CORNERS`` corners, dealt out by themselves. A child without an
     area (a line) counts as covered if all its corners are.
     """
-    box = G.bounds("geom")
-    shown = children.select(key, "geom", box["miny"].alias("_y0"), box["maxy"].alias("_y1"))
-    flat = shown.where(G.area("geom") <= 0).select(key, F.array_distinct(F.flatten("geom")).alias("_p"))
+    flat = children.where(G.area("geom") <= 0).select(key, F.array_distinct(F.flatten("geom")).alias("_p"))
     points = flat.select(key, F.size("_p").alias("_all"), F.posexplode("_p").alias("_i", "_p")).select(key, "_all", "_i", F.array(F.array("_p", "_p")).alias("geom"))
     at = F.col("l__geom")[0][0]
     hits = candidate_pairs(points, parents, [key, "_all", "_i"], [], G.covers_point(at["x"], at["y"], F.col("r__geom")))
     lines = hits.groupBy(F.col(f"l_{key}").alias(key), F.col("l__all").alias("_all")).agg(F.count_distinct("l__i").alias("_n")).where("_n = _all").select(key)
-    shown = shown.where(G.area("geom") > 0)
+
+    box, area = G.bounds("geom"), G.area("geom")
+    shown = children.where(F.col(key).isNotNull()).where(area > 0).select(key, "geom", box["miny"].alias("_y0"), box["maxy"].alias("_y1"), (area * F.lit(COVER_SHARE)).alias("_share"))
     corners = F.aggregate("r__geom", F.lit(0).cast("long"), lambda n, ring: n + F.size(ring))
-    met = candidate_pairs(shown, parents, [key], []).groupBy(F.col(f"l_{key}").alias(key)).agg(F.ceil(F.sum(corners) / SWEPT_CORNERS).cast("int").alias("_n"))
-    banded = shown.join(small_side(met), key)
+    names = [key, "_y0", "_y1", "_share"]
+    met = candidate_pairs(shown, parents, names, []).select(*[F.col(f"l_{c}").alias(c) for c in names], F.col("r__geom").alias("geom"), corners.alias("_corners"), F.lit(True).alias("_other"))
+    every = shown.withColumns({"_corners": F.lit(0).cast("long"), "_other": F.lit(False)}).unionByName(met)
+    of_child = Window.partitionBy(key)
+    every = every.withColumn("_n", F.greatest(F.ceil(F.sum("_corners").over(of_child) / SWEPT_CORNERS), F.lit(1)).cast("int"))
 
     def band(y: Column) -> Column:
         at = F.floor((y - F.col("_y0")) / (F.col("_y1") - F.col("_y0")) * F.col("_n")).cast("int")
         return F.least(F.greatest(at, F.lit(0)), F.col("_n") - 1)
 
-    pairs = candidate_pairs(banded, parents, [key, "_y0", "_y1", "_n"], []).select(F.col(f"l_{key}").alias("_key"), F.col("l__y0").alias("_y0"), F.col("l__y1").alias("_y1"), F.col("l__n").alias("_n"), "r__geom")
-    theirs = pairs.withColumn("_b", G.bounds("r__geom")).select("_key", "r__geom", F.explode(F.sequence(band(F.col("_b.miny")), band(F.col("_b.maxy")))).alias("_band"))
-    own = banded.select(F.col(key).alias("_own"), "geom", "_y0", "_y1", "_n", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_at"))
-
-    def bare(child: pa.Table, others: pa.Table) -> pa.Table:
-        if not child.num_rows:
-            return pa.table({"_own": child.column("_own"), "_bare": pa.array([], pa.float64())})
-        y0, y1, n, at = (child.column(c)[0].as_py() for c in ("_y0", "_y1", "_n", "_at"))
-        step = (y1 - y0) / n
-        low, high = y0 + at * step, y1 if at == n - 1 else y0 + (at + 1) * step
-        left = slabs.uncovered(child.column("geom").slice(0, 1), others.column("r__geom"), low, high)
-        return pa.table({"_own": child.column("_own").slice(0, 1), "_bare": pa.array([left])})
-
-    schema = StructType([own.schema["_own"]]).add("_bare", DoubleType())
-    parts = own.groupBy("_own", "_at").cogroup(theirs.groupBy("_key", "_band")).applyInArrow(bare, schema)
-    whole = shown.select(key, (G.area("geom") * F.lit(COVER_SHARE)).alias("_share"))
-    left = parts.groupBy(F.col("_own").alias(key)).agg(F.sum("_bare").alias("_bare")).join(whole, key).where("_bare <= _share").select(key)
-    return children.join(left.unionByName(lines), key, "left_semi")
+    bands = F.when(F.col("_n") == 1, F.array(F.lit(0))).when(F.col("_other"), F.sequence(band(box["miny"]), band(box["maxy"]))).otherwise(F.sequence(F.lit(0), F.col("_n") - 1))
+    # Of the rows of one band the child comes first.
+    line = every.withColumn("_band", F.explode(bands)).drop("_corners").repartition(key, "_band").sortWithinPartitions(key, "_band", "_other")
+    left = line.mapInArrow(_bare_parts(key), StructType([line.schema[key], line.schema["_share"]]).add("_bare", DoubleType()))
+    whole = left.groupBy(key).agg(F.sum("_bare").alias("_bare"), F.max("_share").alias("_share")).where("_bare <= _share").select(key)
+    return children.join(whole.unionByName(lines), key, "left_semi")
+
+
+def _bare_parts(key: str):
+    """Rows of children and their parents, band by band, to (key, share, uncovered area): many bands are swept together."""
+
+    def measured(b: pa.RecordBatch, at: np.ndarray) -> Iterator[pa.RecordBatch]:
+        of = np.repeat(np.arange(len(at)), np.diff(np.append(at, b.num_rows)))
+        sizes = np.bincount(of[slabs.edges_of(b.column("geom"))[0]], minlength=len(at))
+        other = b.column("_other").to_numpy(zero_copy_only=False)
+        ends = np.append(at, b.num_rows)
+        for start, end in zip(*_runs(np.cumsum(sizes) // SWEPT_CORNERS)):
+            first, rows = b.take(pa.array(at[start:end])), np.arange(ends[start], ends[end])
+            rows = rows[other[rows]]
+            y0, y1, n, place = (first.column(c).to_numpy() for c in ("_y0", "_y1", "_n", "_band"))
+            step = (y1 - y0) / n
+            high = np.where(place == n - 1, y1, y0 + (place + 1) * step)
+            bare = slabs.uncovered_each(first.column("geom"), b.column("geom").take(pa.array(rows)), of[rows] - start, y0 + place * step, high)
+            yield pa.RecordBatch.from_arrays([first.column(key), first.column("_share"), pa.array(bare)], names=[key, "_share", "_bare"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.RecordBatch | None = None
+        for b in batches:
+            if held is not None:
+                b = pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+            new = np.arange(b.num_rows) == 0
+            for c in (b.column(key), b.column("_band")):
+                new[1:] |= pc.not_equal(c.slice(1), c.slice(0, max(len(c) - 1, 0))).to_numpy(zero_copy_only=False)
+            at = np.flatnonzero(new)
+            if len(at):
+                yield from measured(b.slice(0, at[-1]), at[:-1])
+                held = b.slice(at[-1])
+        if held is not None:
+            yield from measured(held, np.zeros(1, np.int64))
+
+    return run

@@ -125,3 +125,35 @@ def test_many_cornered_overlay_on_both_sides(spark):
         assert got.get((i, j), 0.0) == pytest.approx(want, rel=1e-9)
     counted = {r[0]: r["children"] for r in overlay.children_per_parent(za, zb, key, "other").collect()}
     assert counted == {j: sum(k[1] == j for k in got) for j in {k[1] for k in got}}
+
+
+def test_many_children_are_swept_as_each_alone():
+    rng = random.Random(8)
+    children, others, of = [], [], []
+    for i in range(40):
+        x, y = i * 3.0, rng.choice([0.0, 1e6])
+        children.append(star(rng, 12, x, y, 1) if i % 2 else box(x, y, x + 1, y + 1))
+        for _ in range(i % 4):
+            others.append(box(x + rng.uniform(-1, 0.5), y - 2, x + rng.uniform(0.5, 3), y + 2))
+            of.append(i)
+    of = np.array(of)
+    low = np.array([min(v for r in c for _, v in r) for c in children]) + 0.1
+    got = slabs.uncovered_each(column(children), column(others), of, low, low + 0.7)
+    for i, c in enumerate(children):
+        alone = slabs.uncovered(column([c]), column([o for o, j in zip(others, of) if j == i]), low[i], low[i] + 0.7)
+        assert got[i] == pytest.approx(alone, abs=1e-9)
+    assert 0 < np.count_nonzero(got) < 40
+
+
+def test_no_common_area_is_a_float_too():
+    assert slabs.intersections(column([box(0, 0, 1, 1)]), column([box(2, 2, 3, 3)]), False)[0].dtype == float
+    assert slabs.uncovered_each(column([geo.SQUARE]), column([geo.SQUARE]), np.zeros(1, int), np.array([-9.0]), np.array([9.0])).dtype == float
+
+
+def test_union_cover_needs_no_group_per_child(spark):
+    children, parents = {f"c{i}": box(i * 3, 0, i * 3 + (1 if i % 3 else 2), 1) for i in range(300)}, {f"p{i}": box(i * 3, 0, i * 3 + 1, 1) for i in range(300)}
+    z, p = geo.layer(spark, **children), geo.layer(spark, **parents)
+    key = z.columns[0]
+    found = overlay.within_union(z, p, key)
+    assert "FlatMapCoGroups" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert {r[0] for r in found.select(key).collect()} == {f"c{i}" for i in range(300) if i % 3}
