@@ -3,8 +3,9 @@
 A page becomes a sequence of tokens: an element start with the path of elements above it, or a text with its path.
 The occurrence vector of a token is how often it occurs in each page of its host; it is held as a sum of page
 hashes times counts, which adds up map-side, so no page list of a hot host is ever gathered. Tokens that occur
-once in (nearly) every page of a host are its template, each judged by itself: classes of equal vectors are not judged
-whole and not nested. Text that is itself part of the template is boilerplate. Of the other texts, those within
+once in (nearly) every page of a host form classes of equal vectors. A text belongs to the template if an element around
+it is of its class (the nearest one that stands once in the page): the two come and go together. A text whose element also stands in other pages
+fills a slot and is no template. Classes are not nested. Text of the template is boilerplate. Of the other texts, those within
 an article (or a main part) are extracted if the page has one, else those outside all elements
 that are boilerplate by their kind or name.
 """
@@ -116,10 +117,22 @@ def parse(page: str) -> tuple[list[str], list[Text]]:
     return starts, texts
 
 
-def tokens(page: str) -> Counter[int]:
-    """How often each token occurs in a page."""
+def tokens(page: str) -> Counter[tuple[int, int | None]]:
+    """How often each token occurs in a page; a text with the token of the nearest element around it that occurs once."""
     starts, texts = parse(page)
-    return Counter([_hash("e", p) for p in starts] + [_hash("t", t.path, " ".join(t.words.split())) for t in texts if not t.words.isspace()])
+    times = Counter(starts)
+    found = Counter({(_hash("e", p), None): n for p, n in times.items()})
+    holders: dict[str, int] = {}
+    for t in texts:
+        if t.words.isspace():
+            continue
+        if t.path not in holders:
+            around = t.path
+            while around and times[around] != 1:
+                around = around.rpartition("/")[0]
+            holders[t.path] = _hash("e", around)
+        found[_hash("t", t.path, " ".join(t.words.split())), holders[t.path]] += 1
+    return found
 
 
 def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
@@ -136,39 +149,43 @@ def main_text(page: str, template: frozenset[int] = frozenset()) -> str:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """host, template (token hashes) from ``host``, ``key`` and ``html`` of all pages.
+    """host, template (hashes of text tokens) from ``host``, ``key`` and ``html`` of all pages.
 
-    Tokens of a valid class occur once in at least ``SHARE`` of the host's pages; hosts of fewer than
-    ``LEAST_PAGES`` pages have no template. Counts are added up per Arrow slice, then per host and token.
+    Tokens of a valid class occur once in at least ``SHARE`` of the host's pages, the same for all of them; its texts are those
+    whose holder, the nearest element around that stands once, is of the class. Hosts of fewer than ``LEAST_PAGES`` pages have no template, nor hosts without such a text.
+    Counts are added up per Arrow slice, then per host and token.
     """
-    schema = pa.schema([("host", pa.string()), ("token", pa.int64()), ("vector", pa.int64()), ("pages", pa.int64()), ("n", pa.int64())])
+    schema = pa.schema([("host", pa.string()), ("token", pa.int64()), ("holder", pa.int64()), ("vector", pa.int64()), ("pages", pa.int64()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "html"):
-            sums: dict[tuple[str, int], list[int]] = {}
+            sums: dict[tuple[str, int, int | None], list[int]] = {}
             for host, key, page in zip(b.column("host").to_pylist(), b.column("key").to_pylist(), texts_of(b.column("html"))):
                 salt = _hash("p", str(key), page)
-                for token, n in (*tokens(page).items(), (0, 1)):
-                    s = sums.setdefault((host, token), [0, 0, 0])
+                for (token, holder), n in (*tokens(page).items(), ((0, None), 1)):
+                    s = sums.setdefault((host, token, holder), [0, 0, 0])
                     s[0] = (s[0] + n * salt) & (1 << 64) - 1
                     s[1] += 1
                     s[2] += n
             signed = [v[0] - (1 << 64) if v[0] >> 63 else v[0] for v in sums.values()]
-            yield batch_of(schema, host=[h for h, _ in sums], token=[t for _, t in sums], vector=signed, pages=[v[1] for v in sums.values()], n=[v[2] for v in sums.values()])
+            yield batch_of(schema, host=[h for h, _, _ in sums], token=[t for _, t, _ in sums], holder=[e for _, _, e in sums], vector=signed, pages=[v[1] for v in sums.values()], n=[v[2] for v in sums.values()])
 
-    counted = pages.select("host", "key", "html").mapInArrow(count, "host string, token long, vector long, pages long, n long")
+    counted = pages.select("host", "key", "html").mapInArrow(count, "host string, token long, holder long, vector long, pages long, n long")
     # The vectors are sums modulo 2**64, taken in two halves that cannot overflow.
     low, high = F.col("vector").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftright("vector", 32).bitwiseAND(F.lit(0xFFFFFFFF))
     sums = counted.groupBy("host", "token").agg(
-        F.sum(low).alias("low"), F.sum(high).alias("high"), F.sum("pages").alias("pages"), F.sum("n").alias("n")
+        F.min("holder").alias("holder"), F.max("holder").alias("_last"), F.sum(low).alias("low"), F.sum(high).alias("high"), F.sum("pages").alias("pages"), F.sum("n").alias("n")
     )
     carry = F.shiftright("low", 32)
-    sums = sums.select("host", "token", "pages", "n", F.shiftleft((F.col("high") + carry).bitwiseAND(F.lit(0xFFFFFFFF)), 32).bitwiseOR(F.col("low").bitwiseAND(F.lit(0xFFFFFFFF))).alias("vector"))
+    sums = sums.select("host", "token", "holder", "_last", "pages", "n", F.shiftleft((F.col("high") + carry).bitwiseAND(F.lit(0xFFFFFFFF)), 32).bitwiseOR(F.col("low").bitwiseAND(F.lit(0xFFFFFFFF))).alias("vector"))
     sizes = sums.where("token = 0").select("host", F.col("pages").alias("host_pages")).where(F.col("host_pages") >= LEAST_PAGES)
-    valid = sums.where("token <> 0").where("n = pages").join(sizes, "host").where(F.col("pages") >= F.col("host_pages") * SHARE)
-    # One set per equivalence class, then the classes of a host: as long as a template has tokens.
-    classes = valid.groupBy("host", "vector").agg(F.collect_list("token").alias("members"))
-    return classes.groupBy("host").agg(F.flatten(F.collect_list("members")).alias("template"))
+    # A text whose nearest element is not the same one in all pages has none.
+    valid = sums.where("token <> 0").where("n = pages AND holder <=> _last").join(sizes, "host").where(F.col("pages") >= F.col("host_pages") * SHARE)
+    # The classes of a host, then their texts: as long as a template has tokens.
+    elements, texts = F.collect_set(F.when(F.col("holder").isNull(), F.col("token"))), F.collect_list(F.when(F.col("holder").isNotNull(), F.struct("token", "holder")))
+    classes = valid.groupBy("host", "vector").agg(elements.alias("elements"), texts.alias("texts")).where(F.size("texts") > 0)
+    held = classes.select("host", F.filter("texts", lambda t: F.array_contains(F.col("elements"), t["holder"])).alias("texts"))
+    return held.groupBy("host").agg(F.flatten(F.collect_list("texts.token")).alias("template")).where(F.size("template") > 0)
 
 
 def extract(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:

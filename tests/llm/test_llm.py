@@ -458,6 +458,17 @@ def test_template_text_without_any_role_is_dropped(spark):
     assert html_extraction.extract(df.where("page_id < 0")).count() == 0
 
 
+def test_a_template_text_comes_with_the_element_that_holds_it(spark):
+    # The notice and its <section> stand in 19 of 20 pages. So does the line, but the <div> around it stands in all: that is a slot.
+    page = "<html><body><div>{line}</div>{notice}<ul><li><p>Story {0}</p><p>The same end</p></li></ul></body></html>"
+    rows = [(i, f"http://h.example/{i}", page.format(i, line="A line of many" if i else "Another", notice="<section>A notice</section>" if i else "")) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extraction.extract(df).collect()}
+    assert got == {i: f"A line of many\n\nStory {i}" if i else "Another\n\nStory 0" for i in range(20)}
+    hosts = html_extraction.templates(df.select(F.lit("h").alias("host"), F.col("page_id").alias("key"), "html")).collect()
+    assert [len(r["template"]) for r in hosts] == [2]
+
+
 def test_boilerplate_elements_are_left_out():
     page = """<body><header><h1>Site</h1></header><div class="cookie-notice">We use cookies</div><form><p>Search</p></form>
     <main><h2>Title</h2><p>One<br>two <i>three</i></p><aside>Side</aside><ul><li>a<li>b</ul><div id="comments"><p>Reader</p></div></main><footer>End</footer></body>"""
