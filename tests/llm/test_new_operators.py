@@ -295,6 +295,21 @@ def test_seating_follows_the_process():
     assert level.tables.mean() == pytest.approx(exact, abs=0.06)
 
 
+@pytest.mark.parametrize(("c", "d", "new"), [(6, 0.5, 0.8), (60, 0.7, 3.0), (60, 0.7, 1e-4), (3000, 0.7, 1.5), (3000, 0.6, 400.0), (3000, 0.3, 30_000.0)])
+def test_one_move_seats_every_customer(c, d, new):
+    """One move is enough for the numbers of tables to follow their law, however many customers sat as at first."""
+    log_p = np.zeros(1)  # of 1, 2, ... tables: a customer joins one of t tables by n - d * t in all, or opens one by ``new``
+    for n in range(1, c):
+        t = np.arange(1, n + 1)
+        log_p = np.logaddexp(np.append(np.log(n - d * t) + log_p, -np.inf), np.append(-np.inf, log_p + math.log(new)))
+    law = np.cumsum(np.exp(log_p - np.logaddexp.reduce(log_p)))
+    many = np.full(3000, c)
+    level = Level(mixed_seeds(len(many)), many, many, np.full(len(many), new), 1)
+    level.move(np.full(len(many), new), d, 1)
+    found = np.cumsum(np.bincount(level.tables, minlength=c + 1)[1 : c + 1]) / len(many)
+    assert np.abs(found - law).max() < 0.04
+
+
 def test_language_model_edges(spark):
     rows = [(1, "A b a", 1), (1, "A b a", 1), (2, None, 1), (3, "", 1), (None, "x \x1c y", 1), (4, "long " * 60_000, 1), (5, "unseen words only", 0), (6, "É é Σ 日本", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, learn int").select("*", *(F.lit(1).alias(c) for c in ("key", "first", "n", "word", "block", "training"))).repartition(3)
