@@ -11,6 +11,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pixelfold.llm import conversation_repair, lm_scoring, queries, whitening
 from pixelfold.llm.conversation_repair import Prefixes, Repair
@@ -310,6 +311,25 @@ def test_one_move_seats_every_customer(c, d, new):
     assert np.abs(found - law).max() < 0.04
 
 
+def test_words_of_texts_and_slices():
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("aB \t\n\x0b\x0c\r\x1c\x85 \u00e9\u65e5\u03a3\u2003.x") for _ in range(rng.randrange(30))) for _ in range(300)] + [None, "", " ", "  a", "a  ", "\u0130 K \u1e9e"]
+    whole = pa.array(texts, pa.string())
+    for at, n in [(0, len(texts)), (0, 0), (7, 50), *((i, 1) for i in range(len(texts)))]:
+        words, tokens, sizes = lm_scoring.split_words(whole.slice(at, n))
+        spelled = words.to_pylist()
+        assert [spelled[i] for i in tokens] == [w for x in texts[at : at + n] for w in tokens_of(x)]
+        assert sizes.tolist() == [len(tokens_of(x)) for x in texts[at : at + n]]
+        assert lm_scoring.last_bytes(words).tolist() == [int.from_bytes(w.encode()[-2:], "big") for w in spelled]
+
+
+def test_pairs_are_numbered_alike_by_both_sorts():
+    code = np.array([5, 3, 5, 0, 1 << 40, 3])
+    for limit in (1 << 41, 1 << 62):  # the higher limit leaves no room for the place
+        values, at = lm_scoring.numbered(code.copy(), limit)
+        assert values.tolist() == [0, 3, 5, 1 << 40] and at.tolist() == [2, 1, 2, 0, 3, 1]
+
+
 def test_language_model_edges(spark):
     rows = [(1, "A b a", 1), (1, "A b a", 1), (2, None, 1), (3, "", 1), (None, "x \x1c y", 1), (4, "long " * 60_000, 1), (5, "unseen words only", 0), (6, "É é Σ 日本", 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string, learn int").select("*", *(F.lit(1).alias(c) for c in ("key", "first", "n", "word", "block", "training"))).repartition(3)
