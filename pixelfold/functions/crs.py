@@ -33,17 +33,18 @@ def _let_columns(body, **values: Column) -> Column:
     return _let(_struct(**values), lambda v: body(**{name: v[name] for name in values}))
 
 
-#: The functions that the formulas use, over columns; a point is a struct.
+#: The functions that the formulas use, over columns; a point is a struct. ``moved`` hands a point's coordinates to another formula, ``xy`` shows them.
 COLUMNS = SimpleNamespace(**{
     name: getattr(F, name)
     for name in "lit sin cos tan asin atan atan2 sinh cosh atanh log sqrt hypot radians degrees greatest least try_divide coalesce".split()
-}, let=_let_columns, point=_pt)
-#: The same over numpy arrays; a point is a pair.
+}, let=_let_columns, point=_pt, moved=lambda point, body: _let(point, lambda p: body(p["x"], p["y"])), xy=lambda point: (point["x"], point["y"]))
+#: The same over numpy arrays; a point is a pair. A task may get a copy of this namespace, so nothing may depend on its identity.
 NUMPY = SimpleNamespace(
     lit=lambda v: v, sin=np.sin, cos=np.cos, tan=np.tan, asin=np.arcsin, atan=np.arctan, atan2=np.arctan2, sinh=np.sinh, cosh=np.cosh,
     atanh=np.arctanh, log=np.log, sqrt=np.sqrt, hypot=np.hypot, radians=np.radians, degrees=np.degrees, greatest=np.maximum, least=np.minimum,
     try_divide=lambda a, b: np.divide(a, b, out=np.full(np.broadcast(a, b).shape, np.nan), where=np.not_equal(b, 0)),
     coalesce=lambda a, b: np.where(np.isnan(a), b, a), let=lambda body, **values: body(**values), point=lambda x, y: (x, y),
+    moved=lambda point, body: body(*point), xy=lambda point: point,
 )
 
 
@@ -224,15 +225,12 @@ def _moved(x, y, from_srid: int, to_srid: int, m):
     point = _inverse(from_srid)(x, y, m)
     if to_srid == 4326:
         return point
-    if m is NUMPY:
-        return _forward(to_srid)(*point, m)
-    return _let(point, lambda p: _forward(to_srid)(p["x"], p["y"], m))
+    return m.moved(point, lambda x, y: _forward(to_srid)(x, y, m))
 
 
 def reproject_xy(x, y, from_srid: int, to_srid: int, m=COLUMNS):
     """Coordinates moved from one system to another: columns, or numpy arrays with ``m=NUMPY``."""
-    point = _moved(x, y, from_srid, to_srid, m)
-    return point if m is NUMPY else (point["x"], point["y"])
+    return m.xy(_moved(x, y, from_srid, to_srid, m))
 
 
 def reproject(geom: Column | str, from_srid: int, to_srid: int) -> Column:

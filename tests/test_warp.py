@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -25,6 +26,15 @@ def test_array_transforms_equal_the_columns(spark, a, b):
     assert np.allclose([r["u"] for r in got], u, rtol=1e-13, atol=1e-9) and np.allclose([r["v"] for r in got], v, rtol=1e-13, atol=1e-9)
 
 
+@pytest.mark.parametrize("a", SYSTEMS)
+@pytest.mark.parametrize("b", SYSTEMS)
+def test_array_transforms_take_a_copy_of_the_functions(a, b):
+    """Functions sent to a task bring a copy of the namespace along."""
+    x, y = reproject_xy(np.array([2.0, 3.5, 5.9]), np.array([48.0, 51.25, 60.5]), 4326, a, NUMPY)
+    copied = reproject_xy(x, y, a, b, SimpleNamespace(**vars(NUMPY)))
+    assert np.array_equal(copied, reproject_xy(x, y, a, b, NUMPY))
+
+
 def naive(cells, source, target, how):
     """cells: {(row, col): value}; one target cell after the other."""
     out = {}
