@@ -346,3 +346,106 @@ def test_language_model_edges(spark):
     assert lm_scoring.score_documents(df.where("false"), F.col("learn") == 1).count() == 0
     alone = lm_scoring.score_documents(df, F.lit(False)).collect()
     assert all(r["score"] == 0 and r["base_score"] == 0 and r["n_known"] == 0 for r in alone)
+
+
+def test_numbers_are_packed_and_read():
+    for x in ([], [0], [5, 300, 70_000], [1 << 40, 3]):
+        assert lm_scoring.unpacked(lm_scoring.packed(np.array(x, np.int64))).tolist() == x
+    lists = lm_scoring.unbundled(lm_scoring.bundle(np.array([True, False]), np.array([], np.int64), np.array([-7]).view(np.uint64)))
+    assert [x.tolist() for x in lists] == [[1, 0], [], [-7]]
+
+
+def test_contexts_are_whole_words(spark):
+    """Words before that share their last bytes still tell apart what follows."""
+    learned = [(i, ("cath crimson", "moth maroon")[i % 2]) for i in range(200)]
+    asked = [(1000, "cath crimson"), (1001, "cath maroon"), (1002, "moth maroon"), (1003, "moth crimson")]
+    docs = spark.createDataFrame(learned + asked, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r["score"] for r in lm_scoring.score_documents(docs, F.col("doc_id") < 1000).collect()}
+    assert got[1000] > got[1001] + 1 and got[1002] > got[1003] + 1
+
+
+def test_scores_do_not_depend_on_blocks(spark):
+    rng = random.Random(8)
+    words = ["the", "he", "she", "a", "日", "x", "|", *(f"w{i}" for i in range(40))]
+    rows = [(k if rng.random() < 0.9 else None, " ".join(rng.choice(words[: rng.choice([4, 47])]) for _ in range(rng.randrange(40)))) for k in range(-20, 180)] + [(500, None), (501, ""), (3, "the he"), (3, "the he")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, i int")
+    n = Counter(w for _, t in rows[::2] for w in tokens_of(t))
+    found = []
+    for parts, size in ((1, 1 << 20), (5, 300)):
+        got = lm_scoring.score_documents(docs.repartition(parts), F.col("i") % 2 == 0, block_bytes=size).collect()
+        assert Counter((r["doc_id"], r["n_tokens"], r["n_known"], r["train_tokens"]) for r in got) == Counter((k, len(tokens_of(t)), sum(n[w] > 0 for w in tokens_of(t)), n.total()) for k, t in rows)
+        found.append(sorted((r["doc_id"] or 0, r["training"], r["n_tokens"], r["base_score"], r["score"]) for r in got))
+    assert all(a == pytest.approx(b, rel=1e-9) for a, b in zip(*found, strict=True))
+    none = lm_scoring.score_documents(docs, F.lit(False)).collect()
+    assert {(r["base_score"], r["score"], r["train_tokens"]) for r in none} == {(0.0, 0.0, 0)}
+    assert lm_scoring.score_documents(docs.where("i < 0"), F.lit(True)).count() == 0
+
+
+def test_probabilities_after_whole_words_sum_to_one():
+    """Letters between three buckets, carried by hand: tables of each word's restaurant add up over the buckets, and so do probabilities."""
+    rng = random.Random(6)
+    n, buckets, sweeps = 30, 3, 4
+    ending = [[0, 97, 98, 97 * 256 + 98, 99 * 256 + 98, 5][u % 6] for u in range(n)]
+    customers = {(w, u): rng.choice([0, 0, 1, 1, 2, 5, 40]) for w in range(n) for u in range(n)} | {(w, 3): 7 for w in range(n)}
+    shares = {8: {p: c // 2 for p, c in customers.items() if rng.random() < 0.5}}
+    shares[7] = {p: c - shares[8].get(p, 0) for p, c in customers.items()}
+
+    def of(mail, *kinds):
+        return [r for r in mail if r[1] in kinds]
+
+    def handled(mail, answer):
+        out = []
+        for receiver in {r[0] for r in mail}:
+            own = [r for r in mail if r[0] == receiver]
+            rng.shuffle(own)
+            out += answer(receiver, pa.Table.from_batches([lm_scoring.letters(own)]))
+        return out
+
+    def numbers(mail, kind):
+        return {(r[0], r[2]): lm_scoring.unbundled(r[3]) for r in of(mail, kind)}
+
+    asks, order = [], {}
+    for block, share in shares.items():
+        for b in range(buckets):
+            pairs = order[block, b] = sorted((p for p in share if p[0] % buckets == b), key=lambda p: (p[0] // buckets, ending[p[1]], p[1]))
+            words = sorted({p[0] // buckets for p in pairs})
+            dishes = sorted({(p[0] // buckets, ending[p[1]]) for p in pairs})
+            per_dish = Counter((p[0] // buckets, ending[p[1]]) for p in pairs)
+            body = (lm_scoring.steps(np.array(words)), np.array([sum(d[0] == w for d in dishes) for w in words]), np.array([d[1] for d in dishes]), np.array([per_dish[d] for d in dishes]), np.array([p[1] for p in pairs]), np.array([share[p] for p in pairs]))
+            asks.append((b, lm_scoring.ASK, block, lm_scoring.bundle(*body)))
+    started = handled(asks, lm_scoring.begun(buckets))
+    size = 2 * CONTEXTS + 257
+    total = sum(x[0] for x in numbers(started, lm_scoring.TOTAL).values())
+    assert total[:CONTEXTS].sum() == sum(c > 0 for c in customers.values())
+    counts = list(customers.values())
+    assert total[size : size + 2].tolist() == [counts.count(1), counts.count(2)]
+    model = Model(Sampler(sweeps=sweeps), 0.6, n, sum(counts), [Totals(total[:CONTEXTS], total[CONTEXTS:size])], 0.7)
+    first = tables = handled(of(started, lm_scoring.FIRST), lm_scoring.tabled)
+    seats = []
+    for k in range(sweeps):
+        seats = handled(of(started, lm_scoring.LIVE) + of(tables, lm_scoring.REPLY) + of(seats, lm_scoring.STATE), lm_scoring.swept(model, buckets))
+        total = sum(x[0] for x in numbers(seats, lm_scoring.TOTAL).values())
+        model.history.append(Totals(total[:CONTEXTS], total[CONTEXTS:]))
+        tables = handled(of(seats, lm_scoring.EXTRA) + of(first, lm_scoring.SEATED), lm_scoring.tabled)
+        seated = numbers(tables, lm_scoring.SEATED)
+        own = {}
+        answers = numbers(handled(asks + of(started, lm_scoring.LIVE) + of(seats, lm_scoring.STATE), lm_scoring.answered(model, buckets)), lm_scoring.ANSWER)
+        for (block, b), (c, t, p) in answers.items():
+            dishes = np.unique([(w // buckets) * CONTEXTS + ending[u] for w, u in order[block, b]], return_inverse=True)[1]
+            for i, pair in enumerate(order[block, b]):
+                own.setdefault(pair, (c[i], t[i], float(p.astype("<u4").view("<f4")[dishes[i]])))
+                assert own[pair][:2] == (c[i], t[i])
+        assert {p: x[0] for p, x in own.items()} == customers
+        d, d2, after = model.word_discount, model.discount, model.history[-1]
+        for u in range(n):
+            ours = [own[w, u] for w in range(n)]
+            t_u, c_u = sum(x[1] for x in ours), sum(x[0] for x in ours)
+            assert all((x[1] > 0) == (x[0] > 0) and x[1] <= x[0] for x in ours)
+            assert seated[u % buckets, u % buckets][0][u // buckets] == t_u
+            t, e = after.tables, ending[u] & 255
+            low = (1 + d2 * t[-1]) / (1 + t[CONTEXTS : CONTEXTS + 256].sum()) / (n + 1)
+            low *= (1 + d2 * t[CONTEXTS + e]) / (1 + t[:CONTEXTS].reshape(256, 256).sum(0)[e])
+            low *= (1 + d2 * t[ending[u]]) / (1 + after.customers[ending[u]])
+            p = [(c - d * t + (1 + d * t_u) * p_low) / (1 + c_u) for c, t, p_low in ours]
+            assert sum(p) + (1 + d * t_u) / (1 + c_u) * low == pytest.approx(1.0, rel=1e-6)
+    assert any(x[1] > 1 for x in own.values())
