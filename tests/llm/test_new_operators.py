@@ -381,8 +381,10 @@ def test_scores_do_not_depend_on_blocks(spark):
     assert lm_scoring.score_documents(docs.where("i < 0"), F.lit(True)).count() == 0
 
 
-def test_probabilities_after_whole_words_sum_to_one():
+@pytest.mark.parametrize("merged", [50, 1 << 21])
+def test_probabilities_after_whole_words_sum_to_one(monkeypatch, merged):
     """Letters between three buckets, carried by hand: tables of each word's restaurant add up over the buckets, and so do probabilities."""
+    monkeypatch.setattr(lm_scoring, "MERGED_TOGETHER", merged)
     rng = random.Random(6)
     n, buckets, sweeps = 30, 3, 4
     ending = [[0, 97, 98, 97 * 256 + 98, 99 * 256 + 98, 5][u % 6] for u in range(n)]
@@ -411,7 +413,7 @@ def test_probabilities_after_whole_words_sum_to_one():
             words = sorted({p[0] // buckets for p in pairs})
             dishes = sorted({(p[0] // buckets, ending[p[1]]) for p in pairs})
             per_dish = Counter((p[0] // buckets, ending[p[1]]) for p in pairs)
-            body = (lm_scoring.steps(np.array(words)), np.array([sum(d[0] == w for d in dishes) for w in words]), np.array([d[1] for d in dishes]), np.array([per_dish[d] for d in dishes]), np.array([p[1] for p in pairs]), np.array([share[p] for p in pairs]))
+            body = (np.array([max(p[1] for p in pairs)]), lm_scoring.steps(np.array(words)), np.array([sum(d[0] == w for d in dishes) for w in words]), np.array([d[1] for d in dishes]), np.array([per_dish[d] for d in dishes]), np.array([p[1] for p in pairs]), np.array([share[p] for p in pairs]))
             asks.append((b, lm_scoring.ASK, block, lm_scoring.bundle(*body)))
     started = handled(asks, lm_scoring.begun(buckets))
     size = 2 * CONTEXTS + 257
